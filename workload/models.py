@@ -153,10 +153,10 @@ def linear_default(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluate(baseline_models()["Linear Regression"].fit(train), test)[0].select("txn_id", "label", "prediction")
 
 
-@query(with_ctes("clean", extra=_ROWS, select=f"SELECT txn_id, label, round(prediction, 2) AS prediction FROM ({_holdout(TREE)})"))
+@query(with_ctes("clean", extra=_ROWS, select=f"SELECT txn_id, label, round(prediction, 1) AS prediction FROM ({_holdout(TREE)})"))
 def tree_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = holdout_split(stage(cell_rows(spark, sf_dir)), "txn_id")
-    return rounded(cell_tree().fit(train).transform(test), 2, "prediction").select("txn_id", "label", "prediction")
+    return rounded(cell_tree().fit(train).transform(test), 1, "prediction").select("txn_id", "label", "prediction")
 
 
 @query()
@@ -235,10 +235,10 @@ def evaluate_holdout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown_metrics(regression_metrics(holdout_predictions(spark, sf_dir), ["model"]))
 
 
-@query(with_ctes("clean", extra=_CV_TREE, select="SELECT txn_id, fold, label, round(prediction, 2) AS prediction FROM preds"))
+@query(with_ctes("clean", extra=_CV_TREE, select="SELECT txn_id, fold, label, round(prediction, 1) AS prediction FROM preds"))
 def cv_oof_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     result = cross_validate(stage(cell_rows(spark, sf_dir)), cell_tree(), "txn_id", K, SEED)
-    return rounded(result.predictions, 2, "prediction").select("txn_id", "fold", "label", "prediction")
+    return rounded(result.predictions, 1, "prediction").select("txn_id", "fold", "label", "prediction")
 
 
 def _cv(spark: SparkSession, sf_dir: str, *names: str):
