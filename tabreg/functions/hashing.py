@@ -16,16 +16,26 @@ from pyspark.sql import Column, functions as F
 BUCKETS = 1 << 32
 
 
-def hash_bucket(key: str | Sequence[str], seed: int | str) -> Column:
-    """A uniform integer in [0, 2^32): first 8 hex digits of md5('seed:key')."""
+def hash_digits(key: str | Sequence[str], seed: int | str) -> Column:
+    """Eight hex digits drawn uniformly: the first ones of md5('seed:key').
+
+    Fixed width, so comparing the text compares the numbers; thresholds stay
+    in this form and save the conversion.
+    """
     names = [key] if isinstance(key, str) else list(key)
     text = F.concat_ws(":", F.lit(str(seed)), *[F.col(n).cast("string") for n in names])
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
+    return F.substring(F.md5(text), 1, 8)
+
+
+def hash_bucket(key: str | Sequence[str], seed: int | str) -> Column:
+    """A uniform integer in [0, 2^32)."""
+    return F.conv(hash_digits(key, seed), 16, 10).cast("long")
 
 
 def hash_fraction_below(key: str | Sequence[str], seed: int | str, fraction: float) -> Column:
     """True for about ``fraction`` of the keys."""
-    return hash_bucket(key, seed) < F.lit(int(fraction * BUCKETS))
+    limit = int(fraction * BUCKETS)
+    return F.lit(limit >= BUCKETS) | (hash_digits(key, seed) < F.lit(_digits(min(limit, BUCKETS - 1))))
 
 
 def poisson_cutoffs(rate: float = 1.0) -> list[int]:
@@ -40,9 +50,19 @@ def poisson_cutoffs(rate: float = 1.0) -> list[int]:
         term *= rate / k
 
 
-def poisson_count(bucket: Column, rate: float = 1.0) -> Column:
-    """Poisson(rate) draw for a uniform bucket: how many cut-offs it reaches."""
+def poisson_count(digits: Column, rate: float = 1.0) -> Column:
+    """Poisson(rate) draw for uniform ``hash_digits``: how many cut-offs they reach."""
     draws = F.lit(0)
     for cutoff in poisson_cutoffs(rate):
-        draws = draws + (bucket >= F.lit(cutoff)).cast("int")
+        if cutoff < BUCKETS:
+            draws = draws + (digits >= F.lit(_digits(cutoff))).cast("int")
     return draws
+
+
+def poisson_positive(digits: Column, rate: float = 1.0) -> Column:
+    """Whether the draw is above 0, with a single look at the hash (filters do not share subexpressions)."""
+    return digits >= F.lit(_digits(poisson_cutoffs(rate)[0]))
+
+
+def _digits(number: int) -> str:
+    return f"{number:08x}"

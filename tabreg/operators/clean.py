@@ -17,6 +17,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import is_numeric, missing, numeric_columns, string_columns
+from ..sources import stage
 from .quantiles import exact_quantiles, quantiles
 
 # The kind of transaction kept by default, the text for a missing category.
@@ -58,6 +59,26 @@ def deduplicate(
     return survivor.select(*[F.col(c) if c in keys else F.col(f"__row.{c}") for c in df.columns])
 
 
+def deduplicate_rare(df: DataFrame, broadcast_rows: int = 10_000_000) -> DataFrame:
+    """Distinct whole rows of a wide table in which few rows are repeated.
+
+    A first pass shuffles only a 64-bit fingerprint per row. Rows whose
+    fingerprint occurs once are distinct and stay where they are; only the
+    others go through the full shuffle. Equal rows have equal fingerprints, so
+    the result is exact, whatever collides. When more than ``broadcast_rows``
+    fingerprints repeat, all rows are shuffled as in ``deduplicate``.
+    """
+    fingerprint = "__fingerprint"
+    marked = df.withColumn(fingerprint, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+    counted = marked.groupBy(fingerprint).agg(F.count(F.lit(1)).alias("n"))
+    repeated = stage(counted.filter(F.col("n") > 1).select(fingerprint), "repeated")
+    if repeated.count() > broadcast_rows:
+        return df.dropDuplicates()
+    once = marked.join(F.broadcast(repeated), fingerprint, "left_anti")
+    several = marked.join(F.broadcast(repeated), fingerprint, "left_semi")
+    return once.drop(fingerprint).unionByName(several.drop(fingerprint).dropDuplicates())
+
+
 def drop_missing_numeric(df: DataFrame) -> DataFrame:
     """Drop rows with NULL or NaN in any numeric column."""
     numbers = numeric_columns(df)
@@ -102,11 +123,12 @@ class OutlierFilter(Estimator, _OutlierParams, DefaultParamsReadable, DefaultPar
     lower = Param(Params._dummy(), "lower", "lower quantile of method percentile", TypeConverters.toFloat)
     upper = Param(Params._dummy(), "upper", "upper quantile of method percentile", TypeConverters.toFloat)
     relativeError = Param(Params._dummy(), "relativeError", "rank error of the quantiles, 0 for exact", TypeConverters.toFloat)
+    cacheInput = Param(Params._dummy(), "cacheInput", "persist the column while fitting; off for a plain scan", TypeConverters.toBoolean)
 
     @keyword_only
-    def __init__(self, *, inputCol=None, method="iqr", factor=1.5, lower=0.01, upper=0.99, relativeError=0.0, action="filter"):
+    def __init__(self, *, inputCol=None, method="iqr", factor=1.5, lower=0.01, upper=0.99, relativeError=0.0, cacheInput=True, action="filter"):
         super().__init__()
-        self._setDefault(method="iqr", factor=1.5, lower=0.01, upper=0.99, relativeError=0.0, action="filter")
+        self._setDefault(method="iqr", factor=1.5, lower=0.01, upper=0.99, relativeError=0.0, cacheInput=True, action="filter")
         self._set(**self._input_kwargs)
 
     def _fit(self, dataset: DataFrame) -> "OutlierFilterModel":
@@ -118,7 +140,9 @@ class OutlierFilter(Estimator, _OutlierParams, DefaultParamsReadable, DefaultPar
             wanted = [self.getOrDefault("lower"), self.getOrDefault("upper")]
         else:
             raise ValueError(f"method must be 'iqr' or 'percentile', not {method!r}")
-        low, high = quantiles(dataset, column, wanted, self.getOrDefault("relativeError"))[column]
+        low, high = quantiles(
+            dataset, column, wanted, self.getOrDefault("relativeError"), self.getOrDefault("cacheInput")
+        )[column]
         if low is None:
             raise ValueError(f"column {column!r} has no values to learn bounds from")
         if method == "iqr":

@@ -190,8 +190,10 @@ class BaggingRegressor(Estimator, _BaggingParams, DefaultParamsReadable, Default
             )
             if by_rows:
                 return tree.fit(bootstrap_rows(rows, get("keyCol"), i, get("seed")))
-            sample = bootstrap_weight(rows, get("keyCol"), i, get("seed"), column="__weight")
-            return tree.setWeightCol("__weight").fit(sample.filter(F.col("__weight") > 0))
+            sample = bootstrap_weight(
+                rows, get("keyCol"), i, get("seed"), column="__weight", drop_zero=True
+            )
+            return tree.setWeightCol("__weight").fit(sample)
 
         with ThreadPool(min(get("parallelism"), get("numEstimators"))) as pool:
             run = inheritable_thread_target(rows.sparkSession)(grow)

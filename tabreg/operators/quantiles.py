@@ -15,6 +15,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F
 
 SKETCH_ACCURACY = 10_000
@@ -48,24 +49,31 @@ def exact_quantiles(
     columns: str | Sequence[str],
     probabilities: Sequence[float],
     interpolate: bool = False,
+    cache: bool = True,
 ) -> dict[str, list[float | None]]:
     """Exact quantiles of numeric columns over their non-null, non-NaN values.
 
     Discrete by default: the value of rank ceil(p * n). With ``interpolate``
     the two neighbours of position p * (n - 1) are mixed linearly. A column
-    without values gives None.
+    without values gives None. The wanted columns are persisted between passes;
+    turn ``cache`` off when ``df`` is a plain scan of a stored table.
     """
     names = [columns] if isinstance(columns, str) else list(columns)
     values = df.select([_clean(n).alias(f"v{i}") for i, n in enumerate(names)])
-    counts = values.agg(*[F.count(c).alias(c) for c in values.columns]).first()
-
-    targets: dict[tuple[str, int], _Target] = {}
-    for column in values.columns:
-        n = counts[column]
-        for p in probabilities if n else []:
-            for rank in _ranks(p, n, interpolate):
-                targets.setdefault((column, rank), _Target(column, rank, n))
-    _select(values, list(targets.values()))
+    if cache:
+        values = values.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        counts = values.agg(*[F.count(c).alias(c) for c in values.columns]).first()
+        targets: dict[tuple[str, int], _Target] = {}
+        for column in values.columns:
+            n = counts[column]
+            for p in probabilities if n else []:
+                for rank in _ranks(p, n, interpolate):
+                    targets.setdefault((column, rank), _Target(column, rank, n))
+        _select(values, list(targets.values()))
+    finally:
+        if cache:
+            values.unpersist()
 
     def answer(column: str, p: float) -> float | None:
         n = counts[column]
@@ -106,11 +114,12 @@ def quantiles(
     columns: str | Sequence[str],
     probabilities: Sequence[float],
     relative_error: float = 0.0,
+    cache: bool = True,
 ) -> dict[str, list[float | None]]:
     """Exact for ``relative_error`` 0, else approximate."""
     if relative_error > 0:
         return approx_quantiles(df, columns, probabilities, relative_error)
-    return exact_quantiles(df, columns, probabilities)
+    return exact_quantiles(df, columns, probabilities, cache=cache)
 
 
 def _clean(name: str) -> Column:

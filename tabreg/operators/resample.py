@@ -12,7 +12,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions import hash_bucket, hash_fraction_below, poisson_count
+from ..functions import (
+    hash_bucket,
+    hash_digits,
+    hash_fraction_below,
+    poisson_count,
+    poisson_positive,
+)
 
 
 def holdout_label(df: DataFrame, key: str | Sequence[str], train_ratio: float = 0.8, seed: int = 42) -> DataFrame:
@@ -76,14 +82,19 @@ def bootstrap_weight(
     seed: int = 42,
     fraction: float = 1.0,
     column: str = "bootstrap_count",
+    drop_zero: bool = False,
 ) -> DataFrame:
     """Adds how often each row occurs in bootstrap ``draw``: Poisson(fraction).
 
     The Poisson draw is the large-n limit of sampling with replacement and the
     only form that needs no coordination between partitions. A weight keeps
-    the sample at one stored row per source row.
+    the sample at one stored row per source row; ``drop_zero`` leaves out the
+    rows that do not occur.
     """
-    return df.withColumn(column, poisson_count(hash_bucket(key, f"{seed}:{draw}"), fraction))
+    digits = hash_digits(key, f"{seed}:{draw}")
+    if drop_zero:
+        df = df.filter(poisson_positive(digits, fraction))
+    return df.withColumn(column, poisson_count(digits, fraction))
 
 
 def bootstrap_rows(
@@ -97,9 +108,9 @@ def bootstrap_rows(
     """A bootstrap sample as physically repeated rows."""
     if random:
         return df.sample(withReplacement=True, fraction=fraction, seed=seed)
-    weighted = bootstrap_weight(df, _required(key), draw, seed, fraction, "__copies")
+    drawn = bootstrap_weight(df, _required(key), draw, seed, fraction, "__copies", drop_zero=True)
     copies = F.explode(F.array_repeat(F.lit(0), F.col("__copies")))
-    return weighted.select(*[F.col(f"`{c}`") for c in df.columns], copies.alias("__copy")).drop("__copy")
+    return drawn.select(*[F.col(f"`{c}`") for c in df.columns], copies.alias("__copy")).drop("__copy")
 
 
 def _required(key):

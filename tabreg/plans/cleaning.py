@@ -13,6 +13,7 @@ from ..operators.clean import (
     OutlierFilter,
     SparseColumnDropper,
     deduplicate,
+    deduplicate_rare,
     keep_kinds,
 )
 from ..sources import stage
@@ -22,14 +23,22 @@ PRICE_FACTOR = 3.0
 SPARSE_THRESHOLD = 50.0
 
 
-def sales_rows(df: DataFrame, kind_col: str, kinds: Sequence[str] = DEFAULT_KINDS, staged: bool = True) -> DataFrame:
+def sales_rows(
+    df: DataFrame,
+    kind_col: str,
+    kinds: Sequence[str] = DEFAULT_KINDS,
+    staged: bool = True,
+    rare_duplicates: bool = False,
+) -> DataFrame:
     """Distinct rows of the wanted kinds: the one shuffle of a cleaning job.
 
     The filter runs before the shuffle. The steps that follow read this
     result several times, so it is stored in the shared folder unless
-    ``staged`` is off.
+    ``staged`` is off. ``rare_duplicates`` shuffles fingerprints instead of
+    rows, which pays when rows are wide, few repeat, and ``df`` is a stored table.
     """
-    rows = deduplicate(keep_kinds(df, kind_col, kinds))
+    wanted = keep_kinds(df, kind_col, kinds)
+    rows = deduplicate_rare(wanted) if rare_duplicates else deduplicate(wanted)
     return stage(rows, "sales") if staged else rows
 
 
@@ -38,12 +47,19 @@ def cleaning_pipeline(
     factor: float = PRICE_FACTOR,
     threshold: float = SPARSE_THRESHOLD,
     relative_error: float = 0.0,
+    cache_input: bool = True,
     **imputation,
 ) -> Pipeline:
     """Price range, sparse columns, missing values, as one unfitted pipeline."""
     return Pipeline(
         stages=[
-            OutlierFilter(inputCol=price_col, method="iqr", factor=factor, relativeError=relative_error),
+            OutlierFilter(
+                inputCol=price_col,
+                method="iqr",
+                factor=factor,
+                relativeError=relative_error,
+                cacheInput=cache_input,
+            ),
             SparseColumnDropper(threshold=threshold),
             MissingValueImputer(**imputation),
         ]
@@ -56,11 +72,12 @@ def clean(
     kind_col: str,
     kinds: Sequence[str] = DEFAULT_KINDS,
     staged: bool = True,
+    rare_duplicates: bool = False,
     **settings,
 ) -> tuple[DataFrame, PipelineModel]:
     """Standard job: dedup, kinds, price range x3, sparse columns, mean and 'Unknown' fills."""
-    rows = sales_rows(df, kind_col, kinds, staged)
-    model = cleaning_pipeline(price_col, **settings).fit(rows)
+    rows = sales_rows(df, kind_col, kinds, staged, rare_duplicates)
+    model = cleaning_pipeline(price_col, cache_input=not staged, **settings).fit(rows)
     return model.transform(rows), model
 
 
@@ -74,4 +91,5 @@ def clean_for_serving(
 ) -> DataFrame:
     """Variant for the served model: no column is dropped and nothing is filled."""
     rows = sales_rows(df, kind_col, kinds, staged)
-    return OutlierFilter(inputCol=price_col, method="iqr", factor=factor).fit(rows).transform(rows)
+    bounds = OutlierFilter(inputCol=price_col, method="iqr", factor=factor, cacheInput=not staged)
+    return bounds.fit(rows).transform(rows)

@@ -9,6 +9,7 @@ from tabreg.operators.clean import (
     OutlierFilter,
     SparseColumnDropper,
     deduplicate,
+    deduplicate_rare,
     drop_missing_numeric,
     drop_missing_text,
     fill_constants,
@@ -17,6 +18,7 @@ from tabreg.operators.clean import (
 )
 from tabreg.operators.features import CalendarFeatures
 from tabreg.plans import clean, clean_for_serving
+from tabreg.sources import stage
 
 from .fixture import AREA, CATEGORICAL, COLUMNS, DATE, KIND, PARKING, TARGET, txn, txn_nan, with_ctes
 from .registry import query, rounded
@@ -37,6 +39,11 @@ def dedup_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deduplicate(txn(spark, sf_dir))
 
 
+@query(with_ctes("txn", select="SELECT DISTINCT * FROM txn"))
+def dedup_all_rare(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return deduplicate_rare(stage(txn(spark, sf_dir), "txn"))
+
+
 @query(with_ctes("txn", select="""SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (
   PARTITION BY area_name, property_usage ORDER BY instance_date NULLS FIRST, txn_id) AS rn FROM txn) WHERE rn = 1"""))
 def dedup_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
