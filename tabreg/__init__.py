@@ -8,7 +8,15 @@ from .operators.profile import describe, missing_report
 from .operators.quantiles import approx_quantiles, exact_quantiles
 from .operators.resample import assign_folds, bootstrap_rows, bootstrap_weight, fold_split, holdout_split
 from .operators.score import score, validate_requests
-from .plans import clean, clean_for_serving, cross_validate, fit_models
+from .plans import (
+    clean,
+    clean_for_serving,
+    compare_models,
+    cross_validate,
+    fit_models,
+    load_served,
+    train_for_serving,
+)
 from .sources import ingest_csv, scan_csv, scan_parquet, stage
 
 __version__ = "0.1.0"
@@ -26,6 +34,7 @@ __all__ = [
     "bootstrap_weight",
     "clean",
     "clean_for_serving",
+    "compare_models",
     "cross_validate",
     "cv_summary",
     "deduplicate",
@@ -39,6 +48,7 @@ __all__ = [
     "holdout_split",
     "ingest_csv",
     "keep_kinds",
+    "load_served",
     "missing_report",
     "model_comparison",
     "regression_metrics",
@@ -46,5 +56,6 @@ __all__ = [
     "scan_parquet",
     "score",
     "stage",
+    "train_for_serving",
     "validate_requests",
 ]

@@ -1,6 +1,7 @@
 """Jobs composed from the operators."""
 
 from .cleaning import clean, clean_for_serving, cleaning_pipeline, sales_rows
+from .experiment import Comparison, compare_models, load_served, train_for_serving
 from .training import (
     CrossValidation,
     baseline_models,
@@ -11,14 +12,18 @@ from .training import (
 )
 
 __all__ = [
+    "Comparison",
     "CrossValidation",
     "baseline_models",
     "clean",
     "clean_for_serving",
     "cleaning_pipeline",
+    "compare_models",
     "cross_validate",
     "fit_models",
+    "load_served",
     "sales_rows",
     "serving_features",
     "stack_predictions",
+    "train_for_serving",
 ]

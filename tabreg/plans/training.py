@@ -35,14 +35,16 @@ def serving_features(
     df: DataFrame,
     target_col: str,
     date_col: str,
-    area_col: str,
-    parking_col: str,
+    area_col: str | None,
+    parking_col: str | None,
     categorical: Sequence[str],
 ) -> DataFrame:
     """Rows for the served model: calendar parts, constant fills, label, no missing target or date."""
     dated = CalendarFeatures(dateCol=date_col).transform(df)
-    area_mean = dated.agg(present_mean(area_col)).first()[0]
-    fills = {parking_col: 0, **dict.fromkeys(categorical, UNKNOWN)}
+    fills: dict = dict.fromkeys(categorical, UNKNOWN)
+    if parking_col:
+        fills[parking_col] = 0
+    area_mean = dated.agg(present_mean(area_col)).first()[0] if area_col else None
     if area_mean is not None:
         fills[area_col] = area_mean
     kept = require(fill_constants(dated, fills), [target_col, CALENDAR_COLUMNS[0]])
@@ -64,8 +66,12 @@ class CrossValidation:
         """One row per (model, fold), all from one aggregate."""
         return regression_metrics(self.predictions, by=("model", "fold"))
 
+    @staticmethod
+    def summarize(fold_metrics: DataFrame) -> DataFrame:
+        return cv_summary(fold_metrics)
+
     def summary(self) -> DataFrame:
-        return cv_summary(self.fold_metrics())
+        return self.summarize(self.fold_metrics())
 
     def comparison(self) -> DataFrame:
         return model_comparison(self.summary())

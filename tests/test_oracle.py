@@ -13,7 +13,7 @@ SLOW = {"cv_compare_models", "model_comparison", "model_comparison_holdout", "cv
 CELLS = {
     "tree_predict", "bagging_predict", "model_roundtrip", "evaluate_holdout", "cv_oof_predictions",
     "cv_metrics", "residuals", "residual_summary", "residual_histogram", "pred_actual_bins",
-    "pred_actual_sample", "score_batch", "score_stream",
+    "pred_actual_sample", "score_batch", "score_stream", "serving_job_metrics",
 }
 
 

@@ -90,13 +90,13 @@ _PRESENT_NAN = "avg(nan_area) FILTER (WHERE NOT isnan(nan_area))"
 @query(with_ctes("txn_nan", extra=f"""m AS (SELECT avg(procedure_area) AS m_area, CAST(trunc(avg(has_parking)) AS INT) AS m_parking,
   avg(sparse_value) AS m_sparse, avg(actual_worth) AS m_worth, {_PRESENT_NAN} AS m_nan FROM txn_nan)""",
     select="""SELECT txn_id, trans_group, instance_date, area_name, property_usage, property_type,
-  round(coalesce(procedure_area, m_area), 6) AS procedure_area, coalesce(has_parking, m_parking) AS has_parking,
-  round(coalesce(sparse_value, m_sparse), 6) AS sparse_value, round(coalesce(actual_worth, m_worth), 6) AS actual_worth,
-  round(CASE WHEN nan_area IS NULL OR isnan(nan_area) THEN m_nan ELSE nan_area END, 6) AS nan_area FROM txn_nan, m"""))
+  round(coalesce(procedure_area, m_area), 4) AS procedure_area, coalesce(has_parking, m_parking) AS has_parking,
+  round(coalesce(sparse_value, m_sparse), 4) AS sparse_value, round(coalesce(actual_worth, m_worth), 4) AS actual_worth,
+  round(CASE WHEN nan_area IS NULL OR isnan(nan_area) THEN m_nan ELSE nan_area END, 4) AS nan_area FROM txn_nan, m"""))
 def impute_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = txn_nan(spark, sf_dir)
     filled = MissingValueImputer(numericStrategy="mean", textStrategy="keep").fit(rows).transform(rows)
-    return rounded(filled, 6, AREA, "sparse_value", TARGET, "nan_area")
+    return rounded(filled, 4, AREA, "sparse_value", TARGET, "nan_area")
 
 
 @query(with_ctes("txn", extra="m AS (SELECT avg(has_parking) AS m_parking FROM txn)",

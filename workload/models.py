@@ -308,8 +308,8 @@ def histogram_sql(source: str, value: str, bins: int = 50) -> str:
     return f"""v AS (SELECT {value} AS v FROM {source} WHERE {value} IS NOT NULL),
 lim AS (SELECT min(v) AS lo, max(v) AS hi FROM v),
 counted AS (SELECT {bin_sql('v', 'lo', 'hi', bins)} AS bin, count(*) AS n FROM v, lim GROUP BY 1),
-hist AS (SELECT CAST(i AS INT) AS bin, round(lo + i * ((hi - lo) / {bins}), 4) AS lower_edge,
-  round(lo + (i + 1) * ((hi - lo) / {bins}), 4) AS upper_edge, coalesce(n, 0) AS row_count
+hist AS (SELECT CAST(i AS INT) AS bin, round(lo + i * ((hi - lo) / {bins}), 6) AS lower_edge,
+  round(lo + (i + 1) * ((hi - lo) / {bins}), 6) AS upper_edge, coalesce(n, 0) AS row_count
   FROM range({bins}) AS r(i) CROSS JOIN lim LEFT JOIN counted ON counted.bin = i)"""
 
 
@@ -330,7 +330,7 @@ def residual_summary_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(with_ctes("clean", extra=_SCORED + ",\n" + histogram_sql("scored", "prediction - label"), select="SELECT * FROM hist"))
 def residual_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     bars = histogram(tree_predictions(spark, sf_dir), F.col("prediction") - F.col("label"))
-    return rounded(bars, 4, "lower_edge", "upper_edge")
+    return rounded(bars, 6, "lower_edge", "upper_edge")
 
 
 @query(with_ctes("clean", extra=_SCORED + """,
@@ -350,9 +350,9 @@ def pred_actual_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(with_ctes("clean", extra=histogram_sql("clean", "actual_worth"), select="SELECT * FROM hist"))
 def price_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(histogram(clean_rows(spark, sf_dir), F.col(TARGET)), 4, "lower_edge", "upper_edge")
+    return rounded(histogram(clean_rows(spark, sf_dir), F.col(TARGET)), 6, "lower_edge", "upper_edge")
 
 
 @query(with_ctes("clean", extra=histogram_sql("clean", "ln(actual_worth + 1)"), select="SELECT * FROM hist"))
 def price_log_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(histogram(clean_rows(spark, sf_dir), F.log1p(TARGET)), 4, "lower_edge", "upper_edge")
+    return rounded(histogram(clean_rows(spark, sf_dir), F.log1p(TARGET)), 6, "lower_edge", "upper_edge")

@@ -11,15 +11,17 @@ from tabreg.operators.clean import MissingValueImputer
 from tabreg.operators.features import CalendarFeatures, LabelColumn, category_indexer, coded, feature_assembler
 from tabreg.operators.profile import category_dictionary
 from tabreg.operators.score import score, validate_requests
-from tabreg.plans import sales_rows
-from tabreg.sources import shared_path, stage
+from tabreg.plans import load_served, sales_rows, train_for_serving
+from tabreg.sources import ColumnRoles, shared_path, stage
 from tabreg.streaming import read_requests, write_scores
 
 from .features import clean_rows
 from .fixture import AREA, CATEGORICAL, DATE, KIND, TARGET, txn, with_ctes
-from .models import CELL, TREES, cell_bagging, _money_sql
+from .models import (
+    BAGGING, CELL, TREES, _METRICS, _ROUNDED_METRICS, _holdout, _money_sql, _shown_metrics, cell_bagging,
+)
 from .registry import query, rounded
-from .resampling import SEED, poisson_sql
+from .resampling import SEED, in_train_sql, poisson_sql
 
 
 def served_model(spark: SparkSession, sf_dir: str) -> PipelineModel:
@@ -84,3 +86,28 @@ def score_input_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = stage(category_dictionary(sales_rows(rows, KIND, staged=False), CATEGORICAL), "dictionary")
     checked = validate_requests(rows, known, CATEGORICAL, AREA, DATE, min_date=_FROM, max_date=_TO)
     return checked.drop(*[c for c in rows.columns if c != "txn_id"])
+
+
+_CELL_ROLES = ColumnRoles(target=TARGET, kind=KIND, date=DATE, numeric=(), categorical=tuple(CELL))
+_SERVED = f"""rows_ AS (SELECT txn_id, coalesce(area_name, 'Unknown') AS area_name, property_type, actual_worth AS label,
+  {in_train_sql()} AS in_train FROM kept WHERE try_strptime(instance_date, '%d-%m-%Y') IS NOT NULL),
+drawn AS (SELECT r.*, i, {poisson_sql(f"concat('{SEED}:', i)")} AS w FROM rows_ r, range({TREES}) AS draws(i))"""
+
+
+@query(with_ctes("kept", extra=_SERVED, select=f"SELECT {_ROUNDED_METRICS} FROM (SELECT {_METRICS} FROM ({_holdout(BAGGING)}))"))
+def serving_job_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The served model trained and stored; its holdout metrics read back."""
+    path = shared_path(spark, "served")
+    train_for_serving(txn(spark, sf_dir), _CELL_ROLES, path, "txn_id", cell_bagging(), calendar=False)
+    schema = "n_rows long, rmse double, mae double, r2 double, mape double, n_nonzero long"
+    return _shown_metrics(spark.read.schema(schema).json(f"{path}/metrics"))
+
+
+@query()
+def serving_job_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Standard settings end to end: train, store, load, score every request that can be scored."""
+    path = shared_path(spark, "served")
+    roles = ColumnRoles(target=TARGET, kind=KIND, date=DATE, numeric=(AREA, "has_parking"), categorical=tuple(CATEGORICAL))
+    train_for_serving(txn(spark, sf_dir), roles, path, "txn_id")
+    model, _ = load_served(spark, path)
+    return score(txn(spark, sf_dir), model, AREA).select(*_COLUMNS)
