@@ -18,9 +18,7 @@ grown on its own bootstrap sample):
 
 from __future__ import annotations
 
-from multiprocessing.pool import ThreadPool
-
-from pyspark import StorageLevel, inheritable_thread_target, keyword_only
+from pyspark import StorageLevel, keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import (
@@ -50,6 +48,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
 
 from .features import largest_arity, vector_attributes
+from .overlap import overlapped
 from .resample import bootstrap_rows, bootstrap_weight
 
 # Default ensemble settings.
@@ -195,9 +194,7 @@ class BaggingRegressor(Estimator, _BaggingParams, DefaultParamsReadable, Default
             )
             return tree.setWeightCol("__weight").fit(sample)
 
-        with ThreadPool(min(get("parallelism"), get("numEstimators"))) as pool:
-            run = inheritable_thread_target(rows.sparkSession)(grow)
-            return pool.map(run, range(get("numEstimators")), chunksize=1)
+        return overlapped(rows.sparkSession, grow, range(get("numEstimators")), get("parallelism"))
 
 
 class BaggingRegressionModel(Model, _BaggingParams, MLWritable, MLReadable):

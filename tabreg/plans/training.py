@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from functools import reduce
-from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import StorageLevel
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, functions as F
@@ -15,6 +14,7 @@ from ..operators.clean import UNKNOWN, fill_constants, present_mean, require
 from ..operators.ensemble import BaggingRegressor
 from ..operators.features import CALENDAR_COLUMNS, CalendarFeatures, LabelColumn
 from ..operators.metrics import cv_summary, model_comparison, regression_metrics
+from ..operators.overlap import overlapped
 from ..operators.resample import assign_folds, fold_split
 
 ModelSpec = Estimator | Callable[[], Estimator]
@@ -124,10 +124,10 @@ def cross_validate(
         train, _ = fold_split(folded, fold, k)
         if train_only is not None:
             train = train_only.copy().fit(train).transform(train)
-        return _fresh(named[name], cache).fit(train)
+        return _fresh(named[name], cache, one_fit_of_many=True).fit(train)
 
     tasks = [(name, fold) for name in named for fold in range(k)]
-    fitted = dict(zip(tasks, _overlapped(df, fit, tasks, parallelism)))
+    fitted = dict(zip(tasks, overlapped(df.sparkSession, fit, tasks, parallelism)))
 
     scored = []
     for fold in range(k):
@@ -147,7 +147,9 @@ def fit_models(
     if cache:
         train = train.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        fitted = _overlapped(train, lambda m: _fresh(m, cache).fit(train), list(models.values()), parallelism)
+        fitted = overlapped(
+            train.sparkSession, lambda m: _fresh(m, cache).fit(train), list(models.values()), parallelism
+        )
         return dict(zip(models, fitted))
     finally:
         if cache:
@@ -181,14 +183,12 @@ def _scored_together(fitted: dict) -> list[dict]:
     return [g for g in [plain, *[{n: m} for n, m in fitted.items() if n not in plain]] if g]
 
 
-def _fresh(spec: ModelSpec, rows_cached: bool) -> Estimator:
+def _fresh(spec: ModelSpec, rows_cached: bool, one_fit_of_many: bool = False) -> Estimator:
+    """An estimator of its own for one fit, told what its surroundings already do."""
     estimator = spec.copy() if isinstance(spec, Estimator) else spec()
+    settings = {}
     if rows_cached and estimator.hasParam("cacheInput"):
-        estimator = estimator.copy({estimator.getParam("cacheInput"): False})
-    return estimator
-
-
-def _overlapped(df: DataFrame, action: Callable, items: list, parallelism: int) -> list:
-    """Run driver-side calls that each launch Spark jobs, a few at a time."""
-    with ThreadPool(max(1, min(parallelism, len(items)))) as pool:
-        return pool.map(inheritable_thread_target(df.sparkSession)(action), items, chunksize=1)
+        settings[estimator.getParam("cacheInput")] = False
+    if one_fit_of_many and estimator.hasParam("parallelism"):
+        settings[estimator.getParam("parallelism")] = 1
+    return estimator.copy(settings)
