@@ -11,12 +11,22 @@ def scan_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "errorifexists") -> None:
+def write_partitioned(
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str] = (),
+    rebalance: bool = True,
+    mode: str = "errorifexists",
+) -> None:
     """Store a clean table, optionally by year so that scans prune whole folders.
 
-    Rows are spread over the partitions as they come; with few, large
-    partition values a shuffle by value would put each on one writer.
+    Rows are gathered by folder before writing, so a folder has few files;
+    adaptive execution splits a folder that holds much of the table over
+    several writers. Without ``rebalance`` nothing is shuffled and every task
+    writes a file to every folder it meets.
     """
+    if partition_by and rebalance:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

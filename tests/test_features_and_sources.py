@@ -129,3 +129,17 @@ def test_validation_is_the_same_broadcast_or_shuffled(spark):
         checked = validate_requests(asked, known, ["c"], broadcast_rows=limit).orderBy("id").collect()
         assert [r.is_valid for r in checked] == [True, False, False, False, False]
         assert [r.c_ok for r in checked] == [True, True, True, False, False]
+
+
+def test_partitioned_table_prunes_and_is_gathered(spark, tmp_path):
+    from tabreg.sources import scan_parquet, write_partitioned
+
+    year = F.when(F.col("id") % 3 == 0, 2001).otherwise(F.col("id") % 5)
+    rows = spark.range(0, 3000, 1, 12).select("id", year.alias("year"))
+    path = str(tmp_path / "by-year")
+    write_partitioned(rows, path, ["year"])
+    stored = scan_parquet(spark, path)
+    assert stored.count() == 3000 and stored.filter("year = 2001").count() == 1000
+    assert len(list((tmp_path / "by-year" / "year=2001").glob("*.parquet"))) <= 8
+    plan = stored.filter("year = 2001")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan

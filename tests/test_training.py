@@ -220,3 +220,29 @@ def test_entry_point(spark):
 
 def test_fixture_row_count(spark):
     assert txn(spark, "/root/testdata/sf0.01").count() == 15_300
+
+
+def test_served_job_on_the_transactions_schema(spark, tmp_path):
+    """From a CSV with all 46 columns to scored requests; two categories are always missing."""
+    from tabreg.operators.score import score, validate_requests
+    from tabreg.plans import load_served, train_for_serving
+    from tabreg.sources import TRANSACTION_ROLES, TRANSACTIONS_SCHEMA, ingest_csv
+    from workload.sources import _transactions_csv
+
+    csv = _transactions_csv(spark, "/root/testdata/sf0.001")
+    accepted, rejected = ingest_csv(spark, csv, TRANSACTIONS_SCHEMA)
+    assert accepted.columns == TRANSACTIONS_SCHEMA.names and rejected.count() > 0
+    path = str(tmp_path / "served")
+    bagging = BaggingRegressor(numEstimators=3, maxDepth=4, keyCol=["transaction_id"])
+    train_for_serving(accepted, TRANSACTION_ROLES, path, "transaction_id", bagging)
+    model, dictionary = load_served(spark, path)
+    assert {r.column_name for r in dictionary.collect()} == {"property_type_en", "property_usage_en", "area_name_en"}
+    requests = accepted.na.drop(subset=["procedure_area", "has_parking"])
+    scored = score(requests, model)
+    assert scored.filter("predicted_price < 0 or price_text not like 'AED %'").count() == 0
+    dated = requests.filter("try_to_date(instance_date, 'dd-MM-yyyy') is not null")
+    assert scored.count() == dated.count()
+    checked = validate_requests(requests, dictionary, ["area_name_en", "property_type_en"])
+    assert checked.count() == requests.count()
+    settings = spark.read.json(f"{path}/settings").first()
+    assert settings.numEstimators == 3 and len(settings.features) == 11

@@ -237,33 +237,38 @@ def evaluate_holdout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(with_ctes("clean", extra=_CV_TREE, select="SELECT txn_id, fold, label, round(prediction, 1) AS prediction FROM preds"))
 def cv_oof_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    result = cross_validate(stage(cell_rows(spark, sf_dir)), cell_tree(), "txn_id", K, SEED)
-    return rounded(result.predictions, 1, "prediction").select("txn_id", "fold", "label", "prediction")
+    rows = stage(cell_rows(spark, sf_dir))
+    with cross_validate(rows, cell_tree(), "txn_id", K, SEED) as validated:
+        predictions = stage(validated.predictions, "out-of-fold")
+    return rounded(predictions, 1, "prediction").select("txn_id", "fold", "label", "prediction")
 
 
-def _cv(spark: SparkSession, sf_dir: str, *names: str):
+def _fold_metrics(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
+    """Stored metrics per (model, fold); the cached rows are free again."""
     models: dict[str, Estimator] = {LINEAR: linear(), TREE: cell_tree(), BAGGING: cell_bagging()}
     rows = stage(cell_rows(spark, sf_dir))
-    return cross_validate(rows, {n: models[n] for n in names}, "txn_id", K, SEED, parallelism=8)
+    chosen = {n: models[n] for n in names}
+    with cross_validate(rows, chosen, "txn_id", K, SEED, parallelism=8) as validated:
+        return stage(validated.fold_metrics(), "fold-metrics")
 
 
 @query(with_ctes("clean", extra=_CV_TWO + ",\n" + _FOLD_METRICS, select=f"SELECT model, fold, {_ROUNDED_METRICS} FROM fm"))
 def cv_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _shown_metrics(_cv(spark, sf_dir, LINEAR, TREE).fold_metrics())
+    return _shown_metrics(_fold_metrics(spark, sf_dir, LINEAR, TREE))
 
 
 @query(with_ctes("clean", extra=_CV_TWO + ",\n" + _FOLD_METRICS + ",\n" + _CV_SUMMARY, select="""SELECT model, folds,
   round(rmse_mean, 2) AS rmse_mean, round(rmse_std, 2) AS rmse_std, round(mae_mean, 2) AS mae_mean, round(mae_std, 2) AS mae_std,
   round(r2_mean, 6) AS r2_mean, round(r2_std, 6) AS r2_std FROM summary"""), name="cv_summary")
 def cv_summary_two(spark: SparkSession, sf_dir: str) -> DataFrame:
-    summary = _cv(spark, sf_dir, LINEAR, TREE).summary()
+    summary = cv_summary(_fold_metrics(spark, sf_dir, LINEAR, TREE))
     summary = rounded(summary, 2, "rmse_mean", "rmse_std", "mae_mean", "mae_std")
     return rounded(summary, 6, "r2_mean", "r2_std")
 
 
 @query(with_ctes("clean", extra=_CV_ALL + ",\n" + _FOLD_METRICS, select=f"SELECT model, fold, {_ROUNDED_METRICS} FROM fm"))
 def cv_compare_models(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _shown_metrics(_cv(spark, sf_dir, LINEAR, TREE, BAGGING).fold_metrics())
+    return _shown_metrics(_fold_metrics(spark, sf_dir, LINEAR, TREE, BAGGING))
 
 
 _COMPARED = f"""SELECT model,
@@ -275,7 +280,7 @@ _COMPARED = f"""SELECT model,
 
 @query(with_ctes("clean", extra=_CV_TWO + ",\n" + _FOLD_METRICS + ",\n" + _CV_SUMMARY, select=_COMPARED), name="model_comparison")
 def model_comparison_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    compared = _cv(spark, sf_dir, LINEAR, TREE).comparison()
+    compared = model_comparison(cv_summary(_fold_metrics(spark, sf_dir, LINEAR, TREE)))
     return rounded(rounded(compared, 2, "rmse", "mae"), 6, "r2")
 
 

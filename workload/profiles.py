@@ -123,10 +123,35 @@ def quantiles_interpolated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(_quantile_frame(spark, found), 4, "value")
 
 
-@query()
+@query(with_ctes("txn", select=" UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, CAST({p} AS DOUBLE) AS probability, count({c}) AS value_count, true AS within_error FROM txn"
+    for c in ("procedure_area", "sparse_value", "actual_worth") for p in _PROBABILITIES)))
 def quantiles_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = approx_quantiles(txn(spark, sf_dir), [AREA, "sparse_value", TARGET], _PROBABILITIES, 0.01)
-    return _quantile_frame(spark, found)
+    """Whether each approximate quantile lies within 1 % of its rank, counted on all rows."""
+    rows, error = txn(spark, sf_dir), 0.01
+    found = approx_quantiles(rows, [AREA, "sparse_value", TARGET], _PROBABILITIES, error)
+    triples = [(c, p, v) for c, values in found.items() for p, v in zip(_PROBABILITIES, values)]
+    counted = rows.agg(*[
+        F.struct(
+            F.count(c).alias("n"),
+            F.count_if(F.col(c) < v).alias("below"),
+            F.count_if(F.col(c) <= v).alias("up_to"),
+        ).alias(f"q{i}")
+        for i, (c, _, v) in enumerate(triples)
+    ])
+    checks = [
+        F.struct(
+            F.lit(c).alias("column_name"),
+            F.lit(p).alias("probability"),
+            F.col(f"q{i}.n").alias("value_count"),
+            (
+                (F.col(f"q{i}.below") <= F.ceil(F.lit(p + error) * F.col(f"q{i}.n")))
+                & (F.col(f"q{i}.up_to") >= F.floor(F.lit(p - error) * F.col(f"q{i}.n")))
+            ).alias("within_error"),
+        )
+        for i, (c, p, _) in enumerate(triples)
+    ]
+    return counted.select(F.explode(F.array(*checks)).alias("r")).select("r.*")
 
 
 @query(with_ctes("sales", select=" UNION ALL ".join(
