@@ -59,7 +59,7 @@ def deduplicate(
     return survivor.select(*[F.col(c) if c in keys else F.col(f"__row.{c}") for c in df.columns])
 
 
-def deduplicate_rare(df: DataFrame, broadcast_rows: int = 10_000_000) -> DataFrame:
+def deduplicate_rare(df: DataFrame, broadcast_rows: int = 4_000_000) -> DataFrame:
     """Distinct whole rows of a wide table in which few rows are repeated.
 
     A first pass shuffles only a 64-bit fingerprint per row. Rows whose

@@ -22,6 +22,8 @@ from pyspark.sql.types import StringType
 CALENDAR_COLUMNS = ("trans_year", "trans_month", "trans_quarter", "trans_dayofweek")
 DATE_PATTERN = "dd-MM-yyyy"
 CODE_SUFFIX = "_indexed"
+# Columns with more values than this are identifiers rather than categories.
+MAX_CATEGORIES = 100_000
 
 
 class CalendarFeatures(Transformer, DefaultParamsReadable, DefaultParamsWritable):
@@ -72,6 +74,21 @@ def coded(columns: Sequence[str]) -> list[str]:
     return [c + CODE_SUFFIX for c in columns]
 
 
+def require_categories(df: DataFrame, columns: Sequence[str], limit: int = MAX_CATEGORIES) -> None:
+    """Raise when a column has clearly more than ``limit`` distinct values.
+
+    The dictionary of a coded column lives on the driver and in every model,
+    so an identifier passed as a category has to be noticed before the fit.
+    One pass with fixed-size sketches for all columns.
+    """
+    if not columns:
+        return
+    counts = df.agg(*[F.approx_count_distinct(c, 0.05).alias(c) for c in columns]).first()
+    large = {c: counts[c] for c in columns if counts[c] > limit * 1.1}
+    if large:
+        raise ValueError(f"too many categories to code (limit {limit}): {large}")
+
+
 def category_indexer(columns: Sequence[str], handle_invalid: str = "keep") -> StringIndexer:
     """One indexer for all columns, so all dictionaries come from a single pass.
 
@@ -153,6 +170,7 @@ def engineer_features(
     **options,
 ) -> tuple[DataFrame, list[str], PipelineModel]:
     """Fit the feature pipeline on ``df`` and apply it: (rows, feature names, model)."""
+    require_categories(df, categorical)
     model = feature_pipeline(numeric, categorical, date_col, target_col, **options).fit(df)
     return model.transform(df), [*numeric, *CALENDAR_COLUMNS, *coded(categorical)], model
 

@@ -143,3 +143,13 @@ def test_partitioned_table_prunes_and_is_gathered(spark, tmp_path):
     assert len(list((tmp_path / "by-year" / "year=2001").glob("*.parquet"))) <= 8
     plan = stored.filter("year = 2001")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(year" in plan
+
+
+def test_identifiers_are_not_coded_as_categories(spark):
+    from tabreg.operators.features import require_categories
+
+    df = spark.range(5000).select(F.col("id").cast("string").alias("name"), (F.col("id") % 3).alias("kind"))
+    require_categories(df, ["kind"], limit=10)
+    require_categories(df, [])
+    with pytest.raises(ValueError, match="name"):
+        require_categories(df, ["name", "kind"], limit=1000)
