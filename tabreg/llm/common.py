@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources.shared import stage
 
-__all__ = ["connected_components", "read_table", "row_counts", "stage", "texts_of"]
+__all__ = ["connected_components", "per_batch", "read_table", "stage", "texts_of", "tokenizer_path"]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,8 +32,11 @@ def per_batch(work: Callable[[pa.RecordBatch], pa.RecordBatch | None]):
     return run
 
 
-def row_counts(df: DataFrame, *keys: str) -> DataFrame:
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
+def tokenizer_path(name: str) -> str:
+    """Place of an installed public tokenizer file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 64) -> DataFrame:

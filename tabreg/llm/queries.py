@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import read_table
+from . import byte_bpe
+from .common import read_table, tokenizer_path
 from .simhash import simhash_components
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,3 +33,16 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         F.col("component").alias("component_id"),
     )
+
+
+@query()
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document and the bytes they decode to, as digests."""
+    ranks = tokenizer_path("byte_bpe_multi_50k.tiktoken")
+    tokens = byte_bpe.encode(read_table(spark, sf_dir, "documents"), ranks)
+    return byte_bpe.decode(tokens, ranks).select(
+        F.col("id").alias("doc_id"),
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
