@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources.shared import stage
 
-__all__ = ["connected_components", "per_batch", "read_table", "stage", "texts_of", "tokenizer_path"]
+__all__ = ["connected_components", "parts", "per_batch", "read_table", "stage", "texts_of", "tokenizer_path"]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,13 +23,34 @@ def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     return [t if t is not None else "" for t in batch.column(column).to_pylist()]
 
 
+#: Bytes of text that a Python worker turns into objects at once; a longer text is one part by itself.
+PART_BYTES = 2 << 20
+
+
+def parts(batch: pa.RecordBatch, limit: int = PART_BYTES) -> Iterator[pa.RecordBatch]:
+    """Consecutive slices of a batch with at most ``limit`` bytes each, or one row."""
+    if not batch.num_rows:
+        return
+    sizes = np.full(batch.num_rows, 16, np.int64)
+    for column in batch.columns:
+        if pa.types.is_string(column.type) or pa.types.is_binary(column.type):
+            sizes += pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    total = np.cumsum(sizes)
+    at = 0
+    while at < batch.num_rows:
+        stop = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + limit, "right")))
+        yield batch.slice(at, stop - at)
+        at = stop
+
+
 def per_batch(work: Callable[[pa.RecordBatch], pa.RecordBatch | None]):
-    """A ``mapInArrow`` function from one that turns a batch into a batch."""
+    """A ``mapInArrow`` function from one that turns a small batch into a batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows and (out := work(batch)) is not None and out.num_rows:
-                yield out
+            for part in parts(batch):
+                if (out := work(part)) is not None and out.num_rows:
+                    yield out
 
     return run
 

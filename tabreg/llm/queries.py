@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import byte_bpe
+from ..sources.shared import shared_path
+from . import byte_bpe, token_files
 from .common import read_table, tokenizer_path
 from .simhash import simhash_components
 
@@ -46,3 +47,12 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query()
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document as read back from the files: place, number and checksum."""
+    tokens = token_files.encode_documents(
+        read_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), shared_path(spark, "token-files"), end_id=2
+    )
+    return tokens.select(F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
