@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources.shared import shared_path
-from . import byte_bpe, token_files
+from . import byte_bpe, token_files, toxicity
 from .common import read_table, tokenizer_path
 from .simhash import simhash_components
 
@@ -56,3 +56,15 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         read_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), shared_path(spark, "token-files"), end_id=2
     )
     return tokens.select(F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query()
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; learned from labelled rows that are not held out."""
+    docs = read_table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, read_table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, model).withColumnRenamed("id", "doc_id")
+    return scored.select(
+        "doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        F.size("spans").alias("n_spans"),
+    )
