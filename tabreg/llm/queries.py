@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources.shared import shared_path
-from . import byte_bpe, token_files, toxicity
+from . import byte_bpe, lines, token_files, toxicity
 from .common import read_table, tokenizer_path
 from .simhash import simhash_components
 
@@ -68,3 +68,40 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
         F.size("spans").alias("n_spans"),
     )
+
+
+LINES_SQL = r"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS r, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents
+), l AS (
+  SELECT r, unnest(ls) AS line, unnest(range(len(ls))) AS i FROM d
+), w AS (
+  SELECT *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS nw FROM l
+), c AS (
+  SELECT *, sum(nw) OVER (PARTITION BY r ORDER BY i) AS upto FROM w
+), runs AS (
+  SELECT a.r, a.i AS s, min(b.i) AS e FROM c a JOIN c b ON a.r = b.r AND b.i >= a.i AND b.upto - a.upto + a.nw >= 10 GROUP BY a.r, a.i
+  UNION
+  SELECT b.r, max(a.i) AS s, b.i AS e FROM c a JOIN c b ON a.r = b.r AND b.i >= a.i AND b.upto - a.upto + a.nw >= 10 GROUP BY b.r, b.i
+), later AS (
+  SELECT r, s, e FROM (
+    SELECT runs.*, row_number() OVER (PARTITION BY array_to_string(ls[s + 1 : e + 1], chr(10)) ORDER BY r, s) AS nth
+    FROM runs JOIN d USING (r)
+  ) WHERE nth > 1
+), covered AS (
+  SELECT DISTINCT r, unnest(range(s, e + 1)) AS i FROM later
+)
+SELECT any_value(d.doc_id) AS doc_id, count(*) AS n_lines, count(covered.i) AS n_removed,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY l.i) FILTER (WHERE covered.i IS NULL), '')) AS kept_sha256
+FROM l JOIN d USING (r) LEFT JOIN covered ON l.r = covered.r AND l.i = covered.i
+GROUP BY l.r
+"""
+
+
+@query(LINES_SQL)
+def op7_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document, how many are later copies of repeated runs, and what is left."""
+    found = lines.line_report(read_table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"), "n_lines", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256")
+    )
