@@ -47,7 +47,7 @@ NEW_NUMBERS = [
     (0x1CCF0, 0x1CCF9), (0x1E5F1, 0x1E5FA),
 ]
 CHARS_AT_ONCE = 1 << 20
-CACHED_PIECES = 1 << 19
+CACHED_PIECES = 1 << 17
 
 
 def _function(*after: int) -> int:
