@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources.shared import shared_path
-from . import byte_bpe, lines, token_files, toxicity
+from . import byte_bpe, lines, preferences, token_files, toxicity
 from .common import read_table, tokenizer_path
 from .simhash import simhash_components
 
@@ -105,3 +105,47 @@ def op7_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         F.col("id").alias("doc_id"), "n_lines", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256")
     )
+
+
+PREFERENCES_SQL = r"""
+WITH t AS (
+  SELECT conv_id, list({'turn': turn, 'role': role, 'text': text} ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS ts
+  FROM conversations GROUP BY conv_id
+), p AS (
+  SELECT a.conv_id, a.ts AS c, list_concat(a.ts[1 : len(a.ts) // 2], list_filter(coalesce(b.ts, []), lambda x: x.turn >= len(a.ts) // 2)) AS r
+  FROM t a LEFT JOIN t b ON b.conv_id = a.conv_id + 1
+), q AS (
+  SELECT *, coalesce(list_position(list_transform(range(1, least(len(c), len(r)) + 1),
+    lambda i: c[i].role IS NOT DISTINCT FROM r[i].role AND c[i].text IS NOT DISTINCT FROM r[i].text), false), 0) AS differs FROM p
+), n AS (
+  SELECT *, CASE WHEN differs = 0 THEN least(len(c), len(r)) ELSE differs - 1 END AS n_shared FROM q
+), s AS (
+  SELECT conv_id, n_shared, c[1 : n_shared] AS a, c[n_shared + 1 :] AS b, r[n_shared + 1 :] AS d FROM n
+)
+SELECT conv_id, CAST(n_shared AS INTEGER) AS n_shared,
+  coalesce(array_to_string(list_transform(a, lambda x: '<|im_start|>' || coalesce(x.role, 'unknown') || chr(10) || coalesce(x.text, '') || '<|im_end|>' || chr(10)), ''), '') AS prompt,
+  coalesce(array_to_string(list_transform(b, lambda x: '<|im_start|>' || coalesce(x.role, 'unknown') || chr(10) || coalesce(x.text, '') || '<|im_end|>' || chr(10)), ''), '') AS chosen,
+  coalesce(array_to_string(list_transform(d, lambda x: '<|im_start|>' || coalesce(x.role, 'unknown') || chr(10) || coalesce(x.text, '') || '<|im_end|>' || chr(10)), ''), '') AS rejected,
+  coalesce(array_to_string(list_transform(b, lambda x: (13 + length(coalesce(x.role, 'unknown'))) || ':0,' || (11 + length(coalesce(x.text, ''))) || ':' || CASE WHEN x.role = 'assistant' THEN 1 ELSE 0 END), ','), '') AS chosen_mask,
+  coalesce(array_to_string(list_transform(d, lambda x: (13 + length(coalesce(x.role, 'unknown'))) || ':0,' || (11 + length(coalesce(x.text, ''))) || ':' || CASE WHEN x.role = 'assistant' THEN 1 ELSE 0 END), ','), '') AS rejected_mask
+FROM s
+"""
+
+
+@query(PREFERENCES_SQL)
+def op10_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation as chosen; rejected is its first half, continued by the next conversation's later turns."""
+    lists = preferences.turn_lists(read_table(spark, sf_dir, "conversations"))
+    following = lists.select((F.col("id") - 1).alias("id"), F.col("turns").alias("next"))
+    half = F.floor(F.size("turns") / 2).cast("int")
+    later = F.filter(F.coalesce("next", F.array().cast(preferences.TURNS)), lambda t: t["turn"] >= half)
+    pairs = lists.join(following, "id", "left").select(
+        "id", F.col("turns").alias("chosen"), F.concat(F.slice("turns", 1, half), later).alias("rejected")
+    )
+
+    def text(mask: str):
+        return F.array_join(F.transform(mask, lambda r: F.concat_ws(":", r["length"], r["learn"])), ",").alias(mask)
+
+    return preferences.format_pairs(pairs).select(
+        F.col("id").alias("conv_id"), "n_shared", "prompt", "chosen", "rejected", text("chosen_mask"), text("rejected_mask")
+    )
