@@ -221,6 +221,47 @@ def codec(rank_lines: bytes) -> Codec:
     return Codec({base64.b64decode(token): int(rank) for token, rank in map(bytes.split, rank_lines.splitlines())})
 
 
+def _encoder(docs: DataFrame, ranks_path: str, checked: bool):
+    """The task function; the rank file (bounded by its vocabulary) is read once and sent to the tasks."""
+    with open(ranks_path, "rb") as file:
+        ranks = docs.sparkSession.sparkContext.broadcast(file.read())
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        own, texts = codec(ranks.value), texts_of(batch)
+        ids = own.encode(texts)
+        offsets = pa.array(np.cumsum([0, *map(len, ids)]).astype(np.int32))
+        columns = [batch.column("id"), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(ids), pa.int32()))]
+        if checked:
+            columns.append(pa.array([own.decode(x) == t.encode("utf-8", "replace") for x, t in zip(ids, texts)]))
+        else:
+            ends = np.concatenate([np.cumsum(own.lengths[x]) for x in ids]).astype(np.int64)
+            columns.append(pa.ListArray.from_arrays(offsets, pa.array(ends, pa.int64())))
+        return pa.RecordBatch.from_arrays(columns, ["id", "ids", "round_trip" if checked else "ends"])
+
+    return per_batch(work)
+
+
+def encode(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, ids, ends): token ids of each text, and where each token ends in the text's UTF-8 bytes."""
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    return rows.mapInArrow(_encoder(docs, ranks_path, False), "id long, ids array<int>, ends array<long>")
+
+
+def encode_checked(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, ids, round_trip): token ids of each text, and whether they decode to its UTF-8 bytes."""
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    return rows.mapInArrow(_encoder(docs, ranks_path, True), "id long, ids array<int>, round_trip boolean")
+
+
+def decode(self, ids: np.ndarray) -> bytes:
+        return b"".join(map(self.vocabulary.__getitem__, ids.tolist()))
+
+
+@lru_cache(maxsize=2)
+def codec(rank_lines: bytes) -> Codec:
+    return Codec({base64.b64decode(token): int(rank) for token, rank in map(bytes.split, rank_lines.splitlines())})
+
+
 def encode(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, ids, ends): token ids of each text, and where each token ends in the text's UTF-8 bytes.
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources.shared import shared_path
-from . import byte_bpe, lines, preferences, token_files, toxicity
+from . import byte_bpe, decontaminate, lines, preferences, token_files, toxicity
 from .common import read_table, tokenizer_path
 from .simhash import simhash_components
 
@@ -149,3 +149,10 @@ def op10_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preferences.format_pairs(pairs).select(
         F.col("id").alias("conv_id"), "n_shared", "prompt", "chosen", "rejected", text("chosen_mask"), text("rejected_mask")
     )
+
+
+@query()
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and benchmark item that it holds within a fifth of the item's words."""
+    found = decontaminate.find_contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "distance", "first_word", "end_word")
