@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources.shared import shared_path
-from . import byte_bpe, decontaminate, lines, preferences, token_files, toxicity
+from . import byte_bpe, decontaminate, edit_counts, lines, preferences, token_files, toxicity
 from .common import read_table, tokenizer_path
 from .simhash import simhash_components
 
@@ -156,3 +156,20 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document and benchmark item that it holds within a fifth of the item's words."""
     found = decontaminate.find_contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return found.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "distance", "first_word", "end_word")
+
+
+@query()
+def op5_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document before and after three edits: its source put in front, a cut in the middle, its language at the end."""
+    ranks = tokenizer_path("byte_bpe_multi_50k.tiktoken")
+    size = F.coalesce(F.length("text"), F.lit(0))
+    edits = F.array(
+        F.struct(F.lit(0).alias("at"), F.lit(0).alias("removed"), F.concat(F.col("source"), F.lit("\n")).alias("inserted")),
+        F.struct((size / 2).cast("int").alias("at"), F.lit(7).alias("removed"), F.lit(None).cast("string").alias("inserted")),
+        F.struct(F.lit(2**31 - 1).alias("at"), F.lit(0).alias("removed"), F.concat(F.lit(" "), F.col("lang")).alias("inserted")),
+    )
+    docs = read_table(spark, sf_dir, "documents").withColumn("_llm_edits", edits)
+    trees = edit_counts.build_trees(docs, ranks, keep=("_llm_edits",)).withColumnRenamed("n_tokens", "n_before")
+    # the count before travels as one more column: trees give all others anew
+    both = edit_counts.apply_edit_lists(trees, ranks, "_llm_edits", keep=("n_before",))
+    return both.select(F.col("id").alias("doc_id"), "n_before", F.col("n_tokens").alias("n_after"), "n_encoded")
