@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources.shared import shared_path
-from . import byte_bpe, decontaminate, edit_counts, lines, preferences, token_files, toxicity
+from . import byte_bpe, decontaminate, edit_counts, lines, preferences, substrings, token_files, toxicity
 from .common import read_table, tokenizer_path
 from .simhash import simhash_components
 
@@ -173,3 +173,10 @@ def op5_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     # the count before travels as one more column: trees give all others anew
     both = edit_counts.apply_edit_lists(trees, ranks, "_llm_edits", keep=("n_before",))
     return both.select(F.col("id").alias("doc_id"), "n_before", F.col("n_tokens").alias("n_after"), "n_encoded")
+
+
+@query()
+def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document, how many lie in repeated windows of 35, and a digest of the rest."""
+    found = substrings.remove_repeats(read_table(spark, sf_dir, "documents"), length=35)
+    return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
