@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources.shared import shared_path
-from . import byte_bpe, decontaminate, edit_counts, lines, preferences, substrings, token_files, toxicity
+from . import byte_bpe, decontaminate, edit_counts, lines, preferences, search, substrings, token_files, toxicity
 from .common import read_table, tokenizer_path
 from .simhash import simhash_components
 
@@ -180,3 +180,11 @@ def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document, how many lie in repeated windows of 35, and a digest of the rest."""
     found = substrings.remove_repeats(read_table(spark, sf_dir, "documents"), length=35)
     return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query()
+def op6_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for every document whose id is divisible by 100, its whole text as query."""
+    docs = read_table(spark, sf_dir, "documents")
+    found = search.search(docs, docs.filter(F.col("doc_id") % 100 == 0), k=10)
+    return found.select(F.col("query").alias("query_id"), "rank", F.col("id").alias("doc_id"), F.round("score", 6).alias("score"))
