@@ -91,7 +91,7 @@ def _shard(ids: list, found: list[np.ndarray]) -> dict:
     return {
         "n_docs": n, "n_words": int(lengths.sum()), "ids": keys.tobytes(), "lengths": lengths[order].astype("<i4").tobytes(),
         "terms": terms.astype("<u8").tobytes(), "term_ends": np.searchsorted(term[first], np.arange(len(terms)), "right").astype("<i4").tobytes(),
-        "block_of": block[first].astype("<u2").tobytes(), "block_ends": np.append(first[1:], len(term)).astype("<i4").tobytes(),
+        "block_of": block[first].astype("<u2").tobytes(), "block_ends": np.append(first, len(term))[1:].astype("<i4").tobytes(),
         "docs": doc.astype("<u2").tobytes(), "counts": counts.astype("<i4").tobytes(),
     }
 

@@ -24,6 +24,7 @@ order of their hashes. An empty table gives empty files. Extra columns are ignor
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -41,6 +42,8 @@ BLOCK_TOKENS = 1 << 18
 CHECKPOINT = 64
 LOWEST = np.uint64(1 << 31)
 CACHED_WORDS = 1 << 18
+CACHED_PARTS = 1 << 18
+MARKS = r".,;:!?()[]{}<>|*_-%$#&/\@+=~^" + '"'
 BLOCKS_SCHEMA = (
     "shard int, block int, start long, n_tokens long, doc_ids array<long>, doc_tokens array<long>, words binary, "
     "states array<binary>, places array<long>, crcs array<long>"
@@ -51,42 +54,90 @@ BLOCKS_SCHEMA = (
 
 
 class Words(dict):
-    """Ids of words between ASCII white space, as little-endian 32-bit; forgets all when full."""
+    """Ids of words between ASCII white space, little-endian; forgets all when full."""
 
-    def __init__(self, definition: str):
+    def __init__(self, definition: str, kind: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.kind = kind
 
-    def __missing__(self, word: bytes) -> bytes:
+        self.parts: dict[str, bytes] = {}
+        suffix = json.loads(definition)["model"].get("end_of_word_suffix")
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.closes = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        if suffix:
+            self.closes[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        split = [t.encode("utf-8", "replace").split() for t in texts]
         if len(self) >= CACHED_WORDS:
             self.clear()
-        text = word.decode("utf-8", "replace")
-        ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(word) <= 64:
-            self[word] = ids
-        return ids
+        if len(self.parts) >= CACHED_PARTS:
+            self.parts.clear()
+        taken = {w: _taken_apart(w.decode("utf-8", "replace")) for w in {w for own in split for w in own}.difference(self)}
+        new = {part for own in taken.values() for part in own}.difference(self.parts)
+        letters = [part for part in new if part.isalpha()]
+        for at in range(0, len(letters), 2048):
+            self._encode_words(letters[at : at + 2048])
+        self._encode_each([part for part in new if not part.isalpha()])
+        self.update((w, b"".join([self.parts[part] for part in own])) for w, own in taken.items())
+        return [b"".join(map(self.__getitem__, own)) for own in split]
+
+
+    def _encode_each(self, some: list[str]) -> None:
+        found = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
+        self.parts.update(zip(some, [np.array(e.ids, self.kind).tobytes() for e in found]))
+
+    def _encode_words(self, some: list[str]) -> None:
+        """Many words in one call, told apart by the tokens that end words, where the vocabulary marks these."""
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, self.kind)
+        ends = np.flatnonzero(self.closes[ids]) + 1
+        if len(ends) != len(some) or (len(ends) and ends[-1] != len(ids)):
+            self._encode_each(some)
+            return
+        for word, a, b in zip(some, [0, *ends[:-1].tolist()], ends.tolist()):
+            self.parts[word] = ids[a:b].tobytes()
+
+
+def _taken_apart(word: str) -> tuple[str, ...]:
+    """Letters in lower case and the marks after them, which are encoded apart; other words stay whole.
+
+    The capital sigma stays too: in lower case it depends on its place.
+    """
+    core = word.rstrip(MARKS)
+    if core.isalpha() and "\u03a3" not in core:
+        return (core.lower(), word[len(core) :]) if len(core) < len(word) else (core.lower(),)
+    return (word,)
 
 
 @lru_cache(maxsize=2)
-def _words(definition: str) -> Words:
-    return Words(definition)
+def _words(definition: str, kind: str) -> Words:
+    return Words(definition, kind)
+
+
+def id_kind(tokenizer_path: str, end_id: int) -> str:
+    """Two bytes hold the ids of a vocabulary of up to 65,536, four those of a larger one."""
+    from tokenizers import Tokenizer
+
+    size = Tokenizer.from_file(tokenizer_path).get_vocab_size(with_added_tokens=True)
+    return "<u2" if max(size, end_id + 1) <= 1 << 16 else "<u4"
 
 
 def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, ids): ids of each text and the end id, little-endian 32-bit.
+    """(id, ids): ids of each text and the end id, little-endian, of the width that ``id_kind`` names.
 
     For tokenizers that never join text across ASCII white space, as those that drop it: words are then encoded once
     and looked up after.
     """
     with open(tokenizer_path, encoding="utf-8") as file:
         definition = docs.sparkSession.sparkContext.broadcast(file.read())
-    end = np.array([end_id], "<u4").tobytes()
+    kind = id_kind(tokenizer_path, end_id)
+    end = np.array([end_id], kind).tobytes()
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        known = _words(definition.value)
-        ids = [b"".join(map(known.__getitem__, t.encode("utf-8", "replace").split())) + end for t in texts_of(batch)]
+        ids = [own + end for own in _words(definition.value, kind).encode(texts_of(batch))]
         return pa.RecordBatch.from_arrays([batch.column("id"), pa.array(ids, pa.binary())], ["id", "ids"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
@@ -110,13 +161,13 @@ def frequencies(counts: np.ndarray) -> np.ndarray:
     return out
 
 
-def count_tokens(tokens: DataFrame) -> DataFrame:
-    """(token, n) over all rows of (id, ids)."""
+def count_tokens(tokens: DataFrame, kind: str) -> DataFrame:
+    """(token, n) over all rows of (id, ids of ``kind``)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in (part for whole in batches for part in parts(whole)):
-            ids = np.frombuffer(b"".join(batch.column("ids").to_pylist()), "<u4")
+            ids = np.frombuffer(b"".join(batch.column("ids").to_pylist()), kind)
             counts = np.bincount(ids, minlength=len(total))
             counts[: len(total)] += total
             total = counts
@@ -197,10 +248,10 @@ def decode_segment(segment: int, n: int, words: bytes, states: list[bytes], plac
 # ---- files
 
 
-def write_tokens(tokens: DataFrame, path: str) -> None:
-    """Write stored (id, ids) rows in ascending id order under ``path``."""
+def write_tokens(tokens: DataFrame, path: str, kind: str = "<u4") -> None:
+    """Write stored (id, ids of ``kind``) rows in ascending id order under ``path``."""
     spark = tokens.sparkSession
-    counted = count_tokens(tokens).toPandas()
+    counted = count_tokens(tokens, kind).toPandas()
     counts = np.zeros(int(counted["token"].max()) + 1 if len(counted) else 1, np.int64)
     counts[counted["token"].to_numpy(np.int64)] = counted["n"].to_numpy(np.int64)
     frequency = frequencies(counts)
@@ -208,6 +259,7 @@ def write_tokens(tokens: DataFrame, path: str) -> None:
         [(int(t), int(frequency[t])) for t in np.flatnonzero(frequency)], "token int, frequency int"
     ).coalesce(1).write.parquet(f"{path}/model")
     shared = spark.sparkContext.broadcast(frequency.astype("<i8").tobytes())
+    wide = np.dtype(kind).itemsize
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, shard = _model(shared.value), TaskContext.get().partitionId()
@@ -215,11 +267,11 @@ def write_tokens(tokens: DataFrame, path: str) -> None:
         ids, own_ids = [], []
 
         def flush() -> pa.RecordBatch:
-            flat = np.frombuffer(b"".join(own_ids), "<u4")
+            flat = np.frombuffer(b"".join(own_ids), kind).astype(np.uint32)
             stream, states, places, crcs = encode_block(flat, model)
             row = {
                 "shard": [shard], "block": [block], "start": [start], "n_tokens": [len(flat)], "doc_ids": [ids],
-                "doc_tokens": [[len(p) // 4 for p in own_ids]], "words": [stream], "states": [states],
+                "doc_tokens": [[len(p) // wide for p in own_ids]], "words": [stream], "states": [states],
                 "places": [places], "crcs": [crcs],
             }
             return pa.RecordBatch.from_pydict(row, schema=arrow)
@@ -228,7 +280,7 @@ def write_tokens(tokens: DataFrame, path: str) -> None:
             for key, own in zip(batch.column("id").to_pylist(), batch.column("ids").to_pylist()):
                 ids.append(key)
                 own_ids.append(own)
-                size += len(own) // 4
+                size += len(own) // wide
                 if size >= BLOCK_TOKENS:
                     yield flush()
                     block, start, size, ids, own_ids = block + 1, start + size, 0, [], []
@@ -284,5 +336,5 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
 def encode_documents(docs: DataFrame, tokenizer_path: str, path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Tokenise, write the files under ``path``, and read them back."""
     tokens = stage(tokenize(docs, tokenizer_path, end_id, id_col, text_col), "tokens")
-    write_tokens(tokens, path)
+    write_tokens(tokens, path, id_kind(tokenizer_path, end_id))
     return read_tokens(docs.sparkSession, path)
