@@ -107,8 +107,9 @@ def _taken_apart(word: str) -> tuple[str, ...]:
     The capital sigma stays too: in lower case it depends on its place.
     """
     core = word.rstrip(MARKS)
-    if core.isalpha() and "\u03a3" not in core:
-        return (core.lower(), word[len(core) :]) if len(core) < len(word) else (core.lower(),)
+    low = core.lower()
+    if core.isalpha() and low.isalpha() and "\u03a3" not in core:
+        return (low, word[len(core) :]) if len(core) < len(word) else (low,)
     return (word,)
 
 
