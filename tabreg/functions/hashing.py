@@ -8,27 +8,29 @@ equal on any layout and in any engine that has md5.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
+from decimal import Decimal, localcontext
+
 from pyspark.sql import Column, functions as F
 
-BUCKETS = 1 << 32
+DIGITS = 15
+BUCKETS = 1 << 4 * DIGITS
 
 
 def hash_digits(key: str | Sequence[str], seed: int | str) -> Column:
-    """Eight hex digits drawn uniformly: the first ones of md5('seed:key').
+    """Fifteen hex digits (60 bits) drawn uniformly: the first ones of md5('seed:key').
 
     Fixed width, so comparing the text compares the numbers; thresholds stay
     in this form and save the conversion.
     """
     names = [key] if isinstance(key, str) else list(key)
     text = F.concat_ws(":", F.lit(str(seed)), *[F.col(n).cast("string") for n in names])
-    return F.substring(F.md5(text), 1, 8)
+    return F.substring(F.md5(text), 1, DIGITS)
 
 
 def hash_bucket(key: str | Sequence[str], seed: int | str) -> Column:
-    """A uniform integer in [0, 2^32)."""
+    """A uniform integer in [0, 2^60)."""
     return F.conv(hash_digits(key, seed), 16, 10).cast("long")
 
 
@@ -39,15 +41,17 @@ def hash_fraction_below(key: str | Sequence[str], seed: int | str, fraction: flo
 
 
 def poisson_cutoffs(rate: float = 1.0) -> list[int]:
-    """Integer cut-offs int(CDF(k) * 2^32), k = 0, 1, ... until the tail is below 1e-6."""
-    cutoffs, term, cdf, k = [], math.exp(-rate), 0.0, 0
-    while True:
-        cdf += term
-        cutoffs.append(int(cdf * BUCKETS))
-        if 1.0 - cdf < 1e-6 or cutoffs[-1] >= BUCKETS:
-            return cutoffs
-        k += 1
-        term *= rate / k
+    """Integer cut-offs int(CDF(k) * 2^60), k = 0, 1, ... until the tail holds no point of the grid."""
+    with localcontext() as context:
+        context.prec = 50
+        mean = Decimal(str(rate))
+        cutoffs, term, cdf, k = [], (-mean).exp(), Decimal(0), 0
+        while (1 - cdf) * BUCKETS >= 1:
+            cdf += term
+            cutoffs.append(int(cdf * BUCKETS))
+            k += 1
+            term *= mean / k
+        return cutoffs
 
 
 def poisson_count(digits: Column, rate: float = 1.0) -> Column:
@@ -65,4 +69,4 @@ def poisson_positive(digits: Column, rate: float = 1.0) -> Column:
 
 
 def _digits(number: int) -> str:
-    return f"{number:08x}"
+    return f"{number:0{DIGITS}x}"

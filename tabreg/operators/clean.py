@@ -59,23 +59,21 @@ def deduplicate(
     return survivor.select(*[F.col(c) if c in keys else F.col(f"__row.{c}") for c in df.columns])
 
 
-def deduplicate_rare(df: DataFrame, broadcast_rows: int = 4_000_000) -> DataFrame:
+def deduplicate_rare(df: DataFrame) -> DataFrame:
     """Distinct whole rows of a wide table in which few rows are repeated.
 
     A first pass shuffles only a 64-bit fingerprint per row. Rows whose
     fingerprint occurs once are distinct and stay where they are; only the
     others go through the full shuffle. Equal rows have equal fingerprints, so
-    the result is exact, whatever collides. When more than ``broadcast_rows``
-    fingerprints repeat, all rows are shuffled as in ``deduplicate``.
+    the result is exact, whatever collides. The repeated fingerprints are a
+    stored table, so the planner knows its size when it joins.
     """
     fingerprint = "__fingerprint"
     marked = df.withColumn(fingerprint, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
     counted = marked.groupBy(fingerprint).agg(F.count(F.lit(1)).alias("n"))
     repeated = stage(counted.filter(F.col("n") > 1).select(fingerprint), "repeated")
-    if repeated.count() > broadcast_rows:
-        return df.dropDuplicates()
-    once = marked.join(F.broadcast(repeated), fingerprint, "left_anti")
-    several = marked.join(F.broadcast(repeated), fingerprint, "left_semi")
+    once = marked.join(repeated, fingerprint, "left_anti")
+    several = marked.join(repeated, fingerprint, "left_semi")
     return once.drop(fingerprint).unionByName(several.drop(fingerprint).dropDuplicates())
 
 
@@ -174,7 +172,8 @@ class OutlierFilterModel(Model, _OutlierParams, DefaultParamsReadable, DefaultPa
         if self._check_action() == "filter":
             return dataset.filter(self.accepts())
         value, (low, high) = F.col(self.getInputCol()), self.bounds
-        clipped = F.when(value.isNotNull(), F.greatest(F.least(value, F.lit(high)), F.lit(low)))
+        moved = F.when(value.isNotNull(), F.greatest(F.least(value, F.lit(high)), F.lit(low)))
+        clipped = F.when(F.isnan(value.cast("double")), value).otherwise(moved)  # NaN is missing, not large
         return dataset.withColumn(self.getInputCol(), clipped)
 
 

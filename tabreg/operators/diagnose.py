@@ -35,9 +35,12 @@ def residual_summary(
 
 
 def histogram(df: DataFrame, value: Column, bins: int = 50) -> DataFrame:
-    """(bin, lower_edge, upper_edge, row_count) of all ``bins`` equal-width bins."""
-    values = df.select(value.cast("double").alias("v")).filter(F.col("v").isNotNull())
-    low, high = values.agg(F.min("v")).scalar(), values.agg(F.max("v")).scalar()
+    """(bin, lower_edge, upper_edge, row_count) of all ``bins`` equal-width bins over the values that are neither NULL nor NaN.
+
+    The edges come from one aggregate, run when this is called.
+    """
+    values = df.select(value.cast("double").alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
+    low, high = _edges(values, "v")["v"]
     counted = (
         values.select(equal_width_bin(F.col("v"), low, high, bins).alias("bin"))
         .groupBy("bin")
@@ -47,7 +50,7 @@ def histogram(df: DataFrame, value: Column, bins: int = 50) -> DataFrame:
     all_bins = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     flat = low == high
     start = F.when(flat, low - 0.5).otherwise(low)
-    width = F.when(flat, F.lit(1.0)).otherwise(high - low) / bins
+    width = F.when(flat, F.lit(1.0)).otherwise(high - low) / F.lit(bins)
     return all_bins.join(counted, "bin", "left").select(
         "bin",
         (start + F.col("bin") * width).alias("lower_edge"),
@@ -57,22 +60,32 @@ def histogram(df: DataFrame, value: Column, bins: int = 50) -> DataFrame:
 
 
 def bins_2d(df: DataFrame, x: str = "label", y: str = "prediction", bins: int = 20) -> DataFrame:
-    """(x_bin, y_bin, row_count) of the non-empty cells: a scatter plot of any number of rows."""
-    pairs = df.select(F.col(x).alias("x"), F.col(y).alias("y")).na.drop()
-    edges = {
-        axis: (pairs.agg(F.min(axis)).scalar(), pairs.agg(F.max(axis)).scalar()) for axis in ("x", "y")
-    }
+    """(x_bin, y_bin, row_count) of the non-empty cells: a scatter plot of any number of rows.
+
+    Pairs with a NULL or NaN are left out. The edges of both axes come from one aggregate, run when this is called.
+    """
+    pairs = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).na.drop()
+    edges = _edges(pairs, "x", "y")
     cells = pairs.select(
         *[equal_width_bin(F.col(a), *edges[a], bins).alias(f"{a}_bin") for a in ("x", "y")]
     )
     return cells.groupBy("x_bin", "y_bin").agg(F.count(F.lit(1)).alias("row_count"))
 
 
+def _edges(df: DataFrame, *names: str) -> dict[str, tuple[Column, Column]]:
+    """Smallest and largest value of each column, as literals."""
+    row = df.agg(*[f(n).alias(f"{f.__name__}_{n}") for n in names for f in (F.min, F.max)]).first()
+    return {n: tuple(F.lit(row[f"{f.__name__}_{n}"]).cast("double") for f in (F.min, F.max)) for n in names}
+
+
 def sample_pairs(df: DataFrame, key: str, size: int = 10_000, seed: int = 42) -> DataFrame:
-    """About ``size`` rows for plotting, chosen by key hash (all rows when there are fewer)."""
+    """About ``size`` rows for plotting, chosen by key hash (all rows when there are fewer).
+
+    The draw has a hash domain of its own, so it is independent of splits and folds with the same seed.
+    """
     total = df.agg(F.count(F.lit(1))).scalar()
-    keep = F.when(total <= size, F.lit(float(BUCKETS))).otherwise(F.lit(float(BUCKETS) * size) / total)
-    return df.filter(hash_bucket(key, seed) < keep)
+    share = F.least(F.lit(1.0), F.lit(float(size)) / total)
+    return df.filter(hash_bucket(key, f"sample:{seed}") < share * F.lit(float(BUCKETS)))
 
 
 def top_features(importance: DataFrame, n: int = 15) -> DataFrame:

@@ -22,8 +22,6 @@ from pyspark.sql.types import StringType
 CALENDAR_COLUMNS = ("trans_year", "trans_month", "trans_quarter", "trans_dayofweek")
 DATE_PATTERN = "dd-MM-yyyy"
 CODE_SUFFIX = "_indexed"
-# Columns with more values than this are identifiers rather than categories.
-MAX_CATEGORIES = 100_000
 
 
 class CalendarFeatures(Transformer, DefaultParamsReadable, DefaultParamsWritable):
@@ -70,23 +68,35 @@ class LabelColumn(Transformer, DefaultParamsReadable, DefaultParamsWritable):
         return dataset.withColumn("label", F.col(self.getOrDefault("targetCol")).cast("double"))
 
 
-def coded(columns: Sequence[str]) -> list[str]:
-    return [c + CODE_SUFFIX for c in columns]
+class RequiredInputs(Transformer, DefaultParamsReadable, DefaultParamsWritable):
+    """Blanks the prediction where an input of the vector is missing, and names the first such input.
 
+    Follows a model whose vector keeps incomplete rows: every row comes back, with a NULL prediction and its name in
+    ``unscored_reason``, or with a prediction and NULL there.
+    """
 
-def require_categories(df: DataFrame, columns: Sequence[str], limit: int = MAX_CATEGORIES) -> None:
-    """Raise when a column has clearly more than ``limit`` distinct values.
+    inputCols = Param(Params._dummy(), "inputCols", "numeric inputs that must be present", TypeConverters.toListString)
+    predictionCol = Param(Params._dummy(), "predictionCol", "column to blank", TypeConverters.toString)
 
-    The dictionary of a coded column lives on the driver and in every model,
-    so an identifier passed as a category has to be noticed before the fit.
-    One pass with fixed-size sketches for all columns.
-    """
-    if not columns:
-        return
-    counts = df.agg(*[F.approx_count_distinct(c, 0.05).alias(c) for c in columns]).first()
-    large = {c: counts[c] for c in columns if counts[c] > limit * 1.1}
-    if large:
-        raise ValueError(f"too many categories to code (limit {limit}): {large}")
+    @keyword_only
+    def __init__(self, *, inputCols=(), predictionCol="prediction"):
+        super().__init__()
+        self._setDefault(inputCols=[], predictionCol="prediction")
+        self._set(**{**self._input_kwargs, "inputCols": list(inputCols)})
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        names, prediction = self.getOrDefault("inputCols"), self.getOrDefault("predictionCol")
+        absent = [
+            F.when(F.col(n).isNull() | F.isnan(F.col(n).cast("double")), F.lit(n)) for n in names
+        ]
+        reason = F.coalesce(*absent, F.lit(None).cast("string"))
+        return dataset.withColumn("unscored_reason", reason).withColumn(
+            prediction, F.when(F.col("unscored_reason").isNull(), F.col(prediction))
+        )
+
+
+def coded(columns: Sequence[str]) -> list[str]:
+    return [c + CODE_SUFFIX for c in columns]
 
 
 def category_indexer(columns: Sequence[str], handle_invalid: str = "keep") -> StringIndexer:
@@ -170,7 +180,6 @@ def engineer_features(
     **options,
 ) -> tuple[DataFrame, list[str], PipelineModel]:
     """Fit the feature pipeline on ``df`` and apply it: (rows, feature names, model)."""
-    require_categories(df, categorical)
     model = feature_pipeline(numeric, categorical, date_col, target_col, **options).fit(df)
     return model.transform(df), [*numeric, *CALENDAR_COLUMNS, *coded(categorical)], model
 

@@ -15,10 +15,11 @@ def regression_metrics(
 ) -> DataFrame:
     """RMSE, MAE, R2 and MAPE of all groups in one aggregate.
 
-    MAPE (percent) is over non-zero labels and 0.0 when there are none;
+    Rows without a label or a prediction count in none of them. MAPE (percent) is over non-zero labels and 0.0 when there are none;
     ``n_nonzero`` tells the two apart. R2 is NULL when the label is constant.
     """
-    actual, error = F.col(label), F.col(label) - F.col(prediction)
+    error = F.col(label) - F.col(prediction)
+    actual = F.when(error.isNotNull(), F.col(label))
     squared = F.sum(error * error)
     n = F.count(error)
     ratio = F.when(actual != 0, F.abs(error / actual) * 100)

@@ -3,8 +3,8 @@
 An exact percentile aggregate keeps every value in one buffer and a global sort
 moves every value, so neither holds for columns of 10^12 values. Here a sketch
 brackets the wanted ranks, a counting pass says how many values lie below and
-inside each bracket, and the bracket is refined until few enough values are
-left to look at. Each pass is a narrow scan of the wanted columns with partial
+inside each bracket, and the bracket is refined until the
+wanted rank falls on one of its ends. Each pass is a narrow scan of the wanted columns with partial
 aggregation; nothing is shuffled but one row per task, and repeated values
 (one price holding a third of the rows) end the search at once.
 """
@@ -19,27 +19,25 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F
 
 SKETCH_ACCURACY = 10_000
-# Largest bracket whose values are looked at directly, one array per open target.
-SMALL_BRACKET = 10_000
 
 
 @dataclass
 class _Target:
-    """Search state of one (column, rank): the value lies in (low, high)."""
+    """Search state of one (column, rank): the value lies in (low, high), None where a side is open."""
 
     column: str
     rank: int  # 1-based rank within (low, high)
     size: int  # number of values within (low, high)
-    low: float = -math.inf
-    high: float = math.inf
+    low: float | None = None
+    high: float | None = None
     value: float | None = None
 
     def inside(self) -> Column:
         v = F.col(self.column)
         condition = v.isNotNull()
-        if self.low > -math.inf:
+        if self.low is not None:
             condition &= v > F.lit(self.low)
-        if self.high < math.inf:
+        if self.high is not None:
             condition &= v < F.lit(self.high)
         return condition
 
@@ -136,27 +134,9 @@ def _ranks(p: float, n: int, interpolate: bool) -> list[int]:
 
 
 def _select(values: DataFrame, targets: list[_Target]) -> None:
+    """Every pass takes at least an end off each bracket; a small bracket's sketch is exact and ends its search."""
     while open_targets := [t for t in targets if t.value is None]:
-        small = [t for t in open_targets if t.size <= SMALL_BRACKET]
-        large = [t for t in open_targets if t.size > SMALL_BRACKET]
-        if large:
-            _narrow(values, large)
-        else:
-            _look_up(values, small)
-
-
-def _look_up(values: DataFrame, targets: list[_Target]) -> None:
-    """Fetch the at most SMALL_BRACKET values of each bracket, shared between equal ones."""
-    brackets = _by_bracket(targets)
-    row = values.agg(
-        *[
-            F.array_sort(F.collect_list(F.when(group[0].inside(), F.col(group[0].column)))).alias(f"b{i}")
-            for i, group in enumerate(brackets)
-        ]
-    ).first()
-    for i, group in enumerate(brackets):
-        for target in group:
-            target.value = row[f"b{i}"][target.rank - 1]
+        _narrow(values, open_targets)
 
 
 def _narrow(values: DataFrame, targets: list[_Target]) -> None:
@@ -204,7 +184,7 @@ def _narrow(values: DataFrame, targets: list[_Target]) -> None:
 
 
 def _by_bracket(targets: list[_Target]) -> list[list[_Target]]:
-    groups: dict[tuple[str, float, float], list[_Target]] = {}
+    groups: dict[tuple[str, float | None, float | None], list[_Target]] = {}
     for target in targets:
         groups.setdefault((target.column, target.low, target.high), []).append(target)
     return list(groups.values())

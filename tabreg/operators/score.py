@@ -15,8 +15,6 @@ from .features import DATE_PATTERN
 # Accepted input range of a request.
 MIN_AREA, MAX_AREA = 1.0, 100_000.0
 MIN_DATE, MAX_DATE = datetime.date(2004, 1, 1), datetime.date(2030, 12, 31)
-# A dictionary up to this many rows is sent to every executor; a larger one is shuffled.
-BROADCAST_ROWS = 1_000_000
 
 
 def score(
@@ -28,9 +26,10 @@ def score(
 ) -> DataFrame:
     """Adds ``predicted_price`` (at least 0), ``price_per_area`` and ``price_text``.
 
-    Stateless and narrow: the same call serves one row, a table or a stream.
+    Stateless and narrow: the same call serves one row, a table or a stream. A request without a prediction has
+    no price.
     """
-    price = F.greatest(F.lit(0.0), F.col(prediction_col))
+    price = F.when(F.col(prediction_col).isNotNull(), F.greatest(F.lit(0.0), F.col(prediction_col)))
     return (
         model.transform(requests)
         .withColumn("predicted_price", price)
@@ -48,11 +47,11 @@ def validate_requests(
     min_date: datetime.date = MIN_DATE,
     max_date: datetime.date = MAX_DATE,
     pattern: str = DATE_PATTERN,
-    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Adds ``area_ok``, ``date_ok``, ``<category>_ok`` and their conjunction ``is_valid``.
 
-    A category is accepted when the dictionary (column_name, value) lists it.
+    A category is accepted when the dictionary (column_name, value) lists it. A stored dictionary lets the planner choose
+    the join by its size.
     """
     day = F.col(date_col)
     if isinstance(requests.schema[date_col].dataType, StringType):
@@ -61,15 +60,13 @@ def validate_requests(
         "area_ok": _sure(F.col(area_col).between(MIN_AREA, MAX_AREA)),
         "date_ok": _sure(day.between(F.lit(min_date), F.lit(max_date))),
     })
-    small = dictionary.limit(broadcast_rows + 1).count() <= broadcast_rows
     for name in categorical:
         known = (
             dictionary.filter(F.col("column_name") == name)
             .select(F.col("value").alias(name), F.lit(True).alias("__known"))
             .distinct()
         )
-        # Left to itself the join is shuffled, and adaptive execution splits hot values.
-        flagged = flagged.join(F.broadcast(known) if small else known, name, "left")
+        flagged = flagged.join(known, name, "left")
         flagged = flagged.withColumn(f"{name}_ok", _sure(F.col("__known"))).drop("__known")
     flags = ["area_ok", "date_ok", *[f"{c}_ok" for c in categorical]]
     valid = flagged.withColumn("is_valid", F.least(*flags) if len(flags) > 1 else F.col(flags[0]))

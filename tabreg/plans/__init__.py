@@ -8,6 +8,7 @@ from .training import (
     cross_validate,
     fit_models,
     serving_features,
+    serving_fills,
     stack_predictions,
 )
 
@@ -24,6 +25,7 @@ __all__ = [
     "load_served",
     "sales_rows",
     "serving_features",
+    "serving_fills",
     "stack_predictions",
     "train_for_serving",
 ]

@@ -10,9 +10,9 @@ from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, functions as F
 
-from ..operators.clean import UNKNOWN, fill_constants, present_mean, require
+from ..operators.clean import UNKNOWN, MissingValueImputerModel, present_mean, require
 from ..operators.ensemble import BaggingRegressor
-from ..operators.features import CALENDAR_COLUMNS, CalendarFeatures, LabelColumn
+from ..operators.features import CALENDAR_COLUMNS, CalendarFeatures, LabelColumn, largest_arity
 from ..operators.metrics import cv_summary, model_comparison, regression_metrics
 from ..operators.overlap import overlapped
 from ..operators.resample import assign_folds, fold_split
@@ -21,7 +21,10 @@ ModelSpec = Estimator | Callable[[], Estimator]
 
 
 def baseline_models(max_bins: int = 256, **bagging) -> dict[str, Estimator]:
-    """The four compared regressors with their standard settings."""
+    """The four compared regressors with their standard settings.
+
+    Fits raise ``maxBins`` to the number of categories of the widest coded column, for all tree models.
+    """
     # Names and settings of the compared models.
     return {
         "Linear Regression": LinearRegression(maxIter=100, regParam=0.1),
@@ -31,24 +34,28 @@ def baseline_models(max_bins: int = 256, **bagging) -> dict[str, Estimator]:
     }
 
 
+def serving_fills(df: DataFrame, mean_cols: Sequence[str], zero_cols: Sequence[str], categorical: Sequence[str]) -> MissingValueImputerModel:
+    """Fills by column name, as a stage that goes with the model: means, zeros, and 'Unknown' for categories."""
+    fills: dict = {**dict.fromkeys(categorical, UNKNOWN), **dict.fromkeys(zero_cols, 0)}
+    if mean_cols:
+        means = df.agg(*[present_mean(c).alias(f"m{i}") for i, c in enumerate(mean_cols)]).first()
+        fills.update({c: means[f"m{i}"] for i, c in enumerate(mean_cols) if means[f"m{i}"] is not None})
+    return MissingValueImputerModel(fills)
+
+
 def serving_features(
     df: DataFrame,
     target_col: str,
     date_col: str,
-    area_col: str | None,
-    parking_col: str | None,
+    mean_cols: Sequence[str],
+    zero_cols: Sequence[str],
     categorical: Sequence[str],
-) -> DataFrame:
-    """Rows for the served model: calendar parts, constant fills, label, no missing target or date."""
+) -> tuple[DataFrame, MissingValueImputerModel]:
+    """(rows for the served model, its fills): calendar parts, fills, label, no missing target or date."""
     dated = CalendarFeatures(dateCol=date_col).transform(df)
-    fills: dict = dict.fromkeys(categorical, UNKNOWN)
-    if parking_col:
-        fills[parking_col] = 0
-    area_mean = dated.agg(present_mean(area_col)).first()[0] if area_col else None
-    if area_mean is not None:
-        fills[area_col] = area_mean
-    kept = require(fill_constants(dated, fills), [target_col, CALENDAR_COLUMNS[0]])
-    return LabelColumn(targetCol=target_col).transform(kept)
+    fills = serving_fills(dated, mean_cols, zero_cols, categorical)
+    kept = require(fills.transform(dated), [target_col, CALENDAR_COLUMNS[0]])
+    return LabelColumn(targetCol=target_col).transform(kept), fills
 
 
 class CrossValidation:
@@ -114,20 +121,24 @@ def cross_validate(
     if cache:
         folded = folded.persist(StorageLevel.MEMORY_AND_DISK)
     keys = [] if key is None else [key] if isinstance(key, str) else list(key)
-    filled = folded.select("fold").distinct().count()
-    if filled < k:
-        folded.unpersist()
-        raise ValueError(f"only {filled} of {k} folds have rows")
 
     def fit(task: tuple[str, int]):
         name, fold = task
         train, _ = fold_split(folded, fold, k)
         if train_only is not None:
             train = train_only.copy().fit(train).transform(train)
-        return _fresh(named[name], cache, one_fit_of_many=True).fit(train)
+        return _fresh(named[name], train, cache, one_fit_of_many=True).fit(train)
 
     tasks = [(name, fold) for name in named for fold in range(k)]
-    fitted = dict(zip(tasks, overlapped(df.sparkSession, fit, tasks, parallelism)))
+    try:
+        filled = folded.select("fold").distinct().count()
+        if filled < k:
+            raise ValueError(f"only {filled} of {k} folds have rows")
+        fitted = dict(zip(tasks, overlapped(df.sparkSession, fit, tasks, parallelism)))
+    except BaseException:
+        if cache:
+            folded.unpersist()
+        raise
 
     scored = []
     for fold in range(k):
@@ -148,7 +159,7 @@ def fit_models(
         train = train.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         fitted = overlapped(
-            train.sparkSession, lambda m: _fresh(m, cache).fit(train), list(models.values()), parallelism
+            train.sparkSession, lambda m: _fresh(m, train, cache).fit(train), list(models.values()), parallelism
         )
         return dict(zip(models, fitted))
     finally:
@@ -183,7 +194,7 @@ def _scored_together(fitted: dict) -> list[dict]:
     return [g for g in [plain, *[{n: m} for n, m in fitted.items() if n not in plain]] if g]
 
 
-def _fresh(spec: ModelSpec, rows_cached: bool, one_fit_of_many: bool = False) -> Estimator:
+def _fresh(spec: ModelSpec, train: DataFrame, rows_cached: bool, one_fit_of_many: bool = False) -> Estimator:
     """An estimator of its own for one fit, told what its surroundings already do."""
     estimator = spec.copy() if isinstance(spec, Estimator) else spec()
     settings = {}
@@ -191,4 +202,8 @@ def _fresh(spec: ModelSpec, rows_cached: bool, one_fit_of_many: bool = False) ->
         settings[estimator.getParam("cacheInput")] = False
     if one_fit_of_many and estimator.hasParam("parallelism"):
         settings[estimator.getParam("parallelism")] = 1
+    if estimator.hasParam("maxBins") and estimator.hasParam("featuresCol"):
+        features, bins = estimator.getOrDefault("featuresCol"), estimator.getParam("maxBins")
+        if features in train.columns:
+            settings[bins] = max(estimator.getOrDefault(bins), largest_arity(train, features))
     return estimator.copy(settings)

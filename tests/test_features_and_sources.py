@@ -119,16 +119,31 @@ def test_sample_keeps_everything_when_small(spark):
     assert 0 < sample_pairs(spark.range(5000), "id", size=500).count() < 1000
 
 
-def test_validation_is_the_same_broadcast_or_shuffled(spark):
+def test_sample_is_independent_of_the_split(spark):
+    from tabreg.operators.resample import holdout_split
+
+    for part in holdout_split(spark.range(20_000), "id"):
+        assert 1600 < sample_pairs(part, "id", size=2000).count() < 2400
+
+
+def test_nan_and_null_are_in_no_bin(spark):
+    from tabreg.operators.diagnose import bins_2d
+
+    df = spark.createDataFrame([(0.0, 1.0), (10.0, 2.0), (float("nan"), 3.0), (None, 4.0)], "x double, y double")
+    assert [r.row_count for r in histogram(df, F.col("x"), bins=2).orderBy("bin").collect()] == [1, 1]
+    assert sum(r.row_count for r in bins_2d(df, "x", "y", bins=2).collect()) == 2
+    assert sum(r.row_count for r in histogram(df.limit(0), F.col("x"), bins=2).collect()) == 0
+
+
+def test_validation_flags_each_reason(spark):
     known = spark.createDataFrame([("c", "a"), ("c", "b"), ("other", "z")], "column_name string, value string")
     asked = spark.createDataFrame(
         [(1, 50.0, "01-01-2020", "a"), (2, 0.5, "01-01-2020", "b"), (3, 50.0, "01-01-2031", "a"), (4, 50.0, "01-01-2020", "z"), (5, None, None, None)],
         "id int, procedure_area double, instance_date string, c string",
     )
-    for limit in (1_000_000, 0):
-        checked = validate_requests(asked, known, ["c"], broadcast_rows=limit).orderBy("id").collect()
-        assert [r.is_valid for r in checked] == [True, False, False, False, False]
-        assert [r.c_ok for r in checked] == [True, True, True, False, False]
+    checked = validate_requests(asked, known, ["c"]).orderBy("id").collect()
+    assert [r.is_valid for r in checked] == [True, False, False, False, False]
+    assert [r.c_ok for r in checked] == [True, True, True, False, False]
 
 
 def test_partitioned_table_prunes_and_is_gathered(spark, tmp_path):
@@ -145,11 +160,11 @@ def test_partitioned_table_prunes_and_is_gathered(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(year" in plan
 
 
-def test_identifiers_are_not_coded_as_categories(spark):
-    from tabreg.operators.features import require_categories
+def test_missing_inputs_are_named_and_not_scored(spark, tmp_path):
+    from tabreg.operators.features import RequiredInputs
 
-    df = spark.range(5000).select(F.col("id").cast("string").alias("name"), (F.col("id") % 3).alias("kind"))
-    require_categories(df, ["kind"], limit=10)
-    require_categories(df, [])
-    with pytest.raises(ValueError, match="name"):
-        require_categories(df, ["name", "kind"], limit=1000)
+    df = spark.createDataFrame([(1.0, 2, 5.0), (None, None, 5.0), (float("nan"), 1, 5.0), (1.0, None, 5.0)], "a double, b int, prediction double")
+    stage_ = RequiredInputs(inputCols=["a", "b"])
+    stage_.write().overwrite().save(str(tmp_path / "required"))
+    rows = RequiredInputs.load(str(tmp_path / "required")).transform(df).collect()
+    assert [(r.prediction, r.unscored_reason) for r in rows] == [(5.0, None), (None, "a"), (None, "a"), (None, "b")]

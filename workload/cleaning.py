@@ -78,6 +78,19 @@ def outlier_clip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return OutlierFilter(inputCol=TARGET, method="percentile", action="clip").fit(rows).transform(rows)
 
 
+@query(with_ctes("txn", extra="""n AS (SELECT txn_id, CASE WHEN txn_id % 23 <> 0 THEN procedure_area END AS area FROM txn),
+lim AS (SELECT quantile_disc(area, 0.01) AS lo, quantile_disc(area, 0.99) AS hi FROM n)""",
+    select="SELECT txn_id, txn_id % 23 = 0 AS was_nan, CASE WHEN area IS NOT NULL THEN greatest(least(area, hi), lo) END AS area FROM n, lim"))
+def outlier_clip_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NaN stays NaN (shown as NULL with a flag) and is not moved to a bound."""
+    rows = txn_nan(spark, sf_dir).select("txn_id", "nan_area")
+    clipped = OutlierFilter(inputCol="nan_area", method="percentile", action="clip").fit(rows).transform(rows)
+    return clipped.select(
+        "txn_id", F.coalesce(F.isnan("nan_area"), F.lit(False)).alias("was_nan"),
+        F.when(~F.isnan("nan_area"), F.col("nan_area")).alias("area"),
+    )
+
+
 @query(with_ctes("txn", select="SELECT * EXCLUDE (sparse_value) FROM txn"))
 def drop_sparse_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = txn(spark, sf_dir)

@@ -137,7 +137,7 @@ s AS (SELECT txn_id, CAST(try_strptime(instance_date, '%d-%m-%Y') AS DATE) AS d,
   CAST(dayofweek(d) + 1 AS INT) AS trans_dayofweek FROM s WHERE d IS NOT NULL"""))
 def feature_table_serving(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = clean_for_serving(txn(spark, sf_dir), TARGET, KIND)
-    rows = serving_features(kept, TARGET, DATE, AREA, PARKING, CATEGORICAL)
+    rows, _ = serving_features(kept, TARGET, DATE, [AREA], [PARKING], CATEGORICAL)
     return rounded(rows, 6, AREA).select(
         "txn_id", *CATEGORICAL, AREA, PARKING, "label",
         "trans_year", "trans_month", "trans_quarter", "trans_dayofweek",

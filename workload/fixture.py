@@ -149,4 +149,4 @@ def with_ctes(*names: str, extra: str = "", select: str) -> str:
 
 def bucket_sql(key: str, seed: str) -> str:
     """The SQL twin of ``hash_bucket``; ``seed`` is an SQL string expression."""
-    return f"CAST(concat('0x', substr(md5(concat({seed}, ':', {key})), 1, 8)) AS BIGINT)"
+    return f"CAST(concat('0x', substr(md5(concat({seed}, ':', {key})), 1, 15)) AS BIGINT)"

@@ -28,7 +28,7 @@ from tabreg.plans import baseline_models, cross_validate, fit_models, stack_pred
 from tabreg.sources import shared_path, stage
 
 from .features import clean_rows, feature_rows
-from .fixture import AREA, TARGET, bucket_sql, txn, with_ctes
+from .fixture import AREA, TARGET, bucket_sql, txn, txn_nan, with_ctes
 from .registry import query, rounded
 from .resampling import K, SEED, fold_sql, in_train_sql, poisson_sql
 
@@ -224,6 +224,15 @@ def metrics_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown_metrics(regression_metrics(scored, ["property_type"]))
 
 
+@query(with_ctes("txn", extra="preds AS (SELECT property_type, actual_worth AS label, 9000 * procedure_area AS prediction FROM txn WHERE txn_id % 3 > 0 AND actual_worth IS NOT NULL AND procedure_area IS NOT NULL)",
+    select=f"SELECT property_type, {_ROUNDED_METRICS} FROM (SELECT property_type, {_METRICS} FROM preds GROUP BY property_type)"))
+def metrics_null_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the rows have no prediction; no metric may look at them."""
+    prediction = F.when(F.col("txn_id") % 3 > 0, F.col(AREA) * 9000)
+    scored = txn(spark, sf_dir).select("property_type", F.col(TARGET).alias("label"), prediction.alias("prediction"))
+    return _shown_metrics(regression_metrics(scored, ["property_type"]))
+
+
 def holdout_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = holdout_split(stage(cell_rows(spark, sf_dir)), "txn_id")
     fitted = fit_models(train, {LINEAR: linear(), TREE: cell_tree(), BAGGING: cell_bagging()})
@@ -347,8 +356,8 @@ def pred_actual_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(with_ctes("clean", extra=_SCORED, select=f"""SELECT txn_id, label, prediction FROM scored
-  WHERE {bucket_sql('txn_id', repr(str(SEED)))}
-  < CASE WHEN (SELECT count(*) FROM scored) <= 500 THEN 4294967296.0 ELSE 4294967296.0 * 500 / (SELECT count(*) FROM scored) END"""))
+  WHERE {bucket_sql('txn_id', repr(f'sample:{SEED}'))}
+  < least(CAST(1 AS DOUBLE), CAST(500 AS DOUBLE) / (SELECT count(*) FROM scored)) * CAST(1152921504606846976 AS DOUBLE)"""))
 def pred_actual_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sample_pairs(tree_predictions(spark, sf_dir), "txn_id", size=500, seed=SEED)
 
@@ -361,3 +370,9 @@ def price_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(with_ctes("clean", extra=histogram_sql("clean", "ln(actual_worth + 1)"), select="SELECT * FROM hist"))
 def price_log_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(histogram(clean_rows(spark, sf_dir), F.log1p(TARGET)), 6, "lower_edge", "upper_edge")
+
+
+@query(with_ctes("txn", extra=histogram_sql("(SELECT procedure_area AS p FROM txn WHERE txn_id % 23 <> 0)", "p"), select="SELECT * FROM hist"))
+def histogram_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NaN is in no bin and moves no edge."""
+    return rounded(histogram(txn_nan(spark, sf_dir), F.col("nan_area")), 6, "lower_edge", "upper_edge")

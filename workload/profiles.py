@@ -116,6 +116,17 @@ def quantiles_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _quantile_frame(spark, exact_quantiles(txn(spark, sf_dir), [AREA, "sparse_value", TARGET], _PROBABILITIES))
 
 
+_INFINITE = "CASE WHEN txn_id % 7 = 0 THEN CAST('-inf' AS DOUBLE) WHEN txn_id % 11 = 0 THEN CAST('inf' AS DOUBLE) ELSE actual_worth END"
+
+
+@query(with_ctes("txn", extra=f"v AS (SELECT {_INFINITE} AS v FROM txn)", select=" UNION ALL ".join(
+    f"SELECT 'v' AS column_name, CAST({p} AS DOUBLE) AS probability, quantile_disc(v, {p}) AS value FROM v" for p in _PROBABILITIES)))
+def quantiles_infinite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Infinite values are values: ranks among them, and between them and the others."""
+    endless = F.when(F.col("txn_id") % 7 == 0, F.lit(float("-inf"))).when(F.col("txn_id") % 11 == 0, F.lit(float("inf"))).otherwise(F.col(TARGET))
+    return _quantile_frame(spark, exact_quantiles(txn(spark, sf_dir).select(endless.alias("v")), "v", _PROBABILITIES))
+
+
 @query(with_ctes("txn", select=_quantile_sql("quantile_cont").split("\n")[-1]
     .replace("CAST(quantile_cont", "round(CAST(quantile_cont").replace(" AS DOUBLE) AS value", " AS DOUBLE), 4) AS value")))
 def quantiles_interpolated(spark: SparkSession, sf_dir: str) -> DataFrame:

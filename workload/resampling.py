@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tabreg.functions.hashing import BUCKETS, poisson_cutoffs
 from tabreg.operators.resample import (
     assign_folds,
     bootstrap_rows,
@@ -19,7 +18,23 @@ from .fixture import bucket_sql, txn, with_ctes
 from .registry import query
 
 K, SEED, DRAWS = 10, 42, 3
-TRAIN_LIMIT = int(0.8 * BUCKETS)
+TRAIN_LIMIT = 922337203685477632  # 0.8 of 2^60, as a double
+
+# floor of the Poisson distribution function times 2^60, for k = 0, 1, ... (fixed values)
+_CUTOFFS = {
+    1.0: [
+        424136118829305329, 848272237658610659, 1060340297073263324, 1131029650211480879, 1148701988496035267,
+        1152236456152946145, 1152825534095764625, 1152909688087595836, 1152920207336574738, 1152921376142016838,
+        1152921493022561048, 1152921503648065067, 1152921504533523735, 1152921504601635940, 1152921504606501098,
+        1152921504606825442, 1152921504606845713, 1152921504606846906, 1152921504606846972, 1152921504606846975,
+    ],
+    0.5: [
+        699282240786072831, 1048923361179109246, 1136333641277368350, 1150902021293744868, 1152723068795791932,
+        1152905173545996639, 1152920348941847031, 1152921432898693488, 1152921500645996391, 1152921504409735441,
+        1152921504597922394, 1152921504606476346, 1152921504606832761, 1152921504606846469, 1152921504606846959,
+        1152921504606846975,
+    ],
+}
 
 
 def fold_sql(key: str = "txn_id", k: int = K, seed: int = SEED) -> str:
@@ -33,7 +48,7 @@ def in_train_sql(key: str = "txn_id", seed: int = SEED) -> str:
 def poisson_sql(seed: str, key: str = "txn_id", rate: float = 1.0) -> str:
     """Number of cut-offs reached; ``seed`` is an SQL string expression."""
     bucket = bucket_sql(key, seed)
-    return "CAST(" + " + ".join(f"CAST({bucket} >= {c} AS INT)" for c in poisson_cutoffs(rate)) + " AS INT)"
+    return "CAST(" + " + ".join(f"CAST({bucket} >= {c} AS INT)" for c in _CUTOFFS[rate]) + " AS INT)"
 
 
 _SPLIT = f"SELECT txn_id, CASE WHEN {in_train_sql()} THEN 'train' ELSE 'test' END AS split FROM txn"

@@ -11,12 +11,12 @@ from tabreg.operators.clean import MissingValueImputer
 from tabreg.operators.features import CalendarFeatures, LabelColumn, category_indexer, coded, feature_assembler
 from tabreg.operators.profile import category_dictionary
 from tabreg.operators.score import score, validate_requests
-from tabreg.plans import load_served, sales_rows, train_for_serving
+from tabreg.plans import clean_for_serving, load_served, sales_rows, train_for_serving
 from tabreg.sources import ColumnRoles, shared_path, stage
 from tabreg.streaming import read_requests, write_scores
 
 from .features import clean_rows
-from .fixture import AREA, CATEGORICAL, DATE, KIND, TARGET, txn, with_ctes
+from .fixture import AREA, CATEGORICAL, DATE, KIND, PARKING, TARGET, txn, with_ctes
 from .models import (
     BAGGING, CELL, TREES, _METRICS, _ROUNDED_METRICS, _holdout, _money_sql, _shown_metrics, cell_bagging,
 )
@@ -103,11 +103,21 @@ def serving_job_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown_metrics(spark.read.schema(schema).json(f"{path}/metrics"))
 
 
-@query()
+_PARSED = "try_strptime(instance_date, '%d-%m-%Y')"
+
+
+@query(with_ctes("txn", select=f"""SELECT txn_id, CASE WHEN {_PARSED} IS NULL THEN 'trans_year' END AS unscored_reason,
+  {_PARSED} IS NOT NULL AS in_range FROM txn"""))
 def serving_job_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Standard settings end to end: train, store, load, score every request that can be scored."""
+    """Standard settings end to end: train, store, load, score every request.
+
+    Each request comes back with a price inside the range of the training labels, or with the input it lacks.
+    """
     path = shared_path(spark, "served")
-    roles = ColumnRoles(target=TARGET, kind=KIND, date=DATE, numeric=(AREA, "has_parking"), categorical=tuple(CATEGORICAL))
-    train_for_serving(txn(spark, sf_dir), roles, path, "txn_id")
+    roles = ColumnRoles(target=TARGET, kind=KIND, date=DATE, numeric=(AREA, PARKING), categorical=tuple(CATEGORICAL))
+    train_for_serving(txn(spark, sf_dir), roles, path, "txn_id", zero_fill=(PARKING,))
     model, _ = load_served(spark, path)
-    return score(txn(spark, sf_dir), model, AREA).select(*_COLUMNS)
+    dated = CalendarFeatures(dateCol=DATE).transform(clean_for_serving(txn(spark, sf_dir), TARGET, KIND))
+    low, high = dated.filter("trans_year is not null").agg(F.min(TARGET), F.max(TARGET)).first()
+    inside = F.coalesce(F.col("predicted_price").between(low, high), F.lit(False))
+    return score(txn(spark, sf_dir), model, AREA).select("txn_id", "unscored_reason", inside.alias("in_range"))
