@@ -28,12 +28,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from .common import parts, per_batch, stage, texts_of
 
 LENGTH = 35
-ROUNDS = 4
+ROUNDS = 6  # fewer make names of common word pairs that say little, more leave few windows to a symbol
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 CACHED_WORDS = 1 << 17
@@ -201,6 +202,23 @@ def _keys(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.withColumn("key", F.xxhash64("id", "text"))
 
 
+def _packed(docs: DataFrame) -> DataFrame:
+    """``docs`` with the text as compressed bytes, for the shuffle by key."""
+    others = [c for c in docs.columns if c != "text"]
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        pack = zstandard.ZstdCompressor(level=3).compress
+        texts = pa.array([pack(t.encode("utf-8", "replace")) for t in texts_of(batch)], pa.binary())
+        return pa.RecordBatch.from_arrays([*(batch.column(c) for c in others), texts], [*others, "packed"])
+
+    return docs.select(*others, "text").mapInArrow(per_batch(work), ", ".join(f"{c} long" for c in others) + ", packed binary")
+
+
+def _unpacked(batch: pa.RecordBatch) -> list[str]:
+    unpack = zstandard.ZstdDecompressor().decompress
+    return [unpack(b).decode("utf-8") for b in batch.column("packed").to_pylist()]
+
+
 def _find(rows: DataFrame) -> DataFrame:
     """(key, at, count, kind) of rows (a, b, key, at, count) that share: kind 1 where (a, b) occurs again, 2 for one row of each (a, b)
     where ``a`` occurs with several ``b``."""
@@ -246,7 +264,7 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     found = stage(_find(docs.select("key", "text").mapInArrow(per_batch(stretch), schema)), "stretches")
 
     def single(batch: pa.RecordBatch) -> pa.RecordBatch:
-        one, two, sizes = word_hashes(texts_of(batch))
+        one, two, sizes = word_hashes(_unpacked(batch))
         starts = np.cumsum(sizes) - sizes
         rows = batch.column("open").to_pylist()
         at = np.concatenate([np.arange(s["at"], s["at"] + s["count"]) for own in rows for s in own])
@@ -260,7 +278,7 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     opened = found.filter("kind = 2").select("key", "at", "count").distinct()
     opened = opened.groupBy("key").agg(F.collect_list(F.struct("at", "count")).alias("open"))
-    windows = docs.join(opened, "key").select("key", "text", "open")
+    windows = _packed(docs.select("key", "text")).join(opened, "key").select("key", "packed", "open")
     singles = _find(windows.mapInArrow(per_batch(single), schema)).filter("kind = 1")
     return found.filter("kind = 1").select("key", "at", "count").unionByName(singles.select("key", "at", "count"))
 
@@ -272,7 +290,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         kept, words, removed = [], [], []
-        for text, repeats in zip(texts_of(batch), batch.column("repeats").to_pylist()):
+        for text, repeats in zip(_unpacked(batch), batch.column("repeats").to_pylist()):
             own = text.encode("utf-8", "replace").split()
             change = np.zeros(len(own) + 1, np.int64)
             for r in repeats or ():
@@ -287,5 +305,5 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             ["id", "n_words", "n_removed", "kept"],
         )
 
-    joined = rows.join(marked, "key", "left").select("id", "text", "repeats")
+    joined = _packed(rows.select("id", "key", "text")).join(marked, "key", "left").select("id", "packed", "repeats")
     return joined.mapInArrow(per_batch(work), "id long, n_words long, n_removed long, kept binary")
