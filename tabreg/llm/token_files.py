@@ -25,6 +25,7 @@ order of their hashes. An empty table gives empty files. Extra columns are ignor
 from __future__ import annotations
 
 import json
+import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -41,7 +42,7 @@ LANES = 1024
 BLOCK_TOKENS = 1 << 18
 CHECKPOINT = 64
 LOWEST = np.uint64(1 << 31)
-CACHED_WORDS = 1 << 18
+CACHED_WORDS = 1 << 17
 CACHED_PARTS = 1 << 18
 MARKS = r".,;:!?()[]{}<>|*_-%$#&/\@+=~^" + '"'
 BLOCKS_SCHEMA = (
@@ -54,9 +55,11 @@ BLOCKS_SCHEMA = (
 
 
 class Words(dict):
-    """Ids of words between ASCII white space, little-endian; forgets all when full."""
+    """Ids of words between ASCII white space, little-endian. When full, words that are not asked for again are forgotten."""
 
     def __init__(self, definition: str, kind: str):
+        # tasks run side by side already: threads of the library would only wait for each other
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
@@ -64,6 +67,7 @@ class Words(dict):
         self.kind = kind
 
         self.parts: dict[str, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
         suffix = json.loads(definition)["model"].get("end_of_word_suffix")
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.closes = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
@@ -73,10 +77,13 @@ class Words(dict):
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [t.encode("utf-8", "replace").split() for t in texts]
         if len(self) >= CACHED_WORDS:
+            self.old = dict(self)
             self.clear()
         if len(self.parts) >= CACHED_PARTS:
             self.parts.clear()
-        taken = {w: _taken_apart(w.decode("utf-8", "replace")) for w in {w for own in split for w in own}.difference(self)}
+        missing = {w for own in split for w in own}.difference(self)
+        self.update((w, self.old[w]) for w in missing.intersection(self.old))
+        taken = {w: _taken_apart(w.decode("utf-8", "replace")) for w in missing.difference(self.old)}
         new = {part for own in taken.values() for part in own}.difference(self.parts)
         letters = [part for part in new if part.isalpha()]
         for at in range(0, len(letters), 2048):
