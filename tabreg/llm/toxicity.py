@@ -23,6 +23,7 @@ class or no labels, every score is the share of toxic labels. Extra columns are
 
 from __future__ import annotations
 
+import pickle
 import re
 import zlib
 from collections.abc import Iterator
@@ -286,8 +287,18 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         ids.filter("y = 1").orderBy("h", "id").limit(max_labelled).unionByName(ids.filter("y = 0").orderBy("h", "id").limit(max_labelled)).select("id", "y").distinct(),
         "sample",
     )
-    rows = short.join(sample, "id").orderBy("id", "y", F.xxhash64("text")).limit(2 * max_labelled).collect()
-    return fit([r["text"] for r in rows], [r["y"] for r in rows])
+    rows = short.join(sample, "id").select("id", "y", "text").orderBy("id", "y", F.xxhash64("text")).limit(2 * max_labelled)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, toxic = [], []
+        for batch in batches:
+            texts += texts_of(batch)
+            toxic += batch.column("y").to_pylist()
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(texts, toxic))], pa.binary())], ["model"])
+
+    # the bounded sample is fitted in one task, so the driver only sees the model
+    fitted = rows.coalesce(1).mapInArrow(work, "model binary").collect()
+    return pickle.loads(fitted[0]["model"]) if fitted else fit([], [])
 
 
 _WORKING = Vocabulary()
