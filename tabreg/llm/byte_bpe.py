@@ -48,6 +48,7 @@ NEW_NUMBERS = [
 ]
 CHARS_AT_ONCE = 1 << 20
 CACHED_PIECES = 1 << 17
+SHORT, NO_RANK = 48, 1 << 62
 
 
 def _function(*after: int) -> int:
@@ -90,10 +91,12 @@ def compositions() -> np.ndarray:
     return out.astype(np.uint8)
 
 
-def prefix_functions(steps: np.ndarray, block: int = 128) -> np.ndarray:
-    """Inclusive scan of ``steps`` under composition."""
+def prefix_functions(steps: np.ndarray, block: int | None = None) -> np.ndarray:
+    """Inclusive scan of ``steps`` under composition, in blocks of about the root of their number."""
     table = compositions()
     n = len(steps)
+    if block is None:
+        block = min(128, max(16, int(n**0.5)))
     if n <= block:
         out = steps.copy()
         for i in range(1, n):
@@ -161,6 +164,19 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     if (whole := ranks.get(piece)) is not None:
         return [whole]
     n = len(piece)
+    if n <= SHORT:
+        # few pairs: looking at all of them beats a heap
+        part = [piece[i : i + 1] for i in range(n)]
+        pair = [ranks.get(piece[i : i + 2], NO_RANK) for i in range(n - 1)]
+        while pair and (lowest := min(pair)) != NO_RANK:
+            i = pair.index(lowest)
+            part[i] += part.pop(i + 1)
+            del pair[i]
+            if i:
+                pair[i - 1] = ranks.get(part[i - 1] + part[i], NO_RANK)
+            if i < len(pair):
+                pair[i] = ranks.get(part[i] + part[i + 1], NO_RANK)
+        return [ranks[x] for x in part]
     stop, prior = list(range(1, n + 1)), list(range(-1, n - 1))
     alive = [True] * n
     heap = [(rank, i, i + 2) for i in range(n - 1) if (rank := ranks.get(piece[i : i + 2])) is not None]
@@ -182,20 +198,24 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class Codec(dict):
-    """Merged pieces by text, as little-endian 32-bit ids; forgets all when full."""
+    """Merged pieces by text, as little-endian 32-bit ids. When full, pieces that are not asked for again are forgotten."""
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
+        self.old: dict[str, bytes] = {}
         self.vocabulary: list[bytes] = [b""] * (max(ranks.values(), default=-1) + 1)
         for token, rank in ranks.items():
             self.vocabulary[rank] = token
         self.lengths = np.array([len(t) for t in self.vocabulary], np.int64)
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) >= CACHED_PIECES:
-            self.clear()
-        ids = np.array(merge(piece.encode("utf-8", "replace"), self.ranks), "<i4").tobytes()
+        ids = self.old.get(piece)
+        if ids is None:
+            ids = np.array(merge(piece.encode("utf-8", "replace"), self.ranks), "<i4").tobytes()
         if len(piece) <= 64:
+            if len(self) >= CACHED_PIECES:
+                self.old = dict(self)
+                self.clear()
             self[piece] = ids
         return ids
 
