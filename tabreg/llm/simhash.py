@@ -30,6 +30,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from . import minhash
 from .common import connected_components, per_batch, stage, texts_of
 
 SEED = 42
@@ -266,26 +267,21 @@ def fp_components(rows: DataFrame, threshold: int, block_rows: int = BLOCK_ROWS)
 
 
 def keep_one_of_each(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, threshold: int = 9,
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8,
 ) -> DataFrame:
     """The rows of ``docs`` without near copies: the smallest id of each component stays.
 
-    The default of 9 of 64 bits is the angle that two equally long texts with 0.8 of their five-word shingles in
-    common have on average (cosine 8/9, 9.7 bits). Of rows with the same id and component one stays;
-    a null id stays only where its component has no other id.
+    A link is a pair of texts whose sets of five-word shingles have the Jaccard similarity, which is computed for each; candidates
+    come from ``minhash``, as fingerprints of 64 bits cannot tell 0.8 from 0.7. Texts with equal sets, or without
+    words, are copies. Of rows with the same id and component one stays; a null id stays only where its component has no other id.
     """
     key = "_llm_row"
     keyed = stage(docs.withColumn(key, F.monotonically_increasing_id()), "keyed")
-    rows = keyed.select(F.col(id_col).cast("long").alias("id"), text_col, key)
-
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        fps = np.array([fingerprint(t, shingle) for t in texts_of(batch, text_col)], dtype=np.uint64).view(np.int64)
-        return pa.RecordBatch.from_arrays([batch.column("id"), batch.column(key), pa.array(fps)], ["id", key, "fp"])
-
-    marked = stage(rows.mapInArrow(per_batch(work), f"id long, {key} long, fp long"), "fingerprints")
-    component = fp_components(marked, threshold)
-    kept = (
-        marked.join(component, "fp").filter(F.col("id").eqNullSafe(F.col("component")))
-        .groupBy("root").agg(F.min(key).alias(key))
-    )
-    return keyed.join(kept.select(key), key, "left_semi").drop(key)
+    rows = keyed.select(F.col(id_col).cast("long").alias("id"), F.col(key).alias("row"), F.col(text_col).alias("text"))
+    marked = stage(minhash.marks(rows, shingle), "marks")
+    roots = minhash.near_components(marked, rows.select("row", "text"), shingle, similarity)
+    rooted = marked.select("id", "row", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    # the smallest id first, null ids last, of equal ids the first row
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "row")
+    kept = rooted.groupBy("root").agg(F.min(order).alias("first")).select(F.col("first.row").alias(key))
+    return keyed.join(kept, key, "left_semi").drop(key)

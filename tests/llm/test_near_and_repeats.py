@@ -11,8 +11,8 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from tabreg.llm import lines, simhash, substrings
-from tabreg.llm.common import connected_components
+from tabreg.llm import lines, minhash, simhash, substrings
+from tabreg.llm.common import connected_components, read_table
 from tabreg.llm.queries import ORACLES, QUERIES
 from tests.oracle import connect, differences
 
@@ -85,6 +85,48 @@ def test_one_of_each_stays(odd, none):
     assert simhash.keep_one_of_each(none).count() == 0
 
 
+def plain_near_copies(rows, share=0.8):
+    """Smallest ids of the components of pairs whose five-word shingle sets share ``share`` of their union."""
+    sets = []
+    for _, text in rows:
+        words = (text or "").encode().lower().split()
+        sets.append({tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))})
+    label = list(range(len(rows)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if label[i] != label[j] and len(a & b) * 10 >= round(share * 10) * len(a | b):
+                label = [label[j] if x == label[i] else x for x in label]
+    return {min(d for (d, _), x in zip(rows, label) if x == own) for own in set(label)}
+
+
+def edited(rng, words, changes):
+    """Words with some of them replaced by new ones."""
+    at = set(rng.sample(range(len(words)), changes))
+    return [f"new{rng.random()}" if i in at else w for i, w in enumerate(words)]
+
+
+@pytest.mark.parametrize("block_rows", [2048, 3])
+def test_near_copies_same_as_jaccard(spark, monkeypatch, block_rows):
+    monkeypatch.setattr(minhash.near_components, "__defaults__", (block_rows,))
+    rng = random.Random(5)
+    texts = []
+    for _ in range(25):  # from equal to about half alike, on both sides of 0.8, and chains over links of copies of copies
+        words = [f"w{rng.randrange(10**6)}" for _ in range(rng.choice([40, 150, 400]))]
+        texts.append(words)
+        texts += [edited(rng, words, max(1, len(words) * c // 1000)) for c in (5, 18, 22, 25, 60)]
+        texts.append(edited(rng, texts[-3], max(1, len(words) // 50)))
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    kept = {r["doc_id"] for r in simhash.keep_one_of_each(docs).collect()}
+    assert kept == plain_near_copies(rows)
+    assert len(kept) not in (25, len(rows))
+
+
+def test_near_copies_of_the_table(spark, sf_dir, small):
+    kept = {r["doc_id"] for r in simhash.keep_one_of_each(read_table(spark, sf_dir, "documents")).collect()}
+    assert kept == plain_near_copies(list(small.items()))
+
+
 def plain_windows(texts, length):
     count = Counter()
     for words in texts:
