@@ -11,6 +11,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tabreg.llm import lines, minhash, simhash, substrings
 from tabreg.llm.common import connected_components, read_table
 from tabreg.llm.queries import ORACLES, QUERIES
@@ -199,3 +200,14 @@ def test_line_runs_of_odd_rows(odd, none):
     assert lines.drop_repeats(none).count() == 0 and lines.line_report(none).count() == 0
     report = {r["id"]: r for r in lines.line_report(odd).filter("id in (3, 4)").collect()}
     assert all((r["n_lines"], r["n_removed"], r["text"]) == (1, 0, "") for r in report.values())
+
+
+def test_pipeline_drops_short_lines(spark, sf_dir, small):
+    rng = random.Random(9)
+    texts = ["\n".join(rng.choice(["a b", "c", "", " \t", "d e f", "g", f"own {d}"]) for _ in range(rng.randint(1, 12))) for d in range(12)]
+    for texts in (texts, list(small.values())):
+        rows = spark.createDataFrame([(d, t, len(t)) for d, t in enumerate(texts)], "doc_id long, text string, n_chars long")
+        got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in corpus_pipeline.drop_repeated_lines(spark, rows, sf_dir).collect()}
+        want = plain_runs(texts, 1)
+        assert got == {d: (t, len(t)) for d, t in enumerate(want)}
+        assert want != plain_runs(texts, 10)
