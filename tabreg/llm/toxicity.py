@@ -18,13 +18,15 @@ offsets of characters.
 
 The fit uses at most ``max_labelled`` rows per class, texts of up to ``max_chars``, first by a hash of the id; scoring covers
 whole texts of all rows. Null and empty texts have no tokens and the lowest score. Repeated and null ids keep their rows. With one
-class or no labels, every score is the share of toxic labels. Extra columns are ignored.
+class or no labels, or where no toxic word is found, every score is the share of toxic ones among all labels that may be sampled, and
+``keep_clean`` keeps all rows and warns. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import pickle
 import re
+import warnings
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -298,7 +300,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     # the bounded sample is fitted in one task, so the driver only sees the model
     fitted = rows.coalesce(1).mapInArrow(work, "model binary").collect()
-    return pickle.loads(fitted[0]["model"]) if fitted else fit([], [])
+    model = pickle.loads(fitted[0]["model"]) if fitted else fit([], [])
+    if model.base is not None:
+        # the sample evens the classes out, so its mean says nothing about the texts
+        model.base = float(ids.select("id", "y").distinct().agg(F.avg("y")).first()[0] or 0.0)
+    return model
 
 
 _WORKING = Vocabulary()
@@ -347,7 +353,10 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 
 def keep_clean(docs: DataFrame, model: Model, text_col: str = "text", limit: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` that score below ``limit``, unchanged."""
+    """The rows of ``docs`` that score below ``limit``, unchanged; all of them, with a warning, where nothing was learned."""
+    if model.base is not None:
+        warnings.warn("no toxic word was learned from the labels: all rows are kept", stacklevel=2)
+        return docs
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -10,6 +10,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tabreg.llm import decontaminate, preferences, search, toxicity
@@ -183,6 +184,20 @@ def test_toxicity_of_odd_rows(spark, odd, none):
     assert toxicity.train(odd, labels) is not None
 
 
+def test_toxicity_without_toxic_words(spark):
+    # a tenth of the labels is toxic, of texts like all others; at most five of each class are sampled
+    docs = spark.createDataFrame([(i, "the same calm words in every text") for i in range(200)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 10 == 0)) for i in range(200)], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels, max_labelled=5)
+    known = labels.filter(~toxicity.held_out())
+    assert model.base == known.agg(F.avg("toxic")).first()[0] and model.base < 0.2
+    assert all(r["score"] == model.base for r in toxicity.score(docs, model).collect())
+    toxic_only = toxicity.train(docs, labels.filter("toxic = 1"))
+    for learned in (model, toxic_only):
+        with pytest.warns(UserWarning, match="all rows are kept"):
+            assert toxicity.keep_clean(docs, learned).count() == 200
+
+
 def test_op10_same_as_sql(spark, sf_dir):
     assert differences(QUERIES["op10_preferences"](spark, sf_dir), connect(sf_dir), ORACLES["op10_preferences"]) == []
 
