@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources.shared import shared_path
-from . import byte_bpe, decontaminate, edit_counts, lines, preferences, search, substrings, token_files, toxicity
+from . import byte_bpe, decontaminate, edit_counts, lines, manifest, preferences, search, substrings, token_files, toxicity
 from .common import read_table, tokenizer_path
 from .simhash import simhash_components
 
@@ -188,3 +188,63 @@ def op6_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     found = search.search(docs, docs.filter(F.col("doc_id") % 100 == 0), k=10)
     return found.select(F.col("query").alias("query_id"), "rank", F.col("id").alias("doc_id"), F.round("score", 6).alias("score"))
+
+
+MANIFEST_SQL = r"""
+WITH RECURSIVE fields AS (
+  SELECT doc_id, '=' || lang AS g,
+    list_transform([CAST(doc_id AS VARCHAR), source, lang], lambda f: coalesce(strlen(f) || ':' || f, '-')) AS before,
+    CAST(n_chars AS VARCHAR) AS n, CAST(CAST(n_chars AS HUGEINT) + 1 AS VARCHAR) AS changed,
+    coalesce(strlen(text) || ':' || text, '-') AS body,
+    list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+      lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))) AS register
+  FROM documents
+), leaves AS (
+  SELECT doc_id, coalesce(g, '') AS g, sha256(array_to_string(before, '') || coalesce(strlen(n) || ':' || n, '-') || body) AS leaf,
+    CASE WHEN xor(register, 4294967295) % 7 = 0
+      THEN sha256(array_to_string(before, '') || coalesce(strlen(changed) || ':' || changed, '-') || body) END AS tampered
+  FROM fields
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY g) AS n FROM leaves
+), lv AS (
+  SELECT g, 0 AS k, i, n, leaf AS h FROM placed
+  UNION ALL
+  SELECT g, k + 1, i // 2, any_value((n + 1) // 2), sha256(string_agg(h, '' ORDER BY i)) FROM lv WHERE n > 1 GROUP BY g, k, i // 2
+), subroots AS (
+  SELECT g, k AS depth, h AS subroot, row_number() OVER (ORDER BY g) - 1 AS i, count(*) OVER () AS n FROM lv WHERE n = 1
+), up AS (
+  SELECT 0 AS k, i, n, subroot AS h FROM subroots
+  UNION ALL
+  SELECT k + 1, i // 2, any_value((n + 1) // 2), sha256(string_agg(h, '' ORDER BY i)) FROM up WHERE n > 1 GROUP BY k, i // 2
+), walk AS (
+  SELECT p.doc_id, p.leaf, p.g, 0 AS phase, 0 AS k, p.i, p.n, s.i AS rank, s.n AS many, subroot, '' AS proof,
+    coalesce(p.tampered, p.leaf) AS h FROM placed p JOIN subroots s USING (g)
+  UNION ALL
+  SELECT doc_id, leaf, w.g, CASE WHEN w.n > 1 THEN phase ELSE 1 END, CASE WHEN w.n > 1 THEN w.k + 1 ELSE 0 END,
+    CASE WHEN w.n > 1 THEN w.i // 2 ELSE rank END, CASE WHEN w.n > 1 THEN (w.n + 1) // 2 ELSE many END, rank, many, subroot,
+    proof || coalesce(a.h, b.h, ''),
+    CASE WHEN w.n = 1 THEN w.h WHEN w.i % 2 = 0 THEN sha256(w.h || coalesce(a.h, b.h, '')) ELSE sha256(coalesce(a.h, b.h) || w.h) END
+  FROM walk w LEFT JOIN lv a ON w.phase = 0 AND w.n > 1 AND a.g = w.g AND a.k = w.k AND a.i = xor(w.i, 1)
+    LEFT JOIN up b ON w.phase = 1 AND w.n > 1 AND b.k = w.k AND b.i = xor(w.i, 1)
+  WHERE w.phase = 0 OR w.n > 1
+)
+SELECT doc_id, leaf, subroot, r.h AS root, sha256(proof) AS proof_sha256, w.h AS folded_root, w.h = r.h AS verified
+FROM walk w, (SELECT h FROM up WHERE n = 1) r WHERE w.phase = 1 AND w.n = 1
+"""
+
+
+@query(MANIFEST_SQL)
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf and proof of every document; a seventh of the rows is checked with n_chars one too high."""
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    higher = [F.col("n_chars").cast("decimal(20,0)") + 1 if f == "n_chars" else F.col(f) for f in fields]
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    found = manifest.build(
+        read_table(spark, sf_dir, "documents"), fields, "doc_id", "lang",
+        carry={"tampered": F.when(hit, manifest.digest_of(higher))},
+    )
+    proofs = found.proofs.withColumn("folded_root", manifest.fold(found, F.coalesce("tampered", "leaf")))
+    return proofs.select(
+        F.col("id").alias("doc_id"), "leaf", "subroot", F.lit(found.root).alias("root"), F.sha2("proof", 256).alias("proof_sha256"),
+        "folded_root", (F.col("folded_root") == F.lit(found.root)).alias("verified"),
+    )
