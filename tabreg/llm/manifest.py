@@ -202,7 +202,7 @@ def _chunks(nodes: DataFrame, arity: int, levels: int, group: list[str]) -> Data
         known = F.when(pos % step == 0, F.concat(f"others{k}", up)).alias("path")
         rows = rows.select(*own, "chunk", f"h{levels}", *[f"others{i}" for i in range(k)], known)
         path = F.col("path")
-    return rows.select(*own, F.col(f"h{levels}").alias("top"), "path")
+    return rows.select(*own, F.col(f"h{levels}").alias("top"), path.alias("path"))
 
 
 def _descend(rounds: list, roots: DataFrame, group: list[str], keep: Sequence[str] = ()) -> DataFrame:

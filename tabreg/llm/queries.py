@@ -7,7 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources.shared import shared_path
-from . import byte_bpe, decontaminate, edit_counts, lines, manifest, preferences, search, substrings, token_files, toxicity
+from . import (
+    byte_bpe,
+    decontaminate,
+    edit_counts,
+    licences,
+    lines,
+    manifest,
+    preferences,
+    repair,
+    search,
+    substrings,
+    token_files,
+    toxicity,
+)
 from .common import read_table, tokenizer_path
 from .simhash import simhash_components
 
@@ -248,3 +261,38 @@ def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), "leaf", "subroot", F.lit(found.root).alias("root"), F.sha2("proof", 256).alias("proof_sha256"),
         "folded_root", (F.col("folded_root") == F.lit(found.root)).alias("verified"),
     )
+
+
+@query()
+def op13_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words, places of the base phrases, labels and restriction of every document."""
+    found = licences.scan_licences(read_table(spark, sf_dir, "documents"))
+    base = F.filter("notices", lambda n: n["label"].isin(*licences.BASE))
+    words = F.transform(base, lambda n: n["word"])
+    return found.select(
+        F.col("id").alias("doc_id"), "n_words", F.size(base).cast("long").alias("n_base"),
+        F.array_min(words).alias("first_word"), F.array_max(words).alias("last_word"),
+        F.array_join(F.array_sort(F.array_distinct(F.transform(base, lambda n: n["label"]))), ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"), "score",
+    )
+
+
+@query()
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation after damage that follows from its keys: its faults and the cheapest edits that mend it."""
+    turns = read_table(spark, sf_dir, "conversations")
+
+    def known(column: str):
+        return F.coalesce(F.col(column).cast("string"), F.lit(" "))
+
+    draw = (F.crc32(F.concat(known("conv_id"), F.lit(":"), known("turn")).cast("binary")) % 20).cast("int")
+    text = F.when(draw == 1, F.lit("")).when(draw == 2, F.regexp_replace(known("text"), "[.!?]", "")).otherwise(known("text"))
+    damaged = turns.select(
+        "conv_id", "turn", F.when(draw == 4, F.lit("user")).otherwise(known("role")).alias("role"), text.alias("text"),
+        (draw == 0).alias("dropped"), F.explode(F.array_repeat(F.lit(0), F.when(draw == 3, 2).otherwise(1))).alias("copy"),
+    )
+    found = repair.repair_conversations(damaged, present=~F.col("dropped"))
+    return found.select(
+        F.col("id").alias("conv_id"), "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit",
+        F.col("sha256").alias("repaired_sha256"),
+    )
