@@ -93,9 +93,9 @@ WITH d AS (
 ), c AS (
   SELECT *, sum(nw) OVER (PARTITION BY r ORDER BY i) AS upto FROM w
 ), runs AS (
-  SELECT a.r, a.i AS s, min(b.i) AS e FROM c a JOIN c b ON a.r = b.r AND b.i >= a.i AND b.upto - a.upto + a.nw >= 10 GROUP BY a.r, a.i
+  SELECT a.r, a.i AS s, min(b.i) AS e FROM c a JOIN c b ON a.r = b.r AND b.i >= a.i AND b.upto - a.upto + a.nw >= 1 GROUP BY a.r, a.i
   UNION
-  SELECT b.r, max(a.i) AS s, b.i AS e FROM c a JOIN c b ON a.r = b.r AND b.i >= a.i AND b.upto - a.upto + a.nw >= 10 GROUP BY b.r, b.i
+  SELECT b.r, max(a.i) AS s, b.i AS e FROM c a JOIN c b ON a.r = b.r AND b.i >= a.i AND b.upto - a.upto + a.nw >= 1 GROUP BY b.r, b.i
 ), later AS (
   SELECT r, s, e FROM (
     SELECT runs.*, row_number() OVER (PARTITION BY array_to_string(ls[s + 1 : e + 1], chr(10)) ORDER BY r, s) AS nth
