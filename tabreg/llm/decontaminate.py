@@ -10,7 +10,7 @@ where it ends.
 Items are the query set. They are read in blocks of at most ``block_chars`` characters, and each block is sent to the
 tasks and run over all documents, so memory is bounded whatever the size of either table. The documents are not shuffled.
 
-Items with fewer than ``min_words`` words say too little and match nothing; this is the operator's definition of an item. Null
+Items of any word count; a caller may set ``min_words`` to leave shorter ones out. Items without words match nothing. Null
 and empty texts match nothing; repeated rows each give their matches; repeated items match alike. Empty tables give
 an empty result. Extra columns are ignored, or kept by ``keep_clean``.
 """
@@ -181,7 +181,7 @@ def blocks_of(items: DataFrame, id_col: str, text_col: str, block_chars: int) ->
 
 def find_contamination(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", item_col: str = "item_id", text_col: str = "text",
-    error_rate: float = 0.2, min_words: int = 5, block_chars: int = 4 << 20,
+    error_rate: float = 0.2, min_words: int = 1, block_chars: int = 4 << 20,
 ) -> DataFrame:
     """(id, item, distance, first_word, end_word): the best match of every item in every document that holds it."""
     spark = docs.sparkSession
@@ -209,7 +209,7 @@ def find_contamination(
 
 def keep_clean(
     docs: DataFrame, items: DataFrame, item_col: str = "item_id", text_col: str = "text",
-    error_rate: float = 0.2, min_words: int = 5, block_chars: int = 4 << 20,
+    error_rate: float = 0.2, min_words: int = 1, block_chars: int = 4 << 20,
 ) -> DataFrame:
     """The rows of ``docs`` that hold no item, unchanged."""
     for block in blocks_of(items, item_col, text_col, block_chars):
