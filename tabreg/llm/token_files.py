@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -63,12 +64,16 @@ class Words(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.kind = kind
-
+        content = json.loads(definition)
+        #: Strings that the library takes out of a text before anything else; words that hold one go to it whole.
+        self.added = tuple(t["content"] for t in content.get("added_tokens") or ())
+        if any(re.search(r"\s", a) for a in self.added):
+            raise ValueError("an added token holds white space: texts cannot be encoded word by word")
+        self.lowers = _lowers(content.get("normalizer"))
         self.parts: dict[str, bytes] = {}
         self.old: dict[bytes, bytes] = {}
-        suffix = json.loads(definition)["model"].get("end_of_word_suffix")
+        suffix = content["model"].get("end_of_word_suffix")
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.closes = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
         if suffix:
@@ -83,15 +88,29 @@ class Words(dict):
             self.parts.clear()
         missing = {w for own in split for w in own}.difference(self)
         self.update((w, self.old[w]) for w in missing.intersection(self.old))
-        taken = {w: _taken_apart(w.decode("utf-8", "replace")) for w in missing.difference(self.old)}
+        taken = {w: self._taken_apart(w.decode("utf-8", "replace")) for w in missing.difference(self.old)}
         new = {part for own in taken.values() for part in own}.difference(self.parts)
-        letters = [part for part in new if part.isalpha()]
+        letters = [part for part in new if part.isalpha() and not self._holds_added(part)]
         for at in range(0, len(letters), 2048):
             self._encode_words(letters[at : at + 2048])
-        self._encode_each([part for part in new if not part.isalpha()])
+        self._encode_each([part for part in new if not part.isalpha() or self._holds_added(part)])
         self.update((w, b"".join([self.parts[part] for part in own])) for w, own in taken.items())
         return [b"".join(map(self.__getitem__, own)) for own in split]
 
+    def _holds_added(self, word: str) -> bool:
+        low = word.lower()
+        return any(a in word or a in low for a in self.added)
+
+    def _taken_apart(self, word: str) -> tuple[str, ...]:
+        """Letters in lower case and the marks after them, which are encoded apart; other words stay whole.
+
+        The capital sigma stays too: in lower case it depends on its place. So do all words of a tokenizer that tells cases apart.
+        """
+        core = word.rstrip(MARKS)
+        low = core.lower()
+        if self.lowers and core.isalpha() and low.isalpha() and "\u03a3" not in core and not self._holds_added(word):
+            return (low, word[len(core) :]) if len(core) < len(word) else (low,)
+        return (word,)
 
     def _encode_each(self, some: list[str]) -> None:
         found = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
@@ -108,16 +127,10 @@ class Words(dict):
             self.parts[word] = ids[a:b].tobytes()
 
 
-def _taken_apart(word: str) -> tuple[str, ...]:
-    """Letters in lower case and the marks after them, which are encoded apart; other words stay whole.
-
-    The capital sigma stays too: in lower case it depends on its place.
-    """
-    core = word.rstrip(MARKS)
-    low = core.lower()
-    if core.isalpha() and low.isalpha() and "\u03a3" not in core:
-        return (low, word[len(core) :]) if len(core) < len(word) else (low,)
-    return (word,)
+def _lowers(normalizer: dict | None) -> bool:
+    """Whether a normaliser, as a definition states it, puts texts in lower case."""
+    kind = (normalizer or {}).get("type")
+    return kind == "Lowercase" or kind == "Sequence" and any(map(_lowers, normalizer["normalizers"]))
 
 
 @lru_cache(maxsize=2)
