@@ -137,8 +137,8 @@ def document_frequencies(index: DataFrame) -> DataFrame:
     return counted.groupBy("term").agg(F.sum("df").alias("df"))
 
 
-def weigh(queries: DataFrame, index: DataFrame, n_docs: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(query, terms, weights) of each query that has terms, stored."""
+def weigh(queries: DataFrame, index: DataFrame, n_docs: int) -> DataFrame:
+    """(query, terms, weights) of each of the queries (query: a number of its own, text) that has terms, stored."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         keys, terms, counts = [], [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
@@ -151,8 +151,7 @@ def weigh(queries: DataFrame, index: DataFrame, n_docs: int, id_col: str = "doc_
             [pa.array(keys, pa.int64()), pa.array(np.concatenate(terms).view(np.int64)), pa.array(np.concatenate(counts))], ["query", "term", "times"]
         )
 
-    rows = queries.select(F.col(id_col).cast("long").alias("query"), F.col(text_col).alias("text"))
-    wanted = rows.mapInArrow(per_batch(work), "query long, term long, times long")
+    wanted = queries.select("query", "text").mapInArrow(per_batch(work), "query long, term long, times long")
     known = wanted.join(document_frequencies(index), "term")
     idf = F.log(1 + (F.lit(float(n_docs)) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weighed = known.select("query", F.struct("term", (F.col("times") * idf).alias("weight")).alias("t"))
@@ -225,7 +224,7 @@ class Shard:
 
 
 def search(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(query, rank, id, score): the k best documents of each query. Queries are rows (id, text) with ids of their own."""
+    """(query, rank, id, score): the k best documents of each query, a row (id, text). Repeated rows and null ids are queries of their own."""
     spark = docs.sparkSession
     index = build_index(docs, id_col, text_col)
     total = index.agg(F.sum("n_docs").alias("n"), F.sum("n_words").alias("words")).first()
@@ -233,8 +232,11 @@ def search(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_
     if not total["words"]:
         return spark.createDataFrame([], "query long, rank int, id long, score double")
     mean = total["words"] / total["n"]
+    asked = stage(
+        queries.select(F.monotonically_increasing_id().alias("query"), F.col(id_col).cast("long").alias("query_id"), F.col(text_col).alias("text")), "asked"
+    )
     results = []
-    for block in _blocks(weigh(queries, index, total["n"], id_col, text_col)):
+    for block in _blocks(weigh(asked, index, total["n"])):
         shared = spark.sparkContext.broadcast(block)
 
         def work(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -257,7 +259,8 @@ def search(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_
         return spark.createDataFrame([], "query long, rank int, id long, score double")
     order = Window.partitionBy("query").orderBy(F.desc("score"), F.asc_nulls_last("id"))
     ranked = reduce(DataFrame.unionAll, results).withColumn("rank", F.row_number().over(order))
-    return ranked.filter(F.col("rank") <= k).select("query", "rank", "id", "score")
+    found = ranked.filter(F.col("rank") <= k).join(asked.select("query", "query_id"), "query")
+    return found.select(F.col("query_id").alias("query"), "rank", "id", "score")
 
 
 def _blocks(weighed: DataFrame) -> Iterator[list[tuple[int, np.ndarray, np.ndarray]]]:
