@@ -273,38 +273,6 @@ def encode_checked(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", tex
     return rows.mapInArrow(_encoder(docs, ranks_path, True), "id long, ids array<int>, round_trip boolean")
 
 
-def decode(self, ids: np.ndarray) -> bytes:
-        return b"".join(map(self.vocabulary.__getitem__, ids.tolist()))
-
-
-@lru_cache(maxsize=2)
-def codec(rank_lines: bytes) -> Codec:
-    return Codec({base64.b64decode(token): int(rank) for token, rank in map(bytes.split, rank_lines.splitlines())})
-
-
-def encode(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, ids, ends): token ids of each text, and where each token ends in the text's UTF-8 bytes.
-
-    The rank file (bounded by its vocabulary) is read once and sent to the tasks.
-    """
-    with open(ranks_path, "rb") as file:
-        ranks = docs.sparkSession.sparkContext.broadcast(file.read())
-
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        own = codec(ranks.value)
-        ids = own.encode(texts_of(batch))
-        bounds = np.cumsum([0, *map(len, ids)])
-        ends = [np.cumsum(own.lengths[x]) for x in ids]
-        flat = np.concatenate(ids) if ids else np.empty(0, "<i4")
-        offsets = pa.array(bounds.astype(np.int32))
-        lists = [pa.ListArray.from_arrays(offsets, pa.array(v, t)) for v, t in
-                 ((flat, pa.int32()), (np.concatenate(ends).astype(np.int64) if ends else np.empty(0, np.int64), pa.int64()))]
-        return pa.RecordBatch.from_arrays([batch.column("id"), *lists], ["id", "ids", "ends"])
-
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(per_batch(work), "id long, ids array<int>, ends array<long>")
-
-
 def decode(tokens: DataFrame, ranks_path: str) -> DataFrame:
     """(id, ids, decoded): the bytes that each row's ids stand for."""
     with open(ranks_path, "rb") as file:
