@@ -30,7 +30,6 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from . import minhash
 from .common import connected_components, per_batch, stage, texts_of
 
 SEED = 42
@@ -267,21 +266,17 @@ def fp_components(rows: DataFrame, threshold: int, block_rows: int = BLOCK_ROWS)
 
 
 def keep_one_of_each(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8,
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, threshold: int = 4, block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """The rows of ``docs`` without near copies: the smallest id of each component stays.
+    """The rows of ``docs`` without near copies: of each component of linked fingerprints the smallest id stays.
 
-    A link is a pair of texts whose sets of five-word shingles have the Jaccard similarity, which is computed for each; candidates
-    come from ``minhash``, as fingerprints of 64 bits cannot tell 0.8 from 0.7. Texts with equal sets, or without
-    words, are copies. Of rows with the same id and component one stays; a null id stays only where its component has no other id.
+    Of rows with the same id and component the first stays; a null id stays only where its component has no other id.
     """
     key = "_llm_row"
     keyed = stage(docs.withColumn(key, F.monotonically_increasing_id()), "keyed")
-    rows = keyed.select(F.col(id_col).cast("long").alias("id"), F.col(key).alias("row"), F.col(text_col).alias("text"))
-    marked = stage(minhash.marks(rows, shingle), "marks")
-    roots = minhash.near_components(marked, rows.select("row", "text"), shingle, similarity)
-    rooted = marked.select("id", "row", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    # the smallest id first, null ids last, of equal ids the first row
-    order = F.struct(F.col("id").isNull().alias("none"), "id", "row")
-    kept = rooted.groupBy("root").agg(F.min(order).alias("first")).select(F.col("first.row").alias(key))
+    rows = stage(fingerprints(keyed, key, text_col, shingle), "fingerprints")
+    roots = fp_components(rows, threshold, block_rows).select("fp", "root")
+    named = rows.join(roots, "fp").select(F.col("id").alias(key), "root").join(keyed.select(key, F.col(id_col).alias("id")), key)
+    order = F.struct(F.col("id").isNull().alias("none"), "id", F.col(key).alias("row"))
+    kept = named.groupBy("root").agg(F.min(order).alias("first")).select(F.col("first.row").alias(key))
     return keyed.join(kept, key, "left_semi").drop(key)
