@@ -39,7 +39,9 @@ from .common import parts, per_batch, stage, texts_of
 
 BUCKETS = 1 << 18
 BLOCK = 256
+TOKENS_AT_ONCE = 1 << 16
 CACHED_WORDS = 1 << 17
+LONG_WORD = 64
 BEGINNINGS = (3, 4, 5, 6, 7)
 OWN = 2 + len(BEGINNINGS)  # features of the token itself; its part in its neighbours' features follows
 MARKS = ".,;:!?\"'()[]{}<>|*_-–—…«»„“”‘’/\\#"
@@ -51,16 +53,22 @@ def _bucket(kind: str, word: str) -> int:
 
 @dataclass
 class Vocabulary:
-    """Numbers and feature buckets of words (text between white space, lower case, outer marks off)."""
+    """Numbers and feature buckets of words (text between white space, lower case, outer marks off).
 
+    Scoring has no use for the words themselves (``keep`` off): then their texts are not kept, and long ones are looked up anew in each call.
+    """
+
+    keep: bool = True
     numbers: dict[str, int] = field(default_factory=dict)
-    words: list[str] = field(default_factory=list)
+    words: list[str | None] = field(default_factory=list)
+    long: dict[str, int] = field(default_factory=dict)
     buckets: np.ndarray = field(default_factory=lambda: np.empty((1024, OWN + 2), np.int32))
 
     def number(self, raw: str) -> int:
-        known = self.numbers.get(raw)
+        numbers = self.numbers if len(raw) <= LONG_WORD else self.long
+        known = numbers.get(raw)
         if known is None:
-            known = self.numbers[raw] = len(self.words)
+            known = numbers[raw] = len(self.words)
             word = raw.strip(MARKS) or raw
             if known == len(self.buckets):
                 self.buckets = np.concatenate((self.buckets, np.empty_like(self.buckets)))
@@ -68,16 +76,18 @@ class Vocabulary:
                 _bucket("word", word), *(_bucket(f"first{k}", word[:k]) for k in BEGINNINGS), _bucket("last", word[-3:]),
                 _bucket("before", word), _bucket("after", word),
             ]
-            self.words.append(word)
+            self.words.append(word if self.keep else None)
         return known
 
     def tokens(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(word numbers of all texts on end, tokens per text)"""
         if len(self.words) > CACHED_WORDS:
-            self.__init__()
+            self.__init__(self.keep)
         split = [t.lower().split() for t in texts]
         number = self.number
-        flat = np.array([number(w) for own in split for w in own], np.int64)
+        flat = np.fromiter((number(w) for own in split for w in own), np.int64, sum(map(len, split)))
+        if not self.keep:
+            self.long.clear()
         return flat, np.array([len(own) for own in split], np.int64)
 
 
@@ -99,11 +109,49 @@ class Model:
         return out
 
 
-def marginals(emission: np.ndarray, first: np.ndarray, transitions: np.ndarray):
+def marginals(emission: np.ndarray, first: np.ndarray, transitions: np.ndarray, joint: bool = True):
     """(P(label is 1), joint[label before, label]) of each token; ``first`` marks tokens that start a text.
 
-    The joint of a first token is of no meaning.
+    The joint of a first token is of no meaning; without ``joint`` there is none.
+    """
+    p, both, _, _ = _marginals(emission, first, transitions, joint)
+    return p, both
+
+
+def text_marginals(emission: np.ndarray, first: np.ndarray, transitions: np.ndarray) -> np.ndarray:
+    """P(label is 1) of each token, taken ``TOKENS_AT_ONCE`` tokens or so at a time.
+
+    A cut lies before a text where one begins in time. Inside a longer text two runs over its stretches hand on what is known on their left and
+    on their right, two numbers per cut, so memory per token is that of a few numbers, whatever the length of a text.
     """
+    n, cuts = len(emission), [0]
+    starts = np.append(np.flatnonzero(first), n)
+    while cuts[-1] < n:
+        reach = cuts[-1] + TOKENS_AT_ONCE
+        at = int(starts[np.searchsorted(starts, reach, "right") - 1])
+        cuts.append(at if at > cuts[-1] else min(reach, n))
+    spans = list(zip(cuts, cuts[1:]))
+    whole = [b == n or bool(first[b]) for _, b in spans]
+    left: tuple[float, float] = (0.5, 0.5)
+    lefts, rights = [], [(0.5, 0.5)] * len(spans)
+    for (a, b), closed in zip(spans, whole):
+        lefts.append(left)
+        left = (0.5, 0.5) if closed else _marginals(emission[a:b], first[a:b], transitions, False, left)[2]
+    for i in range(len(spans) - 2, -1, -1):
+        if not whole[i]:
+            a, b = spans[i + 1]
+            rights[i] = _marginals(emission[a:b], first[a:b], transitions, False, (0.5, 0.5), rights[i + 1])[3]
+    found = [
+        _marginals(emission[a:b], first[a:b], transitions, False, left, right)[0] for (a, b), left, right in zip(spans, lefts, rights)
+    ]
+    return np.concatenate(found) if found else np.zeros(0)
+
+
+def _marginals(
+    emission: np.ndarray, first: np.ndarray, transitions: np.ndarray, joint: bool,
+    left: tuple[float, float] = (0.5, 0.5), right: tuple[float, float] = (0.5, 0.5),
+):
+    """(P, joint or None, what is known after the last token, what is known before the first token) given what is known on either side."""
     n = len(emission)
     rows = -(-n // BLOCK)
     e = np.exp(np.clip(emission, -30, 30))
@@ -127,24 +175,28 @@ def marginals(emission: np.ndarray, first: np.ndarray, transitions: np.ndarray):
         behind[-k - 1] /= behind[-k - 1].max((0, 1))
     whole = step[0][:, :1] * behind[0][0] + step[0][:, 1:] * behind[0][1]
     into, out = np.empty((2, rows)), np.empty((2, rows))
-    x = y = 0.5
+    x, y = left
     for r, (a, b, c, d) in enumerate(whole.reshape(4, rows).T.tolist()):
         into[:, r] = x, y
         x, y = x * a + y * c, x * b + y * d
         x, y = x / (x + y), y / (x + y)
-    x = y = 0.5
+    after_all = (x, y)
+    x, y = right
     for r, (a, b, c, d) in zip(range(rows - 1, -1, -1), whole.reshape(4, rows).T[::-1].tolist()):
         out[:, r] = x, y
         x, y = a * x + b * y, c * x + d * y
         x, y = x / (x + y), y / (x + y)
+    before_all = (x, y)
     alpha = (into[None, 0, None] * ahead[:, 0] + into[None, 1, None] * ahead[:, 1]).transpose(1, 2, 0).reshape(2, -1)
     beta = (behind[:, :, 0] * out[0] + behind[:, :, 1] * out[1]).transpose(1, 2, 0).reshape(2, -1)
     both = alpha * beta
     p = (both[1] / both.sum(0))[:n]
+    if not joint:
+        return p, None, after_all, before_all
     before = np.concatenate(([[0.5], [0.5]], alpha[:, :-1]), 1)[:, :n]
     after = beta[:, :n] * np.array([np.ones(n), e])
-    joint = before[:, None] * t[:, :, None] * after[None]
-    return p, joint / joint.sum((0, 1))
+    pairs = before[:, None] * t[:, :, None] * after[None]
+    return p, pairs / pairs.sum((0, 1)), after_all, before_all
 
 
 def _summary(p: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -251,7 +303,7 @@ def fit(texts: list[str], toxic: list[int], epochs: int = 4, rate: float = 0.3,
             squares_t += change**2
             model.transitions += rate * change / np.sqrt(squares_t)
     first = _first(sizes)
-    p, _ = marginals(model.emissions(flat, np.flatnonzero(first), vocabulary), first, model.transitions)
+    p = text_marginals(model.emissions(flat, np.flatnonzero(first), vocabulary), first, model.transitions)
     model.scale = _logistic(_summary(p, sizes), labels)
     return model
 
@@ -307,7 +359,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return model
 
 
-_WORKING = Vocabulary()
+_WORKING = Vocabulary(keep=False)
 
 
 def _score(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -318,7 +370,7 @@ def _score(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.n
     p = np.zeros(0)
     if len(flat):
         first = _first(sizes)
-        p, _ = marginals(model.emissions(flat, np.flatnonzero(first), _WORKING), first, model.transitions)
+        p = text_marginals(model.emissions(flat, np.flatnonzero(first), _WORKING), first, model.transitions)
     return 1 / (1 + np.exp(-np.clip(_summary(p, sizes) @ np.array(model.scale), -30, 30))), p, sizes
 
 
