@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tabreg.llm import lines, minhash, simhash, substrings
+from tabreg.llm import lines, simhash, substrings
 from tabreg.llm.common import connected_components, read_table
 from tabreg.llm.queries import ORACLES, QUERIES
 from tests.oracle import connect, differences
@@ -82,22 +82,16 @@ def test_components_of_a_chain(spark):
 def test_one_of_each_stays(odd, none):
     kept = simhash.keep_one_of_each(odd)
     assert kept.columns == odd.columns and kept.dtypes == odd.dtypes
-    assert sorted((r["doc_id"] for r in kept.collect() if r["text"] and r["text"].startswith("the quick")), key=str) == [1]
+    rows = [(r["doc_id"], r["text"]) for r in odd.collect()]
+    want = plain_components([d for d, _ in rows], [plain_fingerprint(t, 4) for _, t in rows], 4)
+    assert Counter(r["doc_id"] for r in kept.collect()) == Counter(set(want))
     assert simhash.keep_one_of_each(none).count() == 0
 
 
-def plain_near_copies(rows, share=0.8):
-    """Smallest ids of the components of pairs whose five-word shingle sets share ``share`` of their union."""
-    sets = []
-    for _, text in rows:
-        words = (text or "").encode().lower().split()
-        sets.append({tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))})
-    label = list(range(len(rows)))
-    for i, a in enumerate(sets):
-        for j, b in enumerate(sets[:i]):
-            if label[i] != label[j] and len(a & b) * 10 >= round(share * 10) * len(a | b):
-                label = [label[j] if x == label[i] else x for x in label]
-    return {min(d for (d, _), x in zip(rows, label) if x == own) for own in set(label)}
+def plain_one_of_each(rows, shingle=4, threshold=4):
+    """Smallest ids of the components of linked fingerprints."""
+    ids = [d for d, _ in rows]
+    return set(plain_components(ids, [plain_fingerprint(t, shingle) for _, t in rows], threshold))
 
 
 def edited(rng, words, changes):
@@ -106,63 +100,24 @@ def edited(rng, words, changes):
     return [f"new{rng.random()}" if i in at else w for i, w in enumerate(words)]
 
 
-@pytest.mark.parametrize("block_rows", [2048, 3])
-def test_near_copies_same_as_jaccard(spark, monkeypatch, block_rows):
-    monkeypatch.setattr(minhash.near_components, "__defaults__", (block_rows,))
+@pytest.mark.parametrize("block_rows", [8192, 4])
+def test_one_of_each_same_as_plain(spark, block_rows):
     rng = random.Random(5)
     texts = []
-    for _ in range(25):  # from equal to about half alike, on both sides of 0.8, and chains over links of copies of copies
+    for _ in range(25):  # equal, nearly equal and rather different ones, and copies of copies
         words = [f"w{rng.randrange(10**6)}" for _ in range(rng.choice([40, 150, 400]))]
-        texts.append(words)
-        texts += [edited(rng, words, max(1, len(words) * c // 1000)) for c in (5, 18, 22, 25, 60)]
-        texts.append(edited(rng, texts[-3], max(1, len(words) // 50)))
+        texts += [words, words]
+        texts += [edited(rng, words, max(1, len(words) * c // 1000)) for c in (3, 5, 10, 22, 60)]
+        texts.append(edited(rng, texts[-3], 1))
     rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
-    kept = {r["doc_id"] for r in simhash.keep_one_of_each(docs).collect()}
-    assert kept == plain_near_copies(rows)
-    assert len(kept) not in (25, len(rows))
+    kept = {r["doc_id"] for r in simhash.keep_one_of_each(docs, block_rows=block_rows).collect()}
+    assert kept == plain_one_of_each(rows) and len(kept) not in (25, len(rows))
 
 
-def test_near_copies_of_the_table(spark, sf_dir, small):
+def test_one_of_each_of_the_table(spark, sf_dir, small):
     kept = {r["doc_id"] for r in simhash.keep_one_of_each(read_table(spark, sf_dir, "documents")).collect()}
-    assert kept == plain_near_copies(list(small.items()))
-
-
-def plain_windows(texts, length):
-    count = Counter()
-    for words in texts:
-        count.update(tuple(words[i : i + length]) for i in range(len(words) - length + 1))
-    out = []
-    for words in texts:
-        covered = [False] * len(words)
-        for i in range(len(words) - length + 1):
-            if count[tuple(words[i : i + length])] > 1:
-                covered[i : i + length] = [True] * length
-        out.append((len(words), sum(covered), b" ".join(w for w, c in zip(words, covered) if not c)))
-    return out
-
-
-def test_op2_same_as_brute_force(spark, sf_dir, small):
-    want = plain_windows([t.encode().split() for t in small.values()], 35)
-    got = {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"]) for r in QUERIES["op2_substrings"](spark, sf_dir).collect()}
-    assert got == {d: (n, m, hashlib.sha256(k).hexdigest()) for d, (n, m, k) in zip(small, want)}
-    assert sum(m for _, m, _ in got.values()) > 0
-
-
-def test_windows_of_few_words(spark):
-    rng = random.Random(3)
-    texts = [" ".join(rng.choice("ab") for _ in range(rng.randint(0, 40))) for _ in range(30)] + ["a " * 60]
-    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
-    got = {r["id"]: (r["n_words"], r["n_removed"], bytes(r["kept"])) for r in substrings.remove_repeats(rows, length=9).collect()}
-    assert got == dict(enumerate(plain_windows([t.encode().split() for t in texts], 9)))
-
-
-def test_windows_of_odd_rows(odd, none):
-    rows = odd.select("doc_id", "text").collect()
-    want = plain_windows([(r["text"] or "").encode().split() for r in rows], 9)
-    got = [(r["id"], r["n_words"], r["n_removed"], bytes(r["kept"])) for r in substrings.remove_repeats(odd, length=9).collect()]
-    assert Counter(got) == Counter((r["doc_id"], *w) for r, w in zip(rows, want))
-    assert substrings.remove_repeats(none).count() == 0
+    assert kept == plain_one_of_each(list(small.items()))
 
 
 def test_op7_same_as_sql(spark, sf_dir):
@@ -210,4 +165,3 @@ def test_pipeline_drops_short_lines(spark, sf_dir, small):
         got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in corpus_pipeline.drop_repeated_lines(spark, rows, sf_dir).collect()}
         want = plain_runs(texts, 1)
         assert got == {d: (t, len(t)) for d, t in enumerate(want)}
-        assert want != plain_runs(texts, 10)

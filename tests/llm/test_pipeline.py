@@ -10,37 +10,19 @@ import tiktoken
 import corpus_pipeline
 from tabreg.llm import decontaminate, toxicity
 from tabreg.llm.common import read_table
-from tests.llm.test_near_and_repeats import plain_components, plain_fingerprint, plain_near_copies, plain_runs
+from tests.llm.test_near_and_repeats import plain_one_of_each, plain_runs
 
 
 def test_run_same_as_plain_stages(spark, sf_dir):
-    docs = read_table(spark, sf_dir, "documents")
-    model = toxicity.train(docs, read_table(spark, sf_dir, "labels"))
-    rows = {r["doc_id"]: r["text"] for r in docs.orderBy("doc_id").collect()}
-    rows = {d: t for d, t in rows.items() if toxicity._score(model, [t])[0][0] < 0.5}
-    rows = dict(zip(rows, plain_runs(list(rows.values()), 10)))
-    components = plain_components(list(rows), [plain_fingerprint(t, 5) for t in rows.values()], 9)
-    rows = {d: t for (d, t), c in zip(rows.items(), components) if c == d}
-    items = [(r["item_id"], r["text"]) for r in read_table(spark, sf_dir, "benchmark").collect()]
-    known = decontaminate.Items(items, 0.2, 5)
-    rows = {d: t for d, t in rows.items() if not known.matches(t)}
-    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(P.path(corpus_pipeline.RANKS), "rb"))}
-    library = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    out = corpus_pipeline.run(spark, sf_dir).collect()
-    assert {r["doc_id"]: list(r["ids"]) for r in out} == {d: library.encode_ordinary(t) for d, t in rows.items()}
-    assert all(r["round_trip"] for r in out) and len(out) == len(rows)
-
-
-def test_run_same_as_whole_rules(spark, sf_dir):
-    """Repeated runs with any word go, and near copies are texts of computed similarity."""
+    """Repeated runs with any word go, near copies are linked fingerprints, and items of any length count."""
     docs = read_table(spark, sf_dir, "documents")
     model = toxicity.train(docs, read_table(spark, sf_dir, "labels"))
     rows = {r["doc_id"]: r["text"] for r in docs.orderBy("doc_id").collect()}
     rows = {d: t for d, t in rows.items() if toxicity._score(model, [t])[0][0] < 0.5}
     rows = dict(zip(rows, plain_runs(list(rows.values()), 1)))
-    stay = plain_near_copies(list(rows.items()))
+    stay = plain_one_of_each(list(rows.items()))
     items = [(r["item_id"], r["text"]) for r in read_table(spark, sf_dir, "benchmark").collect()]
-    known = decontaminate.Items(items, 0.2, 5)
+    known = decontaminate.Items(items, 0.2, 1)
     rows = {d: t for d, t in rows.items() if d in stay and not known.matches(t)}
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(P.path(corpus_pipeline.RANKS), "rb"))}
     library = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})

@@ -49,9 +49,35 @@ def test_search_same_as_brute_force(spark, sf_dir, small, monkeypatch):
         assert all(abs(a[1] - b[0]) < 1e-4 for a, b in zip(sorted(got[q]), rows))
 
 
-def test_op6_has_each_query(spark, sf_dir):
-    rows = QUERIES["op6_search"](spark, sf_dir).collect()
-    assert {r["query_id"] for r in rows} == {0, 100} and all(r["doc_id"] is not None for r in rows)
+def test_op6_same_as_brute_force(spark, sf_dir, small):
+    got = {}
+    for r in QUERIES["op6_search"](spark, sf_dir).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["doc_id"], r["score"]))
+    want = plain_search(small, [d for d in small if d % 100 == 0], 10)
+    assert set(got) == set(want)
+    for q, rows in want.items():
+        assert [d for _, d, _ in sorted(got[q])] == [d for _, d in rows]
+        assert all(abs(a[2] - b[0]) < 1e-4 for a, b in zip(sorted(got[q]), rows))
+
+
+def test_repeated_and_null_queries(spark):
+    docs = spark.createDataFrame([(1, "red fox"), (2, "red red hen"), (3, "blue")], "doc_id long, text string")
+    asked = [(7, "red"), (7, "red"), (None, "red"), (8, "blue red"), (9, None)]
+    queries = spark.createDataFrame(asked, "doc_id long, text string").repartition(3)
+    rows = search.search(docs, queries, k=2).collect()
+    assert Counter((r["query"], r["rank"]) for r in rows) == {(7, 1): 2, (7, 2): 2, (None, 1): 1, (None, 2): 1, (8, 1): 1, (8, 2): 1}
+    one = {(r["rank"], r["id"], round(r["score"], 9)) for r in rows if r["query"] in (7, None)}
+    assert len(one) == 2
+
+
+def test_repeated_items_and_clashing_names(spark):
+    docs = spark.createDataFrame([(1, "one two three four five six", "x", 9), (2, "none", "y", 8)], "doc_id long, text string, item string, distance int")
+    bench = spark.createDataFrame([(5, "two three"), (5, "two three"), (None, "five"), (6, " ")], "item_id long, text string")
+    rows = decontaminate.find_contamination(docs, bench).collect()
+    assert sorted(((r["id"], r["item"], r["distance"], r["first_word"], r["end_word"]) for r in rows), key=str) == [
+        (1, 5, 0, 1, 3), (1, 5, 0, 1, 3), (1, None, 0, 4, 5)]
+    kept = decontaminate.keep_clean(docs, bench)
+    assert kept.columns == docs.columns and [tuple(r) for r in kept.collect()] == [(2, "none", "y", 8)]
 
 
 def test_bounds_prune_nothing_that_counts():
@@ -91,12 +117,12 @@ def test_items_same_as_brute_force():
     rng = random.Random(5)
     words = [f"w{i}" for i in range(5)]
     for _ in range(500):
-        items = [(i, " ".join(rng.choice(words) for _ in range(rng.randint(5, 18)))) for i in range(3)]
+        items = [(i, " ".join(rng.choice(words) for _ in range(rng.choice([1, 2, 3, 4, *range(5, 19)])))) for i in range(3)]
         text = [rng.choice(words) for _ in range(rng.randint(0, 15))]
         for w in items[rng.randrange(3)][1].split():
             text += [w] if rng.random() < 0.85 else [rng.choice(words)] * rng.randint(0, 2)
         text += [rng.choice(words) for _ in range(rng.randint(0, 15))]
-        got = {(a, b) for a, b, _, _ in decontaminate.Items(items, 0.2, 5).matches(" ".join(text))}
+        got = {(a, b) for a, b, _, _ in decontaminate.Items(items, 0.2, 1).matches(" ".join(text))}
         want = {(i, sellers(x.split(), text)) for i, x in items}
         assert got == {(i, d) for i, d in want if d <= int(0.2 * len(items[i][1].split()))}
 
@@ -109,11 +135,11 @@ def test_op4_finds_items_with_edits(spark, sf_dir, small):
     assert exact and exact == {k for k, v in got.items() if v == 0}
     words = items[0].split()
     words[3:4] = ["changed", "and", "longer"]
-    docs = spark.createDataFrame([(1, "before it " + " ".join(words) + " after"), (2, "clean"), (None, items[1]), (3, None)], "doc_id long, text string")
+    docs = spark.createDataFrame([(1, "before it " + " ".join(words) + " after"), (2, "clean"), (None, items[1]), (3, None), (4, "far too short a text")], "doc_id long, text string")
     bench = spark.createDataFrame([(0, items[0]), (1, items[1]), (2, None), (3, ""), (4, "too short")], "item_id long, text string")
     for size in (1, 4 << 20):  # one item a block, and all at once
         rows = decontaminate.find_contamination(docs, bench, block_chars=size).collect()
-        assert {(r["id"], r["item"], r["distance"]) for r in rows} == {(1, 0, 3), (None, 1, 0)}
+        assert {(r["id"], r["item"], r["distance"]) for r in rows} == {(1, 0, 3), (None, 1, 0), (4, 4, 0)}
         assert {r["doc_id"] for r in decontaminate.keep_clean(docs, bench, block_chars=size).collect()} == {2, 3}
     assert decontaminate.find_contamination(docs, bench.limit(0)).count() == 0
     assert decontaminate.keep_clean(docs.limit(0), bench).count() == 0
@@ -125,6 +151,29 @@ def test_decontamination_keeps_columns(odd, spark):
     assert kept.dtypes == odd.dtypes and all("lazy" not in (r["text"] or "") for r in kept.collect()) and kept.count() == 8
 
 
+def test_marginals_in_stretches_same_as_whole(monkeypatch):
+    rng = np.random.default_rng(3)
+    sizes = np.array([0, 5, 700, 1, 0, 40, 3000, 2])
+    first = toxicity._first(sizes)
+    emission, transitions = rng.normal(0, 2, int(sizes.sum())), rng.normal(0, 1, (2, 2))
+    whole, _ = toxicity.marginals(emission, first, transitions)
+    for at_once in (1, 64, 257, 100_000):
+        monkeypatch.setattr(toxicity, "TOKENS_AT_ONCE", at_once)
+        if at_once > 1:
+            assert np.allclose(toxicity.text_marginals(emission, first, transitions), whole, rtol=1e-9, atol=1e-12)
+    assert len(toxicity.text_marginals(np.zeros(0), np.zeros(0, bool), transitions)) == 0
+
+
+def test_scoring_keeps_no_long_words():
+    own = toxicity.Vocabulary(keep=False)
+    texts = ["a " + "x" * 500 + " b", "y" * 70]
+    flat, sizes = own.tokens(texts)
+    again, _ = own.tokens(texts)
+    assert sizes.tolist() == [3, 1] and not own.long and set(own.numbers) == {"a", "b"}
+    assert (own.buckets[flat] == own.buckets[again]).all() and set(own.words) == {None}
+    assert toxicity.Vocabulary().tokens(texts)[0].tolist() == [0, 1, 2, 3]
+
+
 def test_marginals_same_as_enumeration():
     rng = np.random.default_rng(0)
     sizes = np.array([3, 1, 0, 6])

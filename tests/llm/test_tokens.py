@@ -72,7 +72,6 @@ def test_bpe_of_odd_rows(odd, none, library):
 
 def library_ids(texts):
     known = Tokenizer.from_file(WORDS)
-    known.encode_special_tokens = True
     return [np.array(e.ids + [2], "<u4") for e in known.encode_batch(texts, add_special_tokens=False)]
 
 
@@ -87,7 +86,7 @@ def test_op3_same_as_library(spark, sf_dir, small):
 
 def test_words_by_parts_same_as_whole_texts():
     rng = random.Random(2)
-    alphabet = ODD + ["Σ", "ΑΣ", "İ", "ß", "don't", "word.", "it's,", "-", "̀e", "x̂"]
+    alphabet = ODD + ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "a<|endoftext|>b.", "Σ", "ΑΣ", "İ", "ß", "don't", "word.", "it's,", "-", "̀e", "x̂"]
     texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 25))) for _ in range(4000)]
     own = token_files.Words(open(WORDS, encoding="utf-8").read(), "<u4").encode(texts)
     for text, ids, want in zip(texts, own, library_ids(texts)):
