@@ -26,8 +26,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: a Jaccard similarity of 0.8 or more over five-word shingles."""
-    return simhash.keep_one_of_each(docs, shingle=5, similarity=0.8)
+    """One document of each group of near copies: fingerprints of four-word shingles, linked at four bits or fewer."""
+    return simhash.keep_one_of_each(docs, shingle=4, threshold=4)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
