@@ -1,46 +1,74 @@
-"""Quantiles: exact by bracket refinement, approximate by one sketch pass.
+"""Quantiles: exact by radix selection, approximate by one sketch pass.
 
 An exact percentile aggregate keeps every value in one buffer and a global sort
-moves every value, so neither holds for columns of 10^12 values. Here a sketch
-brackets the wanted ranks, a counting pass says how many values lie below and
-inside each bracket, and the bracket is refined until the
-wanted rank falls on one of its ends. Each pass is a narrow scan of the wanted columns with partial
-aggregation; nothing is shuffled but one row per task, and repeated values
-(one price holding a third of the rows) end the search at once.
+moves every value, so neither holds for columns of 10^12 values. Here a double
+is read as a 64-bit integer of the same order. A pass counts the values by their next
+sixteen bits, for all columns and wanted ranks together; the digit that holds a rank is
+found by a running sum over at most 65,536 counts, and the next pass looks at
+the values below that digit only. Four passes find any rank, and a digit that holds a
+single value (one price in a third of the rows) ends its search at once. Counts
+are combined before the shuffle, so a pass moves counts and never values.
+
+Counts can be taken by parts of the table as well: what all parts but one would give
+is the difference of two counts, so the quantiles outside each of k folds come
+out of the same passes.
 """
 
 from __future__ import annotations
 
 import math
+import struct
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-SKETCH_ACCURACY = 10_000
+from ..sources import stage
+
+DIGIT_BITS = 16
+LARGEST_EXPONENT, BIAS, FRACTION_BITS = 1023, 1023, 52
+
+
+def ordered_bits(value: Column) -> Column:
+    """A long that orders as the double does: exponent and fraction of its magnitude, negated for negative values.
+
+    Scaling by a power of two is exact. NULL gives NULL; NaN has no place.
+    """
+    size = F.abs(value)
+    power = F.least(F.floor(F.log2(size)), F.lit(LARGEST_EXPONENT).cast("long"))
+    unit = F.pow(F.lit(2.0), power)  # the logarithm may be off by one next to a power of two
+    above, below = size >= 2 * unit, size < unit
+    exponent = power + F.when(above, 1).when(below, -1).otherwise(0)
+    unit = F.when(above, 2 * unit).when(below, unit / 2).otherwise(unit)
+    fraction = (size / unit * float(1 << FRACTION_BITS)).cast("long")
+    bits = (exponent + (BIAS - 1)) * (1 << FRACTION_BITS) + fraction
+    bits = (
+        F.when(size == 0, F.lit(0).cast("long"))
+        .when(size == math.inf, F.lit(2047 << FRACTION_BITS))
+        .when(size < 2.0**-1022, (size * 2.0**537 * 2.0**537).cast("long"))
+        .otherwise(bits)
+    )
+    return F.when(value < 0, -bits).otherwise(bits)
+
+
+def double_of(bits: int) -> float:
+    """The double whose ``ordered_bits`` are ``bits``."""
+    value = struct.unpack("<d", struct.pack("<q", abs(bits)))[0]
+    return -value if bits < 0 else value
 
 
 @dataclass
 class _Target:
-    """Search state of one (column, rank): the value lies in (low, high), None where a side is open."""
-
-    column: str
-    rank: int  # 1-based rank within (low, high)
-    size: int  # number of values within (low, high)
-    low: float | None = None
-    high: float | None = None
+    """One wanted rank: ``rank`` counts from 1 among the values whose bits begin with ``prefix``, outside part ``without``."""
+
+    column: int
+    without: int | None
+    slot: int
+    total: int
+    rank: int
+    prefix: int
     value: float | None = None
 
-    def inside(self) -> Column:
-        v = F.col(self.column)
-        condition = v.isNotNull()
-        if self.low is not None:
-            condition &= v > F.lit(self.low)
-        if self.high is not None:
-            condition &= v < F.lit(self.high)
-        return condition
-
 
 def exact_quantiles(
     df: DataFrame,
@@ -53,39 +81,47 @@ def exact_quantiles(
 
     Discrete by default: the value of rank ceil(p * n). With ``interpolate``
     the two neighbours of position p * (n - 1) are mixed linearly. A column
-    without values gives None. The wanted columns are persisted between passes;
+    without values gives None. The wanted columns are stored between passes;
     turn ``cache`` off when ``df`` is a plain scan of a stored table.
     """
+    return quantiles_without_parts(df, columns, probabilities, interpolate=interpolate, cache=cache)[None]
+
+
+def quantiles_without_parts(
+    df: DataFrame,
+    columns: str | Sequence[str],
+    probabilities: Sequence[float],
+    part_col: str | None = None,
+    parts: Sequence[int] = (),
+    interpolate: bool = False,
+    cache: bool = True,
+) -> dict[int | None, dict[str, list[float | None]]]:
+    """``exact_quantiles`` of all rows (key None), and for each of ``parts`` of the rows outside that part.
+
+    All of them come out of the same four passes at most.
+    """
     names = [columns] if isinstance(columns, str) else list(columns)
-    values = df.select([_clean(n).alias(f"v{i}") for i, n in enumerate(names)])
+    part = F.col(part_col).cast("int") if part_col else F.lit(None).cast("int")
+    values = df.select(part.alias("part"), *[ordered_bits(_clean(n)).alias(f"v{i}") for i, n in enumerate(names)])
     if cache:
-        values = values.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        counts = values.agg(*[F.count(c).alias(c) for c in values.columns]).first()
-        targets: dict[tuple[str, int], _Target] = {}
-        for column in values.columns:
-            n = counts[column]
-            for p in probabilities if n else []:
-                for rank in _ranks(p, n, interpolate):
-                    targets.setdefault((column, rank), _Target(column, rank, n))
-        _select(values, list(targets.values()))
-    finally:
-        if cache:
-            values.unpersist()
-
-    def answer(column: str, p: float) -> float | None:
-        n = counts[column]
-        if not n:
+        values = stage(values, "quantile-values")
+    slots = [(p, side) for p in probabilities for side in ((0, 1) if interpolate else (0,))]
+    targets = _select(values, len(names), [int(p) for p in parts], slots, interpolate)
+
+    def answer(without: int | None, column: int, at: int) -> float | None:
+        width = 2 if interpolate else 1
+        found = [targets.get((column, without, at * width + side)) for side in range(width)]
+        if found[0] is None:
             return None
-        found = [targets[column, rank].value for rank in _ranks(p, n, interpolate)]
-        if len(found) == 1:
-            return found[0]
-        weight = p * (n - 1) - math.floor(p * (n - 1))
-        return found[0] + (found[1] - found[0]) * weight
+        if not interpolate:
+            return found[0].value
+        position = probabilities[at] * (found[0].total - 1)
+        low, high = found[0].value, found[1].value
+        return low if low == high else low + (high - low) * (position - math.floor(position))
 
     return {
-        name: [answer(column, p) for p in probabilities]
-        for name, column in zip(names, values.columns)
+        without: {name: [answer(without, i, at) for at in range(len(probabilities))] for i, name in enumerate(names)}
+        for without in (None, *map(int, parts))
     }
 
 
@@ -125,66 +161,77 @@ def _clean(name: str) -> Column:
     return F.when(~F.isnan(value), value)
 
 
-def _ranks(p: float, n: int, interpolate: bool) -> list[int]:
-    if not interpolate:
-        return [min(n, max(1, math.ceil(p * n)))]
-    position = p * (n - 1)
-    low, high = math.floor(position) + 1, math.ceil(position) + 1
-    return [low] if low == high else [low, high]
-
-
-def _select(values: DataFrame, targets: list[_Target]) -> None:
-    """Every pass takes at least an end off each bracket; a small bracket's sketch is exact and ends its search."""
-    while open_targets := [t for t in targets if t.value is None]:
-        _narrow(values, open_targets)
-
-
-def _narrow(values: DataFrame, targets: list[_Target]) -> None:
-    """One sketch pass and one counting pass over all open brackets."""
-    slack = 2.0 / SKETCH_ACCURACY
-    brackets = _by_bracket(targets)
-    sketches, slots = [], []
-    for i, group in enumerate(brackets):
-        wanted = []
-        for target in group:
-            p = target.rank / target.size
-            wanted += [max(0.0, p - slack), min(1.0, p + slack)]
-        inside = F.when(group[0].inside(), F.col(group[0].column))
-        sketches.append(F.percentile_approx(inside, wanted, SKETCH_ACCURACY).alias(f"b{i}"))
-        slots += [(target, i, 2 * j) for j, target in enumerate(group)]
-    row = values.agg(*sketches).first()
-    bounds = [(target, row[f"b{i}"][j], row[f"b{i}"][j + 1]) for target, i, j in slots]
-
-    counters = []
-    for i, (target, low, high) in enumerate(bounds):
-        v, inside = F.col(target.column), target.inside()
-        counters += [
-            F.count_if(inside & (v < F.lit(low))).alias(f"below{i}"),
-            F.count_if(v == F.lit(low)).alias(f"low{i}"),
-            F.count_if((v > F.lit(low)) & (v < F.lit(high))).alias(f"between{i}"),
-            F.count_if(v == F.lit(high)).alias(f"high{i}"),
-        ]
-    seen = values.agg(*counters).first()
-    for i, (target, low, high) in enumerate(bounds):
-        below, at_low, between = seen[f"below{i}"], seen[f"low{i}"], seen[f"between{i}"]
-        at_high = 0 if low == high else seen[f"high{i}"]
-        rank = target.rank
-        if rank <= below:
-            target.high, target.size = low, below
-        elif rank <= below + at_low:
-            target.value = low
-        elif rank <= below + at_low + between:
-            target.low, target.high = low, high
-            target.rank, target.size = rank - below - at_low, between
-        elif rank <= below + at_low + between + at_high:
-            target.value = high
+def _select(values: DataFrame, n_columns: int, parts: list[int], slots: list[tuple[float, int]], interpolate: bool) -> dict:
+    """(column, without, slot) -> target with its value; columns without values have none."""
+    pairs = [F.struct(F.lit(i).alias("column"), F.col(f"v{i}").alias("bits")) for i in range(n_columns)]
+    one = pairs[0] if n_columns == 1 else F.explode(F.array(*pairs))
+    long = values.select("part", one.alias("p")).select("part", "p.column", "p.bits").filter("bits is not null")
+    total = F.col("total").cast("double")
+
+    def rank(p: float, side: int) -> Column:
+        if not interpolate:
+            return F.greatest(F.lit(1).cast("long"), F.least(F.col("total"), F.ceil(F.lit(p) * total)))
+        position = F.lit(p) * (total - 1)
+        return (F.ceil(position) if side else F.floor(position)) + 1
+
+    ranks = F.array(*[F.struct(F.lit(s).alias("slot"), rank(*slot).alias("rank")) for s, slot in enumerate(slots)])
+    first = _counts(long, 64 - DIGIT_BITS, parts)
+    every = Window.partitionBy("column", "without")
+    first = first.withColumns({"total": F.sum("n").over(every), "upto": F.sum("n").over(every.orderBy("digit"))})
+    targets: dict[tuple, _Target] = {}
+    open_targets = _found(first.withColumn("ranks", ranks), targets)
+    shift = 64 - DIGIT_BITS
+    while open_targets:
+        open_targets = _next_digit(values.sparkSession, long, open_targets, shift, parts, targets)
+        shift -= DIGIT_BITS
+    return targets
+
+
+def _counts(long: DataFrame, shift: int, parts: list[int]) -> DataFrame:
+    """(column, digit, lowest, highest, without, n): values by all bits above ``shift``, of the whole table and outside each part."""
+    grouped = long.groupBy("column", F.shiftright("bits", shift).alias("digit")).agg(
+        F.count(F.lit(1)).alias("all"), F.min("bits").alias("lowest"), F.max("bits").alias("highest"),
+        *[F.count_if(F.col("part") == p).alias(f"in{p}") for p in parts],
+    )
+    outside = [F.struct(F.lit(None).cast("int").alias("without"), F.col("all").alias("n"))]
+    outside += [F.struct(F.lit(p).alias("without"), (F.col("all") - F.col(f"in{p}")).alias("n")) for p in parts]
+    return grouped.select("column", "digit", "lowest", "highest", F.inline(F.array(*outside))).filter("n > 0")
+
+
+def _found(counted: DataFrame, targets: dict) -> list[_Target]:
+    """Takes over the digits that hold wanted ranks: one row per target reaches the driver. Gives the targets still open."""
+    below = F.col("upto") - F.col("n")
+    inside = F.filter("ranks", lambda r: (r["rank"] > below) & (r["rank"] <= F.col("upto")))
+    hits = counted.select("column", "without", "digit", "lowest", "highest", "total", below.alias("below"), F.inline(inside))
+    still = []
+    for r in hits.collect():
+        target = _Target(r["column"], r["without"], r["slot"], r["total"], r["rank"] - r["below"], r["digit"])
+        if r["lowest"] == r["highest"]:
+            target.value = double_of(r["lowest"])
         else:
-            passed = below + at_low + between + at_high
-            target.low, target.rank, target.size = high, rank - passed, target.size - passed
-
-
-def _by_bracket(targets: list[_Target]) -> list[list[_Target]]:
-    groups: dict[tuple[str, float | None, float | None], list[_Target]] = {}
-    for target in targets:
-        groups.setdefault((target.column, target.low, target.high), []).append(target)
-    return list(groups.values())
+            still.append(target)
+        targets[target.column, target.without, target.slot] = target
+    return still
+
+
+def _next_digit(spark, long: DataFrame, wanted: list[_Target], above: int, parts: list[int], targets: dict) -> list[_Target]:
+    """One more pass: the next digit of each open target."""
+    shift = above - DIGIT_BITS
+    begins = sorted({(t.column, t.prefix) for t in wanted})
+    inside = F.lit(False)
+    for column, prefix in begins:
+        inside |= (F.col("column") == column) & F.col("bits").between(prefix << above, (prefix + 1 << above) - 1)
+    rows: dict[tuple, list] = {}
+    for t in wanted:
+        rows.setdefault((t.column, t.without, t.prefix, t.total), []).append((t.slot, t.rank))
+    asked = spark.createDataFrame(
+        [(*key, ranks) for key, ranks in rows.items()],
+        "column int, without int, prefix long, total long, ranks array<struct<slot:int,rank:long>>",
+    )
+    counted = _counts(long.filter(inside), shift, sorted({t.without for t in wanted if t.without is not None}) if parts else [])
+    counted = counted.withColumn("prefix", F.shiftright("digit", DIGIT_BITS)).alias("c").join(
+        asked.alias("a"),
+        (F.col("c.column") == F.col("a.column")) & (F.col("c.prefix") == F.col("a.prefix")) & F.col("c.without").eqNullSafe(F.col("a.without")),
+    ).select("c.*", "ranks", "total")
+    counted = counted.withColumn("upto", F.sum("n").over(Window.partitionBy("column", "without", "prefix").orderBy("digit")))
+    return _found(counted, targets)

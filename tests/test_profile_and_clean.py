@@ -27,9 +27,7 @@ def brute(values, p):
 
 
 @pytest.mark.parametrize("shape", ["spread", "one value holds a third", "two values", "integers", "infinite"])
-def test_exact_quantiles_refine_to_the_sorted_answer(spark, monkeypatch, shape):
-    # A small sketch forces several refinement rounds.
-    monkeypatch.setattr(q, "SKETCH_ACCURACY", 20)
+def test_exact_quantiles_refine_to_the_sorted_answer(spark, shape):
     rng = random.Random(7)
     values = {
         "spread": [rng.gauss(0, 1e6) for _ in range(3000)],
