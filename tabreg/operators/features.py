@@ -196,7 +196,7 @@ def largest_arity(df: DataFrame, column: str = "features") -> int:
         (
             a["num_vals"] if "num_vals" in a else len(a.get("vals", []))
             for a in vector_attributes(df, column)
-            if a.get("type") == "nominal" or "vals" in a
+            if "num_vals" in a or "vals" in a
         ),
         default=0,
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tabreg.operators.codes import code_dictionary, encode_stored
 from tabreg.operators.features import (
     CalendarFeatures,
     category_indexer,
@@ -15,6 +16,7 @@ from tabreg.operators.features import (
     scaler,
 )
 from tabreg.plans import clean, clean_for_serving, serving_features
+from tabreg.sources import stage
 
 from .fixture import (
     AREA, CATEGORICAL, DATE, KIND, NUMERIC, PARKING, TARGET, txn, with_ctes,
@@ -68,6 +70,13 @@ def string_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return category_indexer(CATEGORICAL).fit(rows).transform(rows).select("txn_id", *coded(CATEGORICAL))
 
 
+@query(with_ctes("txn", extra=_CODES, select=f"SELECT txn_id, {_CODE_COLUMNS} FROM txn {_CODE_JOINS}"))
+def string_index_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same codes from a stored dictionary, by joins."""
+    rows = stage(txn(spark, sf_dir), "txn")
+    return encode_stored(rows, code_dictionary(rows, CATEGORICAL), CATEGORICAL).select("txn_id", *coded(CATEGORICAL))
+
+
 @query(with_ctes("txn", extra=_CODES, select=f"""SELECT txn_id, {_CODE_COLUMNS} FROM txn {_CODE_JOINS}
   WHERE txn.area_name IS NOT NULL"""))
 def string_index_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
