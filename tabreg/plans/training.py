@@ -5,17 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators.clean import UNKNOWN, MissingValueImputerModel, present_mean, require
 from ..operators.ensemble import BaggingRegressor
+from ..operators.gram import fit_without_folds, has_closed_form
 from ..operators.features import CALENDAR_COLUMNS, CalendarFeatures, LabelColumn, largest_arity
 from ..operators.metrics import cv_summary, model_comparison, regression_metrics
 from ..operators.overlap import overlapped
 from ..operators.resample import assign_folds, fold_split
+from ..sources import stage
+from .folds import Preparation, prepare_folds
 
 ModelSpec = Estimator | Callable[[], Estimator]
 
@@ -52,22 +54,22 @@ def serving_features(
     categorical: Sequence[str],
 ) -> tuple[DataFrame, MissingValueImputerModel]:
     """(rows for the served model, its fills): calendar parts, fills, label, no missing target or date."""
+    fills = serving_fills(df, mean_cols, zero_cols, categorical)
+    return served_rows(df, target_col, date_col, fills), fills
+
+
+def served_rows(df: DataFrame, target_col: str, date_col: str, fills: MissingValueImputerModel) -> DataFrame:
+    """Rows for the served model by known fills."""
     dated = CalendarFeatures(dateCol=date_col).transform(df)
-    fills = serving_fills(dated, mean_cols, zero_cols, categorical)
     kept = require(fills.transform(dated), [target_col, CALENDAR_COLUMNS[0]])
-    return LabelColumn(targetCol=target_col).transform(kept), fills
+    return LabelColumn(targetCol=target_col).transform(kept)
 
 
 class CrossValidation:
-    """Out-of-fold predictions of all models, and the reports drawn from them.
-
-    ``predictions`` reads the cached training rows; ``release`` (or leaving a
-    ``with`` block) frees them.
-    """
+    """Out-of-fold predictions of all models, and the reports drawn from them. ``predictions`` reads the stored rows."""
 
-    def __init__(self, predictions: DataFrame, rows: DataFrame, cached: bool):
+    def __init__(self, predictions: DataFrame):
         self.predictions = predictions
-        self._rows, self._cached = rows, cached
 
     def fold_metrics(self) -> DataFrame:
         """One row per (model, fold), all from one aggregate."""
@@ -83,15 +85,11 @@ class CrossValidation:
     def comparison(self) -> DataFrame:
         return model_comparison(self.summary())
 
-    def release(self) -> None:
-        if self._cached:
-            self._rows.unpersist()
-
     def __enter__(self) -> "CrossValidation":
         return self
 
     def __exit__(self, *_) -> None:
-        self.release()
+        pass
 
 
 def cross_validate(
@@ -106,6 +104,8 @@ def cross_validate(
     prediction_col: str = "prediction",
     random: bool = False,
     cache: bool = True,
+    preparation: Preparation | None = None,
+    fit_scope: str = "fold",
 ) -> CrossValidation:
     """k-fold cross-validation of any number of models over the same folds.
 
@@ -113,58 +113,67 @@ def cross_validate(
     learn their indexers and fills from training rows only. ``train_only`` is
     a fitted step applied to training rows but not to validation rows (an
     outlier filter, say). Fits of different folds and models overlap, up to
-    ``parallelism`` at a time; they share one cached copy of the rows, ordered
-    by fold inside each partition so that a fold skips the batches of others.
+    ``parallelism`` at a time; they share one stored copy of the rows with a folder
+    per fold, of which a fold's scans read what they need (``cache`` off: no copy,
+    ``df`` is computed again). Linear models with a closed form are fitted for all folds by one pass (``operators.gram``).
+
+    With a ``preparation``, ``df`` holds distinct raw rows, and price range, fills, sparse columns and codes are learned from each fold's
+    training rows (``fit_scope`` 'fold') or, as leaks do, from all rows ('global'); see ``plans.folds``.
     """
     named = models if isinstance(models, dict) else {"model": models}
-    folded = assign_folds(df, key, k, seed, random).sortWithinPartitions("fold")
-    if cache:
-        folded = folded.persist(StorageLevel.MEMORY_AND_DISK)
     keys = [] if key is None else [key] if isinstance(key, str) else list(key)
+    if preparation is not None:
+        if not keys or random:
+            raise ValueError("a preparation needs key columns and hashed folds")
+        prepared = prepare_folds(df, preparation, keys, k, seed, fit_scope)
+        folded, split = prepared.rows, prepared.split
+    else:
+        folded = assign_folds(df, key, k, seed, random)
+        if cache:
+            folded = stage(folded, "folds", "fold")
+
+        def split(fold: int) -> tuple[DataFrame, DataFrame]:
+            return fold_split(folded, fold, k)
+
+    filled = folded.select("fold").distinct().count()
+    if filled < k:
+        raise ValueError(f"only {filled} of {k} folds have rows")
 
     def fit(task: tuple[str, int]):
         name, fold = task
-        train, _ = fold_split(folded, fold, k)
+        train, _ = split(fold)
         if train_only is not None:
             train = train_only.copy().fit(train).transform(train)
         return _fresh(named[name], train, cache, one_fit_of_many=True).fit(train)
 
-    tasks = [(name, fold) for name in named for fold in range(k)]
-    try:
-        filled = folded.select("fold").distinct().count()
-        if filled < k:
-            raise ValueError(f"only {filled} of {k} folds have rows")
-        fitted = dict(zip(tasks, overlapped(df.sparkSession, fit, tasks, parallelism)))
-    except BaseException:
-        if cache:
-            folded.unpersist()
-        raise
+    def fit_all(name: str) -> dict:
+        return {(name, f): m for f, m in fit_without_folds(folded, named[name], list(range(k))).items()}
+
+    one_pass = [n for n, m in named.items() if preparation is None and train_only is None and not random and has_closed_form(m)]
+    tasks = [(name, fold) for name in named if name not in one_pass for fold in range(k)]
+    calls = [(fit_all, n) for n in one_pass] + [(fit, t) for t in tasks]
+    done = overlapped(df.sparkSession, lambda call: call[0](call[1]), calls, parallelism)
+    fitted = dict(zip(tasks, done[len(one_pass):]))
+    for found in done[: len(one_pass)]:
+        fitted.update(found)
 
     scored = []
     for fold in range(k):
-        _, validation = fold_split(folded, fold, k)
+        _, validation = split(fold)
         for group in _scored_together({name: fitted[name, fold] for name in named}):
             scored.append(
                 stack_predictions(group, validation, ["fold", *keys], label_col, prediction_col)
             )
-    predictions = reduce(DataFrame.unionByName, scored)
-    return CrossValidation(predictions, folded, cache)
+    return CrossValidation(reduce(DataFrame.unionByName, scored))
 
 
 def fit_models(
     train: DataFrame, models: dict[str, ModelSpec], parallelism: int = 4, cache: bool = True
 ) -> dict:
-    """Fit several models on one cached copy of the training rows: name -> fitted model."""
-    if cache:
-        train = train.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        fitted = overlapped(
-            train.sparkSession, lambda m: _fresh(m, train, cache).fit(train), list(models.values()), parallelism
-        )
-        return dict(zip(models, fitted))
-    finally:
-        if cache:
-            train.unpersist()
+    """Fit several models on one stored copy of the training rows (``cache`` off: on ``train`` itself): name -> fitted model."""
+    rows = stage(train, "train") if cache else train
+    fitted = overlapped(rows.sparkSession, lambda m: _fresh(m, rows, cache).fit(rows), list(models.values()), parallelism)
+    return dict(zip(models, fitted))
 
 
 def stack_predictions(

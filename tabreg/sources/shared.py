@@ -6,7 +6,7 @@ import functools
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def shared_path(spark: SparkSession, label: str) -> str:
@@ -26,8 +26,8 @@ def shared_path(spark: SparkSession, label: str) -> str:
     return path
 
 
-def stage(df: DataFrame, label: str = "stage") -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and return the stored table.
+def stage(df: DataFrame, label: str = "stage", partition_by: str | None = None) -> DataFrame:
+    """Write ``df`` as Parquet to the shared folder and return the stored table, in folders by ``partition_by`` if given.
 
     Used where a result is read several times: later passes prune columns and
     push filters into the files, and a lost executor costs a re-read of a few
@@ -35,8 +35,8 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     table goes away when the driver exits.
     """
     path = shared_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    (df.write.partitionBy(partition_by) if partition_by else df.write).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 @functools.cache
