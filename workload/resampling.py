@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tabreg.operators.resample import (
     assign_folds,
+    assign_stratified_folds,
+    bootstrap_exact,
     bootstrap_rows,
     bootstrap_weight,
     fold_split,
@@ -14,7 +16,9 @@ from tabreg.operators.resample import (
     holdout_split,
 )
 
-from .fixture import bucket_sql, txn, with_ctes
+from tabreg.plans import sales_rows
+
+from .fixture import KIND, TARGET, bucket_sql, txn, with_ctes
 from .registry import query
 
 K, SEED, DRAWS = 10, 42, 3
@@ -79,6 +83,16 @@ def fold_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return group_counts(assign_folds(txn(spark, sf_dir), "txn_id", K, SEED), "fold").orderBy("fold")
 
 
+@query(with_ctes("sales", extra=f"""edges AS (SELECT list_sort(list_distinct(quantile_disc(actual_worth, {[i / 10 for i in range(1, 10)]}))) AS e FROM sales),
+marked AS (SELECT txn_id, substr(md5(concat('{SEED}:', txn_id)), 1, 15) AS digits, CAST(CASE WHEN actual_worth IS NULL THEN len(e) + 1
+  ELSE len(list_filter(e, lambda x: actual_worth > x)) END AS INT) AS stratum FROM sales, edges)""",
+    select=f"""SELECT txn_id, stratum, CAST((row_number() OVER (PARTITION BY stratum ORDER BY digits, txn_id) - 1 + stratum) % {K} AS INT) AS fold FROM marked"""))
+def kfold_stratified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Folds with equal shares of ten price ranges; rows without a price are an eleventh."""
+    rows = sales_rows(txn(spark, sf_dir), KIND, staged=False)
+    return assign_stratified_folds(rows, "txn_id", TARGET, K, SEED).select("txn_id", "stratum", "fold")
+
+
 @query(with_ctes("txn", select=f"""SELECT txn_id, fold, CASE WHEN fold = 3 THEN 'validation' ELSE 'train' END AS part
   FROM (SELECT txn_id, {fold_sql()} AS fold FROM txn)"""), name="fold_split")
 def fold_split_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,6 +112,17 @@ def bootstrap_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows
 
 
+@query(with_ctes("sales", extra=f"""numbered AS (SELECT txn_id, row_number() OVER (ORDER BY substr(md5(concat('{SEED}:', txn_id)), 1, 15), txn_id) - 1 AS no,
+  count(*) OVER () AS n FROM sales),
+drawn AS (SELECT {bucket_sql('i', repr(f'{SEED}:0:draw'))} % (SELECT count(*) FROM sales) AS no, count(*) AS times
+  FROM (SELECT unnest(range((SELECT count(*) FROM sales))) AS i) GROUP BY 1)""",
+    select="SELECT txn_id, CAST(coalesce(times, 0) AS INT) AS bootstrap_count FROM numbered LEFT JOIN drawn USING (no)"), name="bootstrap_exact")
+def bootstrap_exact_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each row occurs in a sample of exactly as many rows."""
+    rows = sales_rows(txn(spark, sf_dir), KIND, staged=False).select("txn_id")
+    return bootstrap_exact(rows, "txn_id", 0, SEED)
+
+
 @query(with_ctes("txn", select=f"""SELECT txn.* FROM txn, unnest(range(CAST({poisson_sql(repr(f'{SEED}:0'))} AS BIGINT))) AS u(n)"""),
        name="bootstrap_rows")
 def bootstrap_sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
