@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tabreg.operators.arrivals import DistinctStore
 from tabreg.operators.clean import (
     MissingValueImputer,
     OutlierFilter,
@@ -44,6 +47,15 @@ def dedup_all_rare(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deduplicate_rare(stage(txn(spark, sf_dir), "txn"))
 
 
+@query(with_ctes("txn", select="SELECT DISTINCT * FROM txn WHERE txn_id % 3 = 0"))
+def dedup_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A delivery of all rows against a store that has two thirds of them; only the delivery is shuffled."""
+    rows = stage(txn(spark, sf_dir), "txn")
+    buckets = max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    store = DistinctStore.create(rows.filter("txn_id % 3 <> 0"), f"distinct_{uuid.uuid4().hex}", buckets)
+    return store.new_rows(rows)
+
+
 @query(with_ctes("txn", select="""SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (
   PARTITION BY area_name, property_usage ORDER BY instance_date NULLS FIRST, txn_id) AS rn FROM txn) WHERE rn = 1"""))
 def dedup_subset(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tabreg.functions import numeric_columns
+from tabreg.operators.arrivals import FileProfile
 from tabreg.operators.clean import OutlierFilter, of_kind
 from tabreg.operators.profile import (
     category_dictionary,
@@ -13,10 +14,12 @@ from tabreg.operators.profile import (
     missing_counts,
     missing_report,
     retention_audit,
+    schema_rows,
     table_counts,
 )
 from tabreg.operators.quantiles import approx_quantiles, exact_quantiles
 from tabreg.plans import sales_rows
+from tabreg.sources import shared_path
 
 from .fixture import AREA, CATEGORICAL, COLUMNS, KIND, TARGET, txn, txn_nan, with_ctes
 from .registry import query, rounded
@@ -75,6 +78,32 @@ def profile_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table_counts(txn(spark, sf_dir))
 
 
+_NAMES = "{'VARCHAR': 'string', 'BIGINT': 'bigint', 'INTEGER': 'int', 'DOUBLE': 'double'}"
+
+
+@query(with_ctes("txn", extra="t AS (SELECT * FROM txn LIMIT 1)", select=" UNION ALL ".join(
+    f"SELECT CAST({i} AS INT) AS position, '{c}' AS column_name, MAP {_NAMES}[typeof({c})] AS dtype, true AS nullable FROM t" for i, c in enumerate(COLUMNS, 1))))
+def profile_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The schema as rows, of the table as stored."""
+    path = shared_path(spark, "schema")
+    txn(spark, sf_dir).write.parquet(path)
+    return schema_rows(spark.read.parquet(path))
+
+
+@query(with_ctes("txn", select=f"""SELECT column_name, missing_count, missing_pct, value_count, mean, stddev, min_value, max_value, min_text, max_text
+  FROM ({" UNION ALL ".join(_describe_sql(c) for c in COLUMNS)}) JOIN ({_MISSING.replace("txn_nan", "txn").replace(" OR isnan(nan_area)", "").split(" UNION ALL SELECT 'nan_area'")[0]}) USING (column_name)"""))
+def profile_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A profile merged from states of files that arrived in two deliveries; the second refresh reads the second one only."""
+    files, states = shared_path(spark, "deliveries"), shared_path(spark, "states")
+    rows = txn(spark, sf_dir)
+    profile = FileProfile(spark, states, files)
+    for part in (rows.filter("txn_id % 3 = 0"), rows.filter("txn_id % 3 <> 0")):
+        part.write.mode("append").parquet(files)
+        profile.refresh()
+    report = profile.missing_report().drop("dtype").join(profile.describe().drop("approx_median", "approx_distinct"), "column_name")
+    return rounded(report, 2, "mean", "stddev")
+
+
 @query(with_ctes("txn", select="SELECT * FROM txn ORDER BY txn_id LIMIT 5"))
 def profile_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first_rows(txn(spark, sf_dir), ["txn_id"], 5)
