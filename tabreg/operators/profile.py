@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StringType
 
 from ..functions import is_numeric, missing
@@ -82,6 +82,12 @@ def table_counts(df: DataFrame) -> DataFrame:
     )
 
 
+def schema_rows(df: DataFrame) -> DataFrame:
+    """The schema as rows: position, column_name, dtype, nullable."""
+    rows = [(i + 1, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(df.schema.fields)]
+    return df.sparkSession.createDataFrame(rows, "position int, column_name string, dtype string, nullable boolean")
+
+
 def first_rows(df: DataFrame, order_by: Sequence[str], n: int = 5) -> DataFrame:
     """The n first rows in a stated order (a top-k, not a global sort)."""
     return df.orderBy(*order_by).limit(n)
@@ -136,6 +142,35 @@ def retention_audit(df: DataFrame, conditions: dict[str, Column]) -> DataFrame:
     return _one_row_per_column(distinct_rows.agg(*counts), rows)
 
 
+class RowAudit:
+    """Counts rows at named steps of a job while the job itself writes them: no job, scan or shuffle of its own.
+
+    ``step`` returns the frame to go on with; what it counts is there once a frame built on it was written. Each step must be run once. Where
+    an executor is lost, Spark may run tasks of a step again and then counts their rows twice: the table is a report, not a check.
+    """
+
+    def __init__(self):
+        self._steps: list[tuple[str, Observation]] = []
+
+    def step(self, df: DataFrame, name: str) -> DataFrame:
+        seen = Observation(name)
+        self._steps.append((name, seen))
+        return df.observe(seen, F.count(F.lit(1)).alias("n"))
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        """(step_no, step, rows_in, rows_out, kept_pct, kept_of_raw_pct); the first step gives the raw rows."""
+        counts = [(name, seen.get["n"]) for name, seen in self._steps]
+        rows = [(i, name, before, after, counts[0][1]) for i, ((_, before), (name, after)) in enumerate(zip(counts, counts[1:]), 1)]
+        out = spark.createDataFrame(rows, "step_no int, step string, rows_in long, rows_out long, raw long")
+
+        def share(of: str) -> Column:
+            return F.round(F.try_divide(F.col("rows_out") * 100.0, F.col(of)), 2)
+
+        return out.select(
+            "step_no", "step", "rows_in", "rows_out", share("rows_in").alias("kept_pct"), share("raw").alias("kept_of_raw_pct")
+        )
+
+
 def _one_row_per_column(wide: DataFrame, rows: list[Column]) -> DataFrame:
     """Turn the single row of a wide aggregate into one row per struct."""
     return wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")

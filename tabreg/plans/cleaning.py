@@ -16,6 +16,7 @@ from ..operators.clean import (
     deduplicate_rare,
     keep_kinds,
 )
+from ..operators.profile import RowAudit
 from ..sources import stage
 
 # Settings of the standard cleaning job.
@@ -29,6 +30,7 @@ def sales_rows(
     kinds: Sequence[str] = DEFAULT_KINDS,
     staged: bool = True,
     rare_duplicates: bool = False,
+    audit: RowAudit | None = None,
 ) -> DataFrame:
     """Distinct rows of the wanted kinds: the one shuffle of a cleaning job.
 
@@ -36,9 +38,16 @@ def sales_rows(
     result several times, so it is stored in the shared folder unless
     ``staged`` is off. ``rare_duplicates`` shuffles fingerprints instead of
     rows, which pays when rows are wide, few repeat, and ``df`` is a stored table.
+    An ``audit`` counts raw rows, wanted kinds and distinct rows while the result is stored.
     """
-    wanted = keep_kinds(df, kind_col, kinds)
+    if audit is not None and (not staged or rare_duplicates):
+        raise ValueError("an audit needs a stored result and a single pass over the rows")
+    wanted = keep_kinds(audit.step(df, "raw") if audit else df, kind_col, kinds)
+    if audit:
+        wanted = audit.step(wanted, "transaction kind")
     rows = deduplicate_rare(wanted) if rare_duplicates else deduplicate(wanted)
+    if audit:
+        rows = audit.step(rows, "deduplicate")
     return stage(rows, "sales") if staged else rows
 
 

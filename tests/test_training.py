@@ -253,7 +253,7 @@ def test_fixture_row_count(spark):
 def test_served_job_on_the_transactions_schema(spark, tmp_path):
     """From a CSV with all 46 columns to scored requests; two categories are always missing."""
     from tabreg.operators.score import score, validate_requests
-    from tabreg.plans import load_served, train_for_serving
+    from tabreg.plans import load_report, load_served, train_for_serving
     from tabreg.sources import TRANSACTION_ROLES, TRANSACTIONS_SCHEMA, ingest_csv
     from workload.sources import _transactions_csv
 
@@ -276,5 +276,5 @@ def test_served_job_on_the_transactions_schema(spark, tmp_path):
     assert scored.filter("unscored_reason is not null").count() == undated.count()
     checked = validate_requests(requests, dictionary, ["area_name_en", "property_type_en"])
     assert checked.count() == requests.count()
-    settings = spark.read.json(f"{path}/settings").first()
+    settings = load_report(spark, path, "settings").first()
     assert settings.numEstimators == 3 and len(settings.features) == 11

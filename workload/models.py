@@ -7,6 +7,8 @@ of its own and the prediction is the (weighted) mean label of the cell.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, RandomForestRegressor
@@ -21,14 +23,14 @@ from tabreg.operators.diagnose import (
     with_residual,
 )
 from tabreg.operators.ensemble import BaggingRegressionModel, BaggingRegressor
-from tabreg.operators.features import category_indexer, coded, feature_assembler
+from tabreg.operators.features import CalendarFeatures, category_indexer, coded, feature_assembler
 from tabreg.operators.metrics import cv_summary, evaluate, model_comparison, regression_metrics
 from tabreg.operators.resample import holdout_split
-from tabreg.plans import baseline_models, cross_validate, fit_models, stack_predictions
+from tabreg.plans import Preparation, baseline_models, cross_validate, fit_models, prepare_folds, sales_rows, stack_predictions
 from tabreg.sources import shared_path, stage
 
-from .features import clean_rows, feature_rows
-from .fixture import AREA, TARGET, bucket_sql, txn, txn_nan, with_ctes
+from .features import _SLOTS, clean_rows, feature_rows
+from .fixture import AREA, DATE, KIND, PARKING, TARGET, bucket_sql, txn, txn_nan, with_ctes
 from .registry import query, rounded
 from .resampling import K, SEED, fold_sql, in_train_sql, poisson_sql
 
@@ -146,11 +148,32 @@ def linear_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query()
+def _ridge_sql(columns: list[str], source: str, penalty: float) -> str:
+    """CTEs up to ``ridge`` (w, m, s, my, sy): weights of scaled columns by Gauss-Jordan steps on their correlations, means and deviations."""
+    size = len(columns)
+    rows = ", ".join(
+        "[" + ", ".join(f"1 + {penalty} / stddev_pop(label)" if a == b else f"corr({a}, {b})" for b in columns) + f", corr({a}, label)]"
+        for a in columns
+    )
+    listed = ["[" + ", ".join(f"{f}({c})" for c in columns) + "]" for f in ("avg", "stddev_pop")]
+    return f"""moments AS (SELECT [{rows}] AS a, {listed[0]} AS m, {listed[1]} AS s, avg(label) AS my, stddev_pop(label) AS sy FROM {source}),
+steps AS (SELECT 1 AS k, a FROM moments UNION ALL
+  SELECT k + 1, list_transform(range(1, {size + 1}), lambda i: CASE WHEN i = k THEN list_transform(a[k], lambda v: v / a[k][k])
+    ELSE list_transform(range(1, {size + 2}), lambda j: a[i][j] - a[i][k] / a[k][k] * a[k][j]) END) FROM steps WHERE k <= {size}),
+ridge AS (SELECT list_transform(steps.a, lambda row: row[{size + 1}]) AS w, m, s, my, sy FROM steps, moments WHERE k = {size + 1})"""
+
+
+def _ridge_prediction(columns: list[str]) -> str:
+    return "my + sy * (" + " + ".join(f"w[{i}] / s[{i}] * ({c} - m[{i}])" for i, c in enumerate(columns, 1)) + ")"
+
+
+@query(with_ctes("coded", extra=f"seen AS (SELECT * FROM coded WHERE {in_train_sql()}),\n" + _ridge_sql(_SLOTS, "seen", 0.1),
+    select=f"""SELECT txn_id, label, round({_ridge_prediction(_SLOTS)}, 1) AS prediction FROM coded, ridge WHERE NOT ({in_train_sql()})""").replace("WITH ", "WITH RECURSIVE ", 1))
 def linear_default(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Standard settings on the full feature vector."""
     train, test = holdout_split(stage(feature_rows(spark, sf_dir)), "txn_id")
-    return evaluate(baseline_models()["Linear Regression"].fit(train), test)[0].select("txn_id", "label", "prediction")
+    scored = evaluate(baseline_models()["Linear Regression"].fit(train), test)[0]
+    return rounded(scored, 1, "prediction").select("txn_id", "label", "prediction")
 
 
 @query(with_ctes("clean", extra=_ROWS, select=f"SELECT txn_id, label, round(prediction, 1) AS prediction FROM ({_holdout(TREE)})"))
@@ -165,6 +188,14 @@ def forest_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluate(baseline_models()["Random Forest"].fit(train), test)[0].select("txn_id", "label", "prediction")
 
 
+@query(with_ctes("clean", extra=_ROWS, select=f"SELECT txn_id, label, round(prediction, 1) AS prediction FROM ({_holdout(TREE)})"))
+def forest_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A forest whose trees see all rows and features: the mean of each cell."""
+    train, test = holdout_split(stage(cell_rows(spark, sf_dir)), "txn_id")
+    forest = RandomForestRegressor(numTrees=3, maxDepth=DEPTH, bootstrap=False, featureSubsetStrategy="all")
+    return rounded(forest.fit(train).transform(test), 1, "prediction").select("txn_id", "label", "prediction")
+
+
 @query(with_ctes("clean", extra=",\n".join([_ROWS, _DRAWN]),
     select=f"SELECT txn_id, label, round(prediction, 2) AS prediction FROM ({_holdout(BAGGING)})"))
 def bagging_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -189,6 +220,23 @@ def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _bagging_on_all(spark, sf_dir).feature_importance()
 
 
+@query(with_ctes("dated", extra=f"""flags AS (SELECT txn_id, actual_worth AS label, unnest([has_parking, CAST(procedure_area > 100 AS INT), CAST(trans_month > 6 AS INT)]) AS v,
+  unnest(['has_parking', 'large', 'late']) AS feature FROM dated WHERE trans_year IS NOT NULL),
+drawn AS (SELECT f.*, i, {poisson_sql(f"concat('{SEED}:', i)")} AS w FROM flags f, range({TREES}) AS draws(i)),
+sides AS (SELECT i, feature, v, sum(w) AS n, sum(w * label) AS s FROM drawn GROUP BY ALL),
+gains AS (SELECT i, feature, sum(s * s / n) AS gain FROM sides GROUP BY ALL),
+best AS (SELECT i, arg_max(feature, gain) AS feature FROM gains GROUP BY i)""",
+    select=f"""SELECT feature, round(count(best.i) * 1.0 / {TREES}, 6) AS importance, CAST(row_number() OVER (ORDER BY count(best.i) DESC, feature) AS INT) AS importance_rank
+  FROM (SELECT unnest(['has_parking', 'large', 'late']) AS feature) LEFT JOIN best USING (feature) GROUP BY feature"""))
+def importance_stumps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Importance from trees of one split on two-valued features: the share of draws in which the feature explains most."""
+    rows = CalendarFeatures(dateCol=DATE).transform(clean_rows(spark, sf_dir)).filter("trans_year is not null")
+    flags = [F.col(PARKING).cast("double").alias("has_parking"), (F.col(AREA) > 100).cast("double").alias("large"), (F.col("trans_month") > 6).cast("double").alias("late")]
+    rows = stage(feature_assembler(["has_parking", "large", "late"], []).transform(rows.select("txn_id", F.col(TARGET).alias("label"), *flags)))
+    stumps = BaggingRegressor(engine="weighted", keyCol=["txn_id"], numEstimators=TREES, maxDepth=1, seed=SEED)
+    return rounded(top_features(stumps.fit(rows).feature_importance(["has_parking", "large", "late"]), 3), 6, "importance")
+
+
 @query()
 def importance_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_features(_bagging_on_all(spark, sf_dir).feature_importance(), 5)
@@ -252,8 +300,72 @@ def cv_oof_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(predictions, 1, "prediction").select("txn_id", "fold", "label", "prediction")
 
 
+@query(with_ctes("clean", extra=f"""r AS (SELECT txn_id, {fold_sql()} AS fold, procedure_area AS x, CAST(has_parking AS DOUBLE) AS z, actual_worth AS y FROM clean),
+{_FOLDS},
+m AS (SELECT f.fold, avg(x) AS mx, avg(z) AS mz, avg(y) AS my, stddev_pop(x) AS sx, stddev_pop(z) AS sz, stddev_pop(y) AS sy,
+  corr(x, z) AS xz, corr(x, y) AS xy, corr(z, y) AS zy, 1 + 0.1 / stddev_pop(y) AS d FROM r JOIN folds f ON r.fold <> f.fold GROUP BY f.fold),
+w AS (SELECT *, (d * xy - xz * zy) / (d * d - xz * xz) * sy / sx AS bx, (d * zy - xz * xy) / (d * d - xz * xz) * sy / sz AS bz FROM m)""",
+    select="SELECT txn_id, r.fold, y AS label, round(my + bx * (x - mx) + bz * (z - mz), 1) AS prediction FROM r JOIN w ON r.fold = w.fold"))
+def cv_linear_gram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ridge regression on two features, all folds from one pass."""
+    rows = VectorAssembler(inputCols=[AREA, PARKING], outputCol="features").transform(clean_rows(spark, sf_dir))
+    rows = rows.select("txn_id", "features", F.col(TARGET).alias("label"))
+    validated = cross_validate(rows, LinearRegression(regParam=0.1), "txn_id", K, SEED)
+    return rounded(validated.predictions, 1, "prediction").select("txn_id", "fold", "label", "prediction")
+
+
+# What each fold may learn from: the other folds' rows inside their own price range.
+_LEARNED = f"""{_FOLDS},
+asked AS (SELECT *, {fold_sql()} AS fold, coalesce(area_name, 'Unknown') AS area_text, actual_worth AS label FROM sales),
+ranges AS (SELECT left_out, greatest(CAST(0 AS DOUBLE), q1 - 3.0 * (q3 - q1)) AS lo, q3 + 3.0 * (q3 - q1) AS hi FROM (
+  SELECT f.fold AS left_out, quantile_disc(label, 0.25) AS q1, quantile_disc(label, 0.75) AS q3
+  FROM asked a JOIN folds f ON a.fold <> f.fold GROUP BY f.fold)),
+learned AS (SELECT left_out, lo, hi, a.* FROM asked a JOIN ranges ON a.fold <> left_out AND label BETWEEN lo AND hi),
+state AS (SELECT left_out, any_value(lo) AS lo, any_value(hi) AS hi, count(*) AS n_rows, avg(procedure_area) AS area_fill,
+  avg(has_parking) AS parking_fill FROM learned GROUP BY left_out)"""
+
+
+@query(with_ctes("sales", extra=_LEARNED, select="""SELECT left_out AS fold, round(lo, 4) AS lower, round(hi, 4) AS upper, n_rows,
+  round(area_fill, 6) AS area_fill, round(parking_fill, 6) AS parking_fill FROM state"""))
+def cv_fold_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Price range, rows and fills that each fold learns from the others, merged from one state per fold."""
+    rows = sales_rows(txn(spark, sf_dir), KIND, staged=False)
+    facts = prepare_folds(rows, Preparation(TARGET, (AREA, PARKING)), "txn_id", K, SEED).facts()
+    return facts.select(
+        "fold", F.round("lower", 4).alias("lower"), F.round("upper", 4).alias("upper"), "n_rows",
+        F.round(F.col("fills")[AREA], 6).alias("area_fill"), F.round(F.col("fills")[PARKING], 6).alias("parking_fill"),
+    )
+
+
+@query(with_ctes("sales", extra=_LEARNED + """,
+codes AS (SELECT left_out, area_text, CAST(row_number() OVER (PARTITION BY left_out ORDER BY count(*) DESC, area_text) - 1 AS DOUBLE) AS code
+  FROM learned GROUP BY left_out, area_text),
+sizes AS (SELECT left_out, CAST(count(*) AS DOUBLE) AS n FROM codes GROUP BY left_out),
+line AS (SELECT left_out, regr_slope(label, coalesce(procedure_area, area_fill)) AS slope, regr_intercept(label, coalesce(procedure_area, area_fill)) AS base
+  FROM learned JOIN state USING (left_out) GROUP BY left_out),
+cells AS (SELECT left_out, area_text, property_type, avg(label) AS mean FROM learned GROUP BY ALL),
+priced AS (SELECT * FROM asked WHERE label IS NOT NULL)""", select="""SELECT 'Linear Regression' AS model, txn_id, fold, label,
+  round(base + slope * coalesce(procedure_area, area_fill), 1) AS prediction, NULL AS area_code
+  FROM priced JOIN state s ON fold = s.left_out JOIN line ON fold = line.left_out
+UNION ALL SELECT 'Decision Tree', txn_id, fold, label, round(mean, 1), coalesce(code, n) FROM priced JOIN sizes s ON fold = s.left_out
+  LEFT JOIN codes c ON fold = c.left_out AND priced.area_text = c.area_text
+  JOIN cells ON fold = cells.left_out AND priced.area_text = cells.area_text AND priced.property_type = cells.property_type"""))
+def cv_pipeline_leak_free(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Price range, fills and codes learned inside each fold; a line on the filled area, a tree on the cells."""
+    rows = stage(sales_rows(txn(spark, sf_dir), KIND, staged=False), "sales")
+    by_area = Preparation(TARGET, numeric=(AREA,))
+    line = cross_validate(rows, {LINEAR: LinearRegression()}, "txn_id", K, SEED, preparation=by_area, fit_scope="fold")
+    by_cell = Preparation(TARGET, categorical=tuple(CELL))
+    tree = cross_validate(rows, {TREE: cell_tree()}, "txn_id", K, SEED, parallelism=8, preparation=by_cell, fit_scope="fold")
+    coded_rows = prepare_folds(rows, by_cell, "txn_id", K, SEED)
+    codes = [coded_rows.validation(f).select("txn_id", F.col(coded(CELL)[0]).alias("area_code")) for f in range(K)]
+    codes = reduce(DataFrame.unionByName, codes)
+    shown = line.predictions.withColumn("area_code", F.lit(None).cast("double")).unionByName(tree.predictions.join(codes, "txn_id"))
+    return rounded(shown, 1, "prediction").select("model", "txn_id", "fold", "label", "prediction", "area_code")
+
+
 def _fold_metrics(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
-    """Stored metrics per (model, fold); the cached rows are free again."""
+    """Stored metrics per (model, fold)."""
     models: dict[str, Estimator] = {LINEAR: linear(), TREE: cell_tree(), BAGGING: cell_bagging()}
     rows = stage(cell_rows(spark, sf_dir))
     chosen = {n: models[n] for n in names}

@@ -8,10 +8,11 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tabreg.operators.clean import MissingValueImputer
+from tabreg.operators.ensemble import BaggingRegressor
 from tabreg.operators.features import CalendarFeatures, LabelColumn, category_indexer, coded, feature_assembler
 from tabreg.operators.profile import category_dictionary
 from tabreg.operators.score import score, validate_requests
-from tabreg.plans import clean_for_serving, load_served, sales_rows, train_for_serving
+from tabreg.plans import clean_for_serving, load_report, load_served, sales_rows, train_for_serving
 from tabreg.sources import ColumnRoles, shared_path, stage
 from tabreg.streaming import read_requests, write_scores
 
@@ -99,8 +100,57 @@ def serving_job_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The served model trained and stored; its holdout metrics read back."""
     path = shared_path(spark, "served")
     train_for_serving(txn(spark, sf_dir), _CELL_ROLES, path, "txn_id", cell_bagging(), calendar=False)
-    schema = "n_rows long, rmse double, mae double, r2 double, mape double, n_nonzero long"
-    return _shown_metrics(spark.read.schema(schema).json(f"{path}/metrics"))
+    return _shown_metrics(load_report(spark, path, "metrics"))
+
+
+def _small_served(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of a served model with three shallow trees on all columns."""
+    path = shared_path(spark, "served")
+    roles = ColumnRoles(target=TARGET, kind=KIND, date=DATE, numeric=(AREA, PARKING), categorical=tuple(CATEGORICAL))
+    bagging = BaggingRegressor(numEstimators=3, maxDepth=4, seed=SEED, keyCol=["txn_id"])
+    train_for_serving(txn(spark, sf_dir), roles, path, "txn_id", bagging, zero_fill=(PARKING,))
+    return path
+
+
+@query(with_ctes("kept", extra="""counted AS (SELECT [(SELECT count(*) FROM txn), (SELECT count(*) FROM txn WHERE upper(trim(trans_group)) = 'SALES'),
+  (SELECT count(*) FROM sales), (SELECT count(*) FROM kept),
+  (SELECT count(*) FROM kept WHERE try_strptime(instance_date, '%d-%m-%Y') IS NOT NULL)] AS c),
+steps AS (SELECT ['transaction kind', 'deduplicate', 'price range', 'target and date', 'feature vector'] AS s)""",
+    select="""SELECT CAST(i AS INT) AS step_no, s[i] AS step, c[i] AS rows_in, c[least(i + 1, 5)] AS rows_out,
+  round(c[least(i + 1, 5)] * 100.0 / c[i], 2) AS kept_pct, round(c[least(i + 1, 5)] * 100.0 / c[1], 2) AS kept_of_raw_pct
+  FROM range(1, 6) AS r(i), counted, steps"""))
+def cleaning_audit_serving(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows kept by each step of the serving job, counted while it wrote them."""
+    return load_report(spark, _small_served(spark, sf_dir), "audit")
+
+
+@query(with_ctes("sales", select=f"""SELECT CAST(i AS INT) AS position, f[i] AS feature, 'actual_worth' AS target, 'area_name,property_usage,property_type' AS categorical,
+  'forest' AS engine, CAST(3 AS INT) AS trees, CAST(4 AS INT) AS depth, CAST({SEED} AS BIGINT) AS seed
+  FROM range(1, 10) AS r(i), (SELECT ['procedure_area', 'has_parking', 'trans_year', 'trans_month', 'trans_quarter', 'trans_dayofweek',
+    'area_name_indexed', 'property_usage_indexed', 'property_type_indexed'] AS f)"""))
+def serving_settings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The settings a scoring job reads from the published version."""
+    settings = load_report(spark, _small_served(spark, sf_dir), "settings")
+    return settings.select(
+        F.posexplode("features").alias("place", "feature"), "target", F.array_join("categorical", ",").alias("categorical"), "engine",
+        F.col("numEstimators").alias("trees"), F.col("maxDepth").alias("depth"), "seed",
+    ).select((F.col("place") + 1).alias("position"), "feature", "target", "categorical", "engine", "trees", "depth", "seed")
+
+
+@query(with_ctes("kept", extra=f"""rows_ AS (SELECT txn_id, coalesce(area_name, 'Unknown') AS area_name, property_type, coalesce(has_parking, 0) AS parking,
+  actual_worth AS label FROM kept WHERE try_strptime(instance_date, '%d-%m-%Y') IS NOT NULL AND {in_train_sql()}),
+drawn AS (SELECT r.*, i, {poisson_sql(f"concat('{SEED}:', i)")} AS w FROM rows_ r, range({TREES}) AS draws(i)),
+cells AS (SELECT area_name, property_type, parking, avg(mean_i) AS price FROM (SELECT area_name, property_type, parking, i,
+  sum(w * label) / sum(w) AS mean_i FROM drawn GROUP BY ALL) GROUP BY ALL)""",
+    select="""SELECT txn_id, round(price, 2) AS predicted_price, CAST(NULL AS VARCHAR) AS unscored_reason FROM txn JOIN cells
+  ON coalesce(txn.area_name, 'Unknown') = cells.area_name AND txn.property_type = cells.property_type AND coalesce(txn.has_parking, 0) = cells.parking"""))
+def serving_job_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prices of a published model for all requests; missing categories and numbers are filled as they were in training."""
+    path = shared_path(spark, "served")
+    roles = ColumnRoles(target=TARGET, kind=KIND, date=DATE, numeric=(PARKING,), categorical=tuple(CELL))
+    train_for_serving(txn(spark, sf_dir), roles, path, "txn_id", cell_bagging(), calendar=False, zero_fill=(PARKING,))
+    model, _ = load_served(spark, path)
+    return rounded(score(txn(spark, sf_dir), model, AREA).select("txn_id", "predicted_price", "unscored_reason"), 2, "predicted_price")
 
 
 _PARSED = "try_strptime(instance_date, '%d-%m-%Y')"
