@@ -66,10 +66,12 @@ class Words(dict):
         self.tokenizer = Tokenizer.from_str(definition)
         self.kind = kind
         content = json.loads(definition)
-        #: Strings that the library takes out of a text before anything else; words that hold one go to it whole.
-        self.added = tuple(t["content"] for t in content.get("added_tokens") or ())
-        if any(re.search(r"\s", a) for a in self.added):
+        # strings that the library takes out of a text before anything else: words that hold one go to it whole
+        added = [t["content"] for t in content.get("added_tokens") or ()]
+        if any(re.search(r"\s", a) for a in added):
             raise ValueError("an added token holds white space: texts cannot be encoded word by word")
+        #: Those that fit into letters with marks after them; words of another make are whole anyway.
+        self.added = tuple(a for a in added if not (core := a.rstrip(MARKS)) or core.isalpha())
         self.lowers = _lowers(content.get("normalizer"))
         self.parts: dict[str, bytes] = {}
         self.old: dict[bytes, bytes] = {}
@@ -90,10 +92,10 @@ class Words(dict):
         self.update((w, self.old[w]) for w in missing.intersection(self.old))
         taken = {w: self._taken_apart(w.decode("utf-8", "replace")) for w in missing.difference(self.old)}
         new = {part for own in taken.values() for part in own}.difference(self.parts)
-        letters = [part for part in new if part.isalpha() and not self._holds_added(part)]
+        letters = [part for part in new if part.isalpha() and not (self.added and self._holds_added(part))]
         for at in range(0, len(letters), 2048):
             self._encode_words(letters[at : at + 2048])
-        self._encode_each([part for part in new if not part.isalpha() or self._holds_added(part)])
+        self._encode_each(list(new.difference(letters)))
         self.update((w, b"".join([self.parts[part] for part in own])) for w, own in taken.items())
         return [b"".join(map(self.__getitem__, own)) for own in split]
 
@@ -108,7 +110,7 @@ class Words(dict):
         """
         core = word.rstrip(MARKS)
         low = core.lower()
-        if self.lowers and core.isalpha() and low.isalpha() and "\u03a3" not in core and not self._holds_added(word):
+        if self.lowers and core.isalpha() and low.isalpha() and "\u03a3" not in core and not (self.added and self._holds_added(word)):
             return (low, word[len(core) :]) if len(core) < len(word) else (low,)
         return (word,)
 
