@@ -276,8 +276,8 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         ]
         return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["a", "b", "key", "at", "count"])
 
-    opened = found.filter("kind = 2").select("key", "at", "count").distinct()
-    opened = opened.groupBy("key").agg(F.collect_list(F.struct("at", "count")).alias("open"))
+    # copies of a row share a key and name the same stretches: a set takes each once, before the shuffle already
+    opened = found.filter("kind = 2").groupBy("key").agg(F.collect_set(F.struct("at", "count")).alias("open"))
     windows = _packed(docs.select("key", "text")).join(opened, "key").select("key", "packed", "open")
     singles = _find(windows.mapInArrow(per_batch(single), schema)).filter("kind = 1")
     return found.filter("kind = 1").select("key", "at", "count").unionByName(singles.select("key", "at", "count"))
@@ -286,7 +286,7 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
     """(id, n_words, n_removed, kept): what is left of each text when all words of repeated windows go, joined by spaces."""
     rows = _keys(docs, id_col, text_col)
-    marked = repeated_windows(rows, length).groupBy("key").agg(F.collect_list(F.struct("at", "count")).alias("repeats"))
+    marked = repeated_windows(rows, length).groupBy("key").agg(F.collect_set(F.struct("at", "count")).alias("repeats"))
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         kept, words, removed = [], [], []
