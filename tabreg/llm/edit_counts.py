@@ -207,37 +207,16 @@ def apply_edit_lists(trees: DataFrame, ranks_path: str, edits_col: str = "edits"
 
 
 def apply_edits(trees: DataFrame, edits: DataFrame, ranks_path: str, id_col: str = "doc_id", order_col: str = "seq") -> DataFrame:
-    """The trees after the edits (id, order, at, removed, inserted) of their documents."""
-    with open(ranks_path, "rb") as file:
-        ranks = trees.sparkSession.sparkContext.broadcast(file.read())
-    no = F.lit(None)
-    both = trees.select(
-        "id", F.lit(False).alias("is_edit"), no.cast("long").alias("seq"), no.cast("int").alias("at"), no.cast("int").alias("removed"),
-        no.cast("string").alias("inserted"), "text", "sizes", "counts",
-    ).unionByName(edits.select(
-        F.col(id_col).cast("long").alias("id"), F.lit(True).alias("is_edit"), F.col(order_col).cast("long").alias("seq"),
-        F.col("at").cast("int").alias("at"), F.col("removed").cast("int").alias("removed"), F.col("inserted").cast("string").alias("inserted"),
-        no.cast("string").alias("text"), F.lit(None).cast("array<int>").alias("sizes"), F.lit(None).cast("array<int>").alias("counts"),
-    ))
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, held, key = codec(ranks.value), [], None
-        for batch in (part for whole in batches for part in parts(whole)):
-            is_edit = batch.column("is_edit").to_pylist()
-            for row, edit in enumerate(is_edit):
-                one = batch.slice(row, 1)
-                if (this := one.column("id")[0].as_py()) != key or not held:
-                    if held:
-                        yield _rows([key] * len(held), held)
-                    held, key = [], this
-                if not edit:
-                    held += _restored(own, one)
-                    continue
-                e = {c: one.column(c)[0].as_py() for c in ("at", "removed", "inserted")}
-                for tree in held:
-                    tree.edit(e["at"] or 0, e["removed"] or 0, e["inserted"] or "")
-        if held:
-            yield _rows([key] * len(held), held)
-
-    dealt = both.repartition("id").sortWithinPartitions("id", "is_edit", "seq", "at", "removed", "inserted")
-    return dealt.mapInArrow(work, TREE)
+    """The trees after the edits (id, order, at, removed, inserted) of their documents.
+
+    The edits of an id are put in order once and joined to its trees, each of which is a row by itself: trees that share an id (the null
+    id is one like any other) spread over tasks.
+    """
+    one = F.struct(
+        F.col(order_col).cast("long").alias("seq"), F.col("at").cast("int").alias("at"), F.col("removed").cast("int").alias("removed"),
+        F.col("inserted").cast("string").alias("inserted"),
+    )
+    lists = edits.groupBy(F.col(id_col).cast("long").alias("of")).agg(F.array_sort(F.collect_list(one)).alias("edits"))
+    plain = F.transform("edits", lambda e: F.struct(e["at"].alias("at"), e["removed"].alias("removed"), e["inserted"].alias("inserted")))
+    joined = trees.join(lists, F.col("id").eqNullSafe(F.col("of")), "left").withColumn("edits", plain)
+    return apply_edit_lists(joined, ranks_path, "edits")

@@ -165,3 +165,11 @@ def test_pipeline_drops_short_lines(spark, sf_dir, small):
         got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in corpus_pipeline.drop_repeated_lines(spark, rows, sf_dir).collect()}
         want = plain_runs(texts, 1)
         assert got == {d: (t, len(t)) for d, t in enumerate(want)}
+
+
+def test_thousands_of_equal_rows_lose_all_windows(spark):
+    """Copies that share an id as well: what they name is taken once, not once per copy."""
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, text)] * 3000 + [(None, text)] * 1500 + [(2, "before " + text), (3, "other words only")]
+    found = substrings.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(6)).select("id", "n_words", "n_removed")
+    assert Counter(map(tuple, found.collect())) == {(1, 60, 60): 3000, (None, 60, 60): 1500, (2, 61, 60): 1, (3, 3, 0): 1}

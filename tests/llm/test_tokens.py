@@ -6,6 +6,7 @@ import base64
 import hashlib
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers as P
@@ -160,3 +161,15 @@ def test_edits_as_a_table(spark, odd, none, library):
     assert [r["text"] for r in rows if r["id"] == 4] == ["filled"] and [r["text"] for r in rows if r["id"] == 2] == [text]
     assert edit_counts.apply_edits(edit_counts.build_trees(none, RANKS), edits, RANKS).count() == 0
     assert edit_counts.apply_edits(trees, edits.limit(0), RANKS).agg(F.sum("n_encoded")).first()[0] == 0
+
+
+def test_edits_of_a_hot_id(spark):
+    """A third of the rows under one id, another third under none: each tree is edited by itself."""
+    rows = [(7 if i % 3 == 0 else None if i % 3 == 1 else 1000 + i, f"text {i} of it") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    edits = spark.createDataFrame(
+        [(7, 2, 0, 4, "word"), (7, 1, 0, 0, "a "), (None, 1, 0, 0, "none "), (1002, 1, 0, 5, None)], "doc_id long, seq long, at int, removed int, inserted string"
+    )
+    found = Counter((r["id"], r["text"]) for r in edit_counts.apply_edits(edit_counts.build_trees(docs, RANKS), edits, RANKS).collect())
+    changed = {7: lambda t: "word" + ("a " + t)[4:], None: lambda t: "none " + t, 1002: lambda t: t[5:]}
+    assert found == Counter((d, changed.get(d, lambda t: t)(t)) for d, t in rows)
