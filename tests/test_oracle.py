@@ -13,7 +13,8 @@ SLOW = {"cv_compare_models", "model_comparison", "model_comparison_holdout", "cv
 CELLS = {
     "tree_predict", "bagging_predict", "model_roundtrip", "evaluate_holdout", "cv_oof_predictions",
     "cv_metrics", "residuals", "residual_summary", "residual_histogram", "pred_actual_bins",
-    "pred_actual_sample", "score_batch", "score_stream", "serving_job_metrics",
+    "pred_actual_sample", "score_batch", "score_stream", "serving_job_metrics", "serving_job_prices", "forest_cells",
+    "cv_pipeline_leak_free",
 }
 
 
@@ -27,7 +28,7 @@ def test_same_as_sql(spark, sf_dir, duck, name):
     assert differences(QUERIES[name](spark, sf_dir), duck, ORACLES[name]) == []
 
 
-@pytest.mark.parametrize("name", ["tree_predict", "bagging_predict", "score_stream", "residual_histogram"])
+@pytest.mark.parametrize("name", ["tree_predict", "forest_cells", "bagging_predict", "score_stream", "residual_histogram"])
 def test_cell_models_same_as_sql(spark, name):
     larger = "/root/testdata/sf0.01"
     assert differences(QUERIES[name](spark, larger), connect(larger), ORACLES[name]) == []
