@@ -3,7 +3,8 @@
 An exact percentile aggregate keeps every value in one buffer and a global sort
 moves every value, so neither holds for columns of 10^12 values. Here a double
 is read as a 64-bit integer of the same order. A pass counts the values by their next
-sixteen bits, for all columns and wanted ranks together; the digit that holds a rank is
+sixteen bits, or by all that are left where a searched range holds no more values than that has digits, for all columns and
+wanted ranks together; the digit that holds a rank is
 found by a running sum over at most 65,536 counts, and the next pass looks at
 the values below that digit only. Four passes find any rank, and a digit that holds a
 single value (one price in a third of the rows) ends its search at once. Counts
@@ -21,7 +22,7 @@ import struct
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..sources import stage
 
@@ -67,6 +68,7 @@ class _Target:
     total: int
     rank: int
     prefix: int
+    held: int  # values with this prefix in the whole table
     value: float | None = None
 
 
@@ -182,30 +184,32 @@ def _select(values: DataFrame, n_columns: int, parts: list[int], slots: list[tup
     open_targets = _found(first.withColumn("ranks", ranks), targets)
     shift = 64 - DIGIT_BITS
     while open_targets:
-        open_targets = _next_digit(values.sparkSession, long, open_targets, shift, parts, targets)
-        shift -= DIGIT_BITS
+        few = all(t.held <= 1 << DIGIT_BITS for t in open_targets)
+        below = 0 if few else shift - DIGIT_BITS
+        open_targets = _next_digit(values.sparkSession, long, open_targets, shift, below, parts, targets)
+        shift = below
     return targets
 
 
 def _counts(long: DataFrame, shift: int, parts: list[int]) -> DataFrame:
-    """(column, digit, lowest, highest, without, n): values by all bits above ``shift``, of the whole table and outside each part."""
+    """(column, digit, lowest, highest, held, without, n): values by all bits above ``shift``, of the whole table and outside each part."""
     grouped = long.groupBy("column", F.shiftright("bits", shift).alias("digit")).agg(
         F.count(F.lit(1)).alias("all"), F.min("bits").alias("lowest"), F.max("bits").alias("highest"),
         *[F.count_if(F.col("part") == p).alias(f"in{p}") for p in parts],
     )
     outside = [F.struct(F.lit(None).cast("int").alias("without"), F.col("all").alias("n"))]
     outside += [F.struct(F.lit(p).alias("without"), (F.col("all") - F.col(f"in{p}")).alias("n")) for p in parts]
-    return grouped.select("column", "digit", "lowest", "highest", F.inline(F.array(*outside))).filter("n > 0")
+    return grouped.select("column", "digit", "lowest", "highest", F.col("all").alias("held"), F.inline(F.array(*outside))).filter("n > 0")
 
 
 def _found(counted: DataFrame, targets: dict) -> list[_Target]:
     """Takes over the digits that hold wanted ranks: one row per target reaches the driver. Gives the targets still open."""
     below = F.col("upto") - F.col("n")
     inside = F.filter("ranks", lambda r: (r["rank"] > below) & (r["rank"] <= F.col("upto")))
-    hits = counted.select("column", "without", "digit", "lowest", "highest", "total", below.alias("below"), F.inline(inside))
+    hits = counted.select("column", "without", "digit", "lowest", "highest", "held", "total", below.alias("below"), F.inline(inside))
     still = []
     for r in hits.collect():
-        target = _Target(r["column"], r["without"], r["slot"], r["total"], r["rank"] - r["below"], r["digit"])
+        target = _Target(r["column"], r["without"], r["slot"], r["total"], r["rank"] - r["below"], r["digit"], r["held"])
         if r["lowest"] == r["highest"]:
             target.value = double_of(r["lowest"])
         else:
@@ -214,9 +218,10 @@ def _found(counted: DataFrame, targets: dict) -> list[_Target]:
     return still
 
 
-def _next_digit(spark, long: DataFrame, wanted: list[_Target], above: int, parts: list[int], targets: dict) -> list[_Target]:
-    """One more pass: the next digit of each open target."""
-    shift = above - DIGIT_BITS
+def _next_digit(
+    spark: SparkSession, long: DataFrame, wanted: list[_Target], above: int, shift: int, parts: list[int], targets: dict
+) -> list[_Target]:
+    """One more pass: the bits from ``above`` down to ``shift`` of each open target."""
     begins = sorted({(t.column, t.prefix) for t in wanted})
     inside = F.lit(False)
     for column, prefix in begins:
@@ -229,7 +234,7 @@ def _next_digit(spark, long: DataFrame, wanted: list[_Target], above: int, parts
         "column int, without int, prefix long, total long, ranks array<struct<slot:int,rank:long>>",
     )
     counted = _counts(long.filter(inside), shift, sorted({t.without for t in wanted if t.without is not None}) if parts else [])
-    counted = counted.withColumn("prefix", F.shiftright("digit", DIGIT_BITS)).alias("c").join(
+    counted = counted.withColumn("prefix", F.shiftright("digit", above - shift)).alias("c").join(
         asked.alias("a"),
         (F.col("c.column") == F.col("a.column")) & (F.col("c.prefix") == F.col("a.prefix")) & F.col("c.without").eqNullSafe(F.col("a.without")),
     ).select("c.*", "ranks", "total")
