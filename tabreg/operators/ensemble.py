@@ -13,11 +13,14 @@ grown on its own bootstrap sample):
 ``weighted``  One tree after another (a few at a time) on Poisson counts from
               a hash of the row key, used as row weights. Needs no layout and
               can be recomputed by any SQL engine, at one set of passes per
-              tree.
+              tree; on vectors of codes alone one pass serves all trees
+              (``operators.cells``).
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark import StorageLevel, keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -47,9 +50,11 @@ from pyspark.ml.util import (
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
 
+from ..sources import stage
+from .cells import cells, grow, grows_from_cells
 from .features import largest_arity, vector_attributes
 from .overlap import overlapped
-from .resample import bootstrap_rows, bootstrap_weight
+from .resample import bootstrap_count, bootstrap_rows, bootstrap_weight
 
 # Default ensemble settings.
 DEFAULTS = dict(
@@ -135,6 +140,8 @@ class BaggingRegressor(Estimator, _BaggingParams, DefaultParamsReadable, Default
         names = [a.get("name", "") for a in vector_attributes(rows, self.getFeaturesCol())]
         if get("engine") == "forest":
             rows, fit = self._laid_out(rows), self._fit_forest
+        elif self.grows_from_cells(rows):
+            return self.fit_cells(stage(self.cells(rows), "cells"))
         else:
             fit = self._fit_weighted
         if get("cacheInput"):
@@ -178,6 +185,29 @@ class BaggingRegressor(Estimator, _BaggingParams, DefaultParamsReadable, Default
         )
         return [forest.fit(rows)]
 
+    def grows_from_cells(self, rows: DataFrame) -> bool:
+        get = self.getOrDefault
+        return get("engine") == "weighted" and grows_from_cells(rows, self.getFeaturesCol(), get("minInstancesPerNode"))
+
+    def cells(self, rows: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+        """What ``fit_cells`` learns from: the cells of all draws, per value of ``by``."""
+        get = self.getOrDefault
+        weights = [bootstrap_count(get("keyCol"), i, get("seed")) for i in range(get("numEstimators"))]
+        return cells(rows, self.getFeaturesCol(), self.getLabelCol(), weights, by)
+
+    def fit_cells(self, found: DataFrame) -> "BaggingRegressionModel":
+        """The model that ``fit`` gives for the rows of these cells, a stored table."""
+        names = [a.get("name", "") for a in vector_attributes(found, self.getFeaturesCol())]
+        return self._copyValues(BaggingRegressionModel(self._fit_cells(found), names))
+
+    def _fit_cells(self, found: DataFrame) -> list:
+        settings = self._tree_settings(found)
+
+        def grow_one(i: int):
+            return grow(found, DecisionTreeRegressor(predictionCol=_member_column(i), seed=self.getOrDefault("seed") + i, **settings), i)
+
+        return overlapped(found.sparkSession, grow_one, range(self.getOrDefault("numEstimators")), self.getOrDefault("parallelism"))
+
     def _fit_weighted(self, rows: DataFrame) -> list:
         get = self.getOrDefault
         settings = self._tree_settings(rows)

@@ -108,6 +108,11 @@ def group_counts(df: DataFrame, column: str) -> DataFrame:
     )
 
 
+def bootstrap_count(key: str | Sequence[str], draw: int | str = 0, seed: int = 42, fraction: float = 1.0) -> Column:
+    """How often a row occurs in bootstrap ``draw``, as an expression; see ``bootstrap_weight``."""
+    return poisson_count(hash_digits(key, f"{seed}:{draw}"), fraction)
+
+
 def bootstrap_weight(
     df: DataFrame,
     key: str | Sequence[str],

@@ -10,6 +10,7 @@ from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, Rando
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators.clean import UNKNOWN, MissingValueImputerModel, present_mean, require
+from ..operators.cells import cells, grow, is_cell_tree
 from ..operators.ensemble import BaggingRegressor
 from ..operators.gram import fit_without_folds, has_closed_form
 from ..operators.features import CALENDAR_COLUMNS, CalendarFeatures, LabelColumn, largest_arity
@@ -115,7 +116,8 @@ def cross_validate(
     outlier filter, say). Fits of different folds and models overlap, up to
     ``parallelism`` at a time; they share one stored copy of the rows with a folder
     per fold, of which a fold's scans read what they need (``cache`` off: no copy,
-    ``df`` is computed again). Linear models with a closed form are fitted for all folds by one pass (``operators.gram``).
+    ``df`` is computed again). Linear models with a closed form are fitted for all folds by one pass (``operators.gram``), trees
+    on codes alone by another (``operators.cells``).
 
     With a ``preparation``, ``df`` holds distinct raw rows, and price range, fills, sparse columns and codes are learned from each fold's
     training rows (``fit_scope`` 'fold') or, as leaks do, from all rows ('global'); see ``plans.folds``.
@@ -139,8 +141,16 @@ def cross_validate(
     if filled < k:
         raise ValueError(f"only {filled} of {k} folds have rows")
 
+    sample = split(0)[0]
+    by_cells = {n: e for n, e in named.items() if train_only is None and not random and (cache or preparation is not None) and _from_cells(e, sample)}
+    # without a preparation features do not depend on the fold: one pass gives the cells of all folds
+    shared = {n: stage(_cells(e, folded, ["fold"]), "cells") for n, e in by_cells.items()} if preparation is None else {}
+
     def fit(task: tuple[str, int]):
         name, fold = task
+        if name in by_cells:
+            found = shared[name].filter(F.col("fold") != fold) if shared else stage(_cells(by_cells[name], split(fold)[0]), "cells")
+            return _grown(_fresh(by_cells[name], found, True, one_fit_of_many=True), found)
         train, _ = split(fold)
         if train_only is not None:
             train = train_only.copy().fit(train).transform(train)
@@ -197,6 +207,21 @@ def stack_predictions(
     ).select("p.model", *keep, "label", "p.prediction")
 
 
+def _from_cells(spec: ModelSpec, rows: DataFrame) -> bool:
+    """Whether the model comes out the same from cells of rows with equal features."""
+    return is_cell_tree(rows, spec) or isinstance(spec, BaggingRegressor) and spec.grows_from_cells(rows)
+
+
+def _cells(estimator: Estimator, rows: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    if isinstance(estimator, BaggingRegressor):
+        return estimator.cells(rows, by)
+    return cells(rows, estimator.getOrDefault("featuresCol"), estimator.getOrDefault("labelCol"), [F.lit(1.0)], by)
+
+
+def _grown(estimator: Estimator, found: DataFrame):
+    return estimator.fit_cells(found) if isinstance(estimator, BaggingRegressor) else grow(found, estimator)
+
+
 def _scored_together(fitted: dict) -> list[dict]:
     """Plain models share one scan; pipelines add columns of their own, so each gets its own."""
     plain = {n: m for n, m in fitted.items() if not isinstance(m, PipelineModel)}
