@@ -7,8 +7,6 @@ of its own and the prediction is the (weighted) mean label of the cell.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, RandomForestRegressor
@@ -356,11 +354,9 @@ def cv_pipeline_leak_free(spark: SparkSession, sf_dir: str) -> DataFrame:
     by_area = Preparation(TARGET, numeric=(AREA,))
     line = cross_validate(rows, {LINEAR: LinearRegression()}, "txn_id", K, SEED, preparation=by_area, fit_scope="fold")
     by_cell = Preparation(TARGET, categorical=tuple(CELL))
-    tree = cross_validate(rows, {TREE: cell_tree()}, "txn_id", K, SEED, parallelism=8, preparation=by_cell, fit_scope="fold")
-    coded_rows = prepare_folds(rows, by_cell, "txn_id", K, SEED)
-    codes = [coded_rows.validation(f).select("txn_id", F.col(coded(CELL)[0]).alias("area_code")) for f in range(K)]
-    codes = reduce(DataFrame.unionByName, codes)
-    shown = line.predictions.withColumn("area_code", F.lit(None).cast("double")).unionByName(tree.predictions.join(codes, "txn_id"))
+    code = coded(CELL)[0]
+    tree = cross_validate(rows, {TREE: cell_tree()}, "txn_id", K, SEED, parallelism=8, preparation=by_cell, fit_scope="fold", keep=[code])
+    shown = line.predictions.withColumn("area_code", F.lit(None).cast("double")).unionByName(tree.predictions.withColumnRenamed(code, "area_code"))
     return rounded(shown, 1, "prediction").select("model", "txn_id", "fold", "label", "prediction", "area_code")
 
 
