@@ -55,12 +55,15 @@ def poisson_cutoffs(rate: float = 1.0) -> list[int]:
 
 
 def poisson_count(digits: Column, rate: float = 1.0) -> Column:
-    """Poisson(rate) draw for uniform ``hash_digits``: how many cut-offs they reach."""
-    draws = F.lit(0)
-    for cutoff in poisson_cutoffs(rate):
-        if cutoff < BUCKETS:
-            draws = draws + (digits >= F.lit(_digits(cutoff))).cast("int")
-    return draws
+    """Poisson(rate) draw for uniform ``hash_digits``: how many cut-offs they reach.
+
+    The cut-offs rise, so the first one above the digits ends the search: at rate 1 the hash is looked at twice on average.
+    """
+    cutoffs = [_digits(c) for c in poisson_cutoffs(rate) if c < BUCKETS]
+    draws = F.when(digits < F.lit(cutoffs[0]), 0)
+    for reached, cutoff in enumerate(cutoffs[1:], 1):
+        draws = draws.when(digits < F.lit(cutoff), reached)
+    return draws.when(digits >= F.lit(cutoffs[-1]), len(cutoffs))
 
 
 def poisson_positive(digits: Column, rate: float = 1.0) -> Column:

@@ -4,6 +4,7 @@ import pytest
 from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import functions as F
 
+from tabreg.functions.hashing import BUCKETS, poisson_count, poisson_cutoffs
 from tabreg.operators.cells import cells, grow, grows_from_cells
 from tabreg.operators.ensemble import BaggingRegressor
 from tabreg.operators.features import category_indexer, feature_assembler
@@ -93,3 +94,20 @@ def test_a_missing_label_stays_an_error(spark, coded_rows):
     rows = coded_rows.withColumn("label", F.when(F.col("id") != 5, F.col("label")))
     with pytest.raises(Exception):
         bagging().fit(rows)
+
+
+def test_predictions_carry_kept_columns(spark, coded_rows):
+    rows = coded_rows.withColumn("note", F.col("label") + 1)
+    found = cross_validate(rows, DecisionTreeRegressor(), "id", k=3, keep=["note"]).predictions
+    assert found.columns == ["model", "fold", "id", "note", "label", "prediction"]
+    assert found.filter("note = label + 1").count() == 3000
+
+
+def test_poisson_draws_stop_at_the_first_cutoff(spark):
+    """Same counts as all cut-offs compared, at and around each of them."""
+    every = poisson_cutoffs(1.0)
+    digits = [f"{d:015x}" for c in every if c < BUCKETS for d in (c - 1, c)] + ["f" * 15, None]
+    rows = spark.createDataFrame([(d,) for d in digits], "d string").select("d", poisson_count(F.col("d")).alias("n")).collect()
+    for r in rows:
+        assert r.n == (None if r.d is None else sum(int(r.d, 16) >= c for c in every if c < BUCKETS))
+    assert "CASE WHEN" in poisson_count(F.col("d"))._jc.toString()
