@@ -8,6 +8,7 @@ from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression
 from pyspark.sql import functions as F
 
 from tabreg.functions.hashing import BUCKETS, poisson_cutoffs
+from tabreg.operators import ensemble
 from tabreg.operators.clean import OutlierFilter
 from tabreg.operators.ensemble import BaggingRegressionModel, BaggingRegressor
 from tabreg.operators.features import category_indexer, feature_assembler
@@ -19,7 +20,7 @@ from tabreg.operators.resample import (
     fold_split,
     holdout_split,
 )
-from tabreg.plans import cross_validate, fit_models, stack_predictions
+from tabreg.plans import baseline_models, cross_validate, fit_models, stack_predictions, training
 from workload.fixture import txn
 
 
@@ -141,6 +142,21 @@ def test_bagging_does_not_depend_on_the_layout(spark, rows, engine):
     assert results[0] == pytest.approx(results[1], rel=1e-9)
 
 
+def test_trees_keep_the_nodes_of_rows_and_come_out_the_same(spark, rows, monkeypatch):
+    fitted = lambda: {n: e.fit(rows) for n, e in baseline_models(cacheInput=False).items() if n != "Linear Regression"}
+    keeping = fitted()
+    for model in (keeping["Decision Tree"], keeping["Random Forest"], keeping["Bagging"].members[0]):
+        assert model.getOrDefault("cacheNodeIds") and model.getOrDefault("checkpointInterval") == -1
+    for place in (ensemble, training):
+        monkeypatch.setattr(place, "KEPT_NODES", {})
+    leading = fitted()
+    for name in ("Decision Tree", "Random Forest"):
+        assert keeping[name].toDebugString.split("\n")[1:] == leading[name].toDebugString.split("\n")[1:]
+    assert not leading["Bagging"].members[0].getOrDefault("cacheNodeIds")
+    for kept, led in zip(keeping["Bagging"].trees, leading["Bagging"].trees):
+        assert kept.toDebugString.split("\n")[1:] == led.toDebugString.split("\n")[1:]
+
+
 def test_weighted_and_repeated_rows_grow_the_same_tree(spark, rows):
     weighted = bootstrap_weight(rows, KEY, 0, drop_zero=True)
     repeated = bootstrap_rows(rows, KEY, 0)
