@@ -165,9 +165,7 @@ def _clean(name: str) -> Column:
 
 def _select(values: DataFrame, n_columns: int, parts: list[int], slots: list[tuple[float, int]], interpolate: bool) -> dict:
     """(column, without, slot) -> target with its value; columns without values have none."""
-    pairs = [F.struct(F.lit(i).alias("column"), F.col(f"v{i}").alias("bits")) for i in range(n_columns)]
-    one = pairs[0] if n_columns == 1 else F.explode(F.array(*pairs))
-    long = values.select("part", one.alias("p")).select("part", "p.column", "p.bits").filter("bits is not null")
+    long = _paired(values, n_columns)
     total = F.col("total").cast("double")
 
     def rank(p: float, side: int) -> Column:
@@ -191,6 +189,15 @@ def _select(values: DataFrame, n_columns: int, parts: list[int], slots: list[tup
     return targets
 
 
+def _paired(values: DataFrame, n_columns: int) -> DataFrame:
+    """(part, column, bits) of every value.
+
+    They come from a generator, of one column too: what follows reads the bits that it gives, and does not compute them at each mention.
+    """
+    pairs = [F.struct(F.lit(i).alias("column"), F.col(f"v{i}").alias("bits")) for i in range(n_columns)]
+    return values.select("part", F.inline(F.array(*pairs))).filter("bits is not null")
+
+
 def _counts(long: DataFrame, shift: int, parts: list[int]) -> DataFrame:
     """(column, digit, lowest, highest, held, without, n): values by all bits above ``shift``, of the whole table and outside each part."""
     grouped = long.groupBy("column", F.shiftright("bits", shift).alias("digit")).agg(

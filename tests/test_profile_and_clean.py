@@ -42,6 +42,13 @@ def test_exact_quantiles_refine_to_the_sorted_answer(spark, shape):
     assert q.exact_quantiles(df, "x", wanted)["x"] == [brute(values, p) for p in wanted]
 
 
+def test_bits_of_a_value_are_computed_once_a_pass(spark):
+    values = spark.range(10).select(F.lit(None).cast("int").alias("part"), q.ordered_bits(F.col("id").cast("double")).alias("v0"))
+    once = values._jdf.queryExecution().optimizedPlan().toString().count("LOG2(")
+    passed = q._counts(q._paired(values, 1).filter(F.col("bits").between(3, 1 << 62)), 48, [])
+    assert passed._jdf.queryExecution().optimizedPlan().toString().count("LOG2(") == once > 0
+
+
 def test_quantiles_of_nothing(spark):
     df = spark.createDataFrame([(None,)], "x double")
     assert q.exact_quantiles(df, "x", [0.5])["x"] == [None]
