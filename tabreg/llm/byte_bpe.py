@@ -161,21 +161,22 @@ def pieces(texts: list[str]) -> list[list[str]]:
 
 def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Ids of one piece: the lowest-ranked pair of neighbours first, the leftmost of equals."""
-    if (whole := ranks.get(piece)) is not None:
+    rank_of = ranks.get
+    if (whole := rank_of(piece)) is not None:
         return [whole]
     n = len(piece)
     if n <= SHORT:
         # few pairs: looking at all of them beats a heap
         part = [piece[i : i + 1] for i in range(n)]
-        pair = [ranks.get(piece[i : i + 2], NO_RANK) for i in range(n - 1)]
+        pair = [rank_of(piece[i : i + 2], NO_RANK) for i in range(n - 1)]
         while pair and (lowest := min(pair)) != NO_RANK:
             i = pair.index(lowest)
-            part[i] += part.pop(i + 1)
+            part[i] = merged = part[i] + part.pop(i + 1)
             del pair[i]
             if i:
-                pair[i - 1] = ranks.get(part[i - 1] + part[i], NO_RANK)
+                pair[i - 1] = rank_of(part[i - 1] + merged, NO_RANK)
             if i < len(pair):
-                pair[i] = ranks.get(part[i] + part[i + 1], NO_RANK)
+                pair[i] = rank_of(merged + part[i + 1], NO_RANK)
         return [ranks[x] for x in part]
     stop, prior = list(range(1, n + 1)), list(range(-1, n - 1))
     alive = [True] * n

@@ -5,7 +5,7 @@ tokens (``DocumentTree``). An edit replaces ``removed`` characters at ``at`` by
 descending the character sums. Splitting starts at the last boundary that the edit cannot move (a piece
 depends on up to two characters after it) and ends where a new boundary falls on an old one behind the edit, as
 splitting looks at nothing before a boundary. Only the pieces in between are encoded; the leaf is replaced, and the
-sums on its paths follow.
+sums on its paths follow. Edits of different documents run side by side, so that their stretches are split in one call.
 
 A tree is stored as a row (id, text, sizes and token counts of the pieces, total). ``apply_edits`` takes edits as a table, shuffled and
 sorted with the trees, and streams them: a task holds the trees of one id, however many edits they have.
@@ -20,12 +20,13 @@ tables give empty results. Extra columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .byte_bpe import Codec, codec, pieces
+from .byte_bpe import CHARS_AT_ONCE, Codec, codec, pieces
 from .common import parts, per_batch, texts_of
 
 LEAF = 64
@@ -85,10 +86,10 @@ class DocumentTree:
         cuts = range(0, max(1, len(sizes)), LEAF)
         self.sizes = [sizes[i : i + LEAF] for i in cuts]
         self.counts = [counts[i : i + LEAF] for i in cuts]
-        ends = np.cumsum([0, *(int(x.sum()) for x in self.sizes)]).tolist()
+        chars, tokens = (np.add.reduceat(x, cuts).tolist() if len(x) else [0] for x in (sizes, counts))
+        ends = [0, *accumulate(chars)]
         self.texts = [text[i:j] for i, j in zip(ends, ends[1:])]
-        self.chars = SumTree([len(t) for t in self.texts])
-        self.tokens = SumTree([int(x.sum()) for x in self.counts])
+        self.chars, self.tokens = SumTree(chars), SumTree(tokens)
 
     def state(self) -> tuple[str, np.ndarray, np.ndarray]:
         return "".join(self.texts), np.concatenate(self.sizes), np.concatenate(self.counts)
@@ -99,6 +100,10 @@ class DocumentTree:
         self.tokens.put(leaf, int(counts.sum()))
 
     def edit(self, at: int, removed: int, inserted: str) -> None:
+        in_step([self.editing(at, removed, inserted)])
+
+    def editing(self, at: int, removed: int, inserted: str) -> Iterator[str]:
+        """The edit, as a generator that gives texts to be split and is sent their pieces."""
         total = self.chars.total()
         at = min(max(0, at), total)
         stop = min(total, at + max(0, removed))
@@ -116,7 +121,7 @@ class DocumentTree:
                 reach += len(self.texts[last])
             old = "".join(self.texts[first : last + 1])
             window = old[start - before : at - before] + inserted + old[stop - before :]
-            split = pieces([window])[0]
+            split = yield window
             new_bounds = start + np.concatenate(([0], np.cumsum([len(p) for p in split], dtype=np.int64)))
             sizes = np.concatenate(self.sizes[first : last + 1])
             counts = np.concatenate(self.counts[first : last + 1])
@@ -125,7 +130,9 @@ class DocumentTree:
             # old boundaries behind the edit, where they are now; the end of the window is certain only at the end of the text
             later = old_bounds[old_bounds >= stop] + shift
             limit = start + len(window) - (LOOKS_AHEAD if reach < total else 0)
-            met = np.intersect1d(later, new_bounds[new_bounds <= limit])
+            sure = new_bounds[: np.searchsorted(new_bounds, limit, "right")]
+            at_most = np.minimum(np.searchsorted(later, sure), len(later) - 1)
+            met = sure[later[at_most] == sure] if len(later) else later
             if len(met):
                 break
             last += 1
@@ -146,6 +153,32 @@ class DocumentTree:
             self._lay_out(*self.state())
 
 
+def in_step(edits: list[Iterator[str]]) -> None:
+    """Runs edits of different documents side by side: what they want split next is split together, up to ``CHARS_AT_ONCE`` at a time."""
+    wanted = [(e, w) for e in edits if (w := next(e, None)) is not None]
+    while wanted:
+        following, at = [], 0
+        while at < len(wanted):
+            stop, size = at, 0
+            while stop < len(wanted) and (stop == at or size + len(wanted[stop][1]) <= CHARS_AT_ONCE):
+                size += len(wanted[stop][1])
+                stop += 1
+            for (edit, _), split in zip(wanted[at:stop], pieces([w for _, w in wanted[at:stop]])):
+                try:
+                    following.append((edit, edit.send(split)))
+                except StopIteration:
+                    pass
+            at = stop
+        wanted = following
+
+
+def _one_by_one(tree: DocumentTree, edits: list[dict | None] | None) -> Iterator[str]:
+    """All edits of one document, in their order."""
+    for e in edits or ():
+        if e is not None:
+            yield from tree.editing(e["at"] or 0, e["removed"] or 0, e["inserted"] or "")
+
+
 def _measure(own: Codec, split: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(characters, tokens) of each piece."""
     n = len(split)
@@ -195,10 +228,7 @@ def apply_edit_lists(trees: DataFrame, ranks_path: str, edits_col: str = "edits"
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         held = _restored(codec(ranks.value), batch)
-        for tree, edits in zip(held, batch.column("edits").to_pylist()):
-            for e in edits or ():
-                if e is not None:
-                    tree.edit(e["at"] or 0, e["removed"] or 0, e["inserted"] or "")
+        in_step([_one_by_one(tree, edits) for tree, edits in zip(held, batch.column("edits").to_pylist())])
         out = _rows(batch.column("id").to_pylist(), held)
         return pa.RecordBatch.from_arrays([*out.columns, *(batch.column(c) for c in keep)], NAMES + list(keep))
 

@@ -147,6 +147,25 @@ def test_op5_same_as_new_encoding(spark, sf_dir, small, library):
         assert r["n_encoded"] < 40
 
 
+def test_edits_of_many_documents_are_split_together(monkeypatch):
+    with open(RANKS, "rb") as file:
+        own = byte_bpe.codec(file.read())
+    texts = [("it's one, two  three " * (n % 7) * 9)[n:] for n in range(30)] + [""]
+    edits = [[{"at": n * 3, "removed": n % 5, "inserted": " new's"}, None, {"at": 1 << 30, "removed": None, "inserted": "x"}] for n in range(31)]
+    split = lambda: [edit_counts.DocumentTree.of(own, t, p) for t, p in zip(texts, byte_bpe.pieces(texts))]
+    alone, together, calls = split(), split(), []
+    for tree, wanted in zip(alone, edits):
+        for e in filter(None, wanted):
+            tree.edit(e["at"], e["removed"] or 0, e["inserted"])
+    monkeypatch.setattr(edit_counts, "pieces", lambda some: calls.append(len(some)) or byte_bpe.pieces(some))
+    edit_counts.in_step([edit_counts._one_by_one(tree, wanted) for tree, wanted in zip(together, edits)])
+    assert calls[0] == 31 and len(calls) <= 6
+    for a, b in zip(alone, together):
+        assert a.n_encoded == b.n_encoded and all(np.array_equal(x, y) for x, y in zip(a.state(), b.state()))
+        text = b.state()[0]
+        assert b.tokens.total() == sum(map(len, own.encode([text])))
+
+
 def test_edits_as_a_table(spark, odd, none, library):
     trees = edit_counts.build_trees(odd, RANKS)
     edits = spark.createDataFrame(
