@@ -7,9 +7,11 @@ term, so that neighbours are alike and block maxima are tight. The index is stor
 **Statistics.** Numbers of documents, their mean length and document frequencies are of the whole corpus: frequencies are summed
 over shards and joined with the terms of the queries. Scores are therefore the same in every shard, and shard results merge exactly.
 
-**Search.** In a shard, a query's block maxima times term weights give every block of documents an upper bound. Blocks
-are taken in descending order of bounds, in growing rounds, and are left out once their bound is below the k-th best score so far
-(block-max WAND, a block at a time as array operations). The k best travel on through all shards of a task, so later shards
+**Search.** In a shard, queries are taken together. A query's block maxima times term weights give every block of documents an upper
+bound; blocks whose bound is below the k-th best score so far are left out, and so is the shard where all are (block-max pruning).
+Impacts of terms that a thirty-second of the documents holds are rows of a matrix: one product with the queries' weights gives their part of all
+bounds, another of all scores, in single precision; postings of the other terms are added. Documents that may be among the k best, with room
+for rounding, are scored anew in double precision, term by term. The k best travel on through all shards of a task, so later shards
 prune more; each task gives k rows per query, and a window over the query merges them.
 
 BM25 with k1 = 1.2, b = 0.75, idf = ln(1 + (N - df + 0.5) / (df + 0.5)); a term repeated in the query counts as often. Terms are
@@ -35,7 +37,7 @@ K1, B = 1.2, 0.75
 SHARD_DOCS, SHARD_WORDS, BLOCK = 4096, 1 << 20, 16
 QUERY_TERMS = 1 << 21
 CACHED_WORDS = 1 << 17
-FIRST_ROUND = 8
+FREQUENT, FREQUENT_TERMS, QUERIES_AT_ONCE = 32, 4096, 512
 ABSENT = 1 << 62  # stands for a null id, after all others
 WORDS = re.compile(r"\w+")
 INDEX = (
@@ -190,37 +192,88 @@ class Shard:
         self.maxima = np.maximum.reduceat(self.impact, self.starts) if len(ends) else np.empty(0)
         self.blocks = -(-len(self.ids) // BLOCK)
 
+        if len(terms):
+            self._lay_out()
+
+    def _lay_out(self) -> None:
+        """Frequent terms as rows of a matrix, by document and by block; all postings by document."""
+        first = np.append(0, self.term_ends[:-1]).astype(np.int64)
+        self.term_starts = self.starts[first]
+        self.term_sizes = self.ends[self.term_ends - 1] - self.term_starts
+        n = len(self.ids)
+        frequent = np.flatnonzero(self.term_sizes * FREQUENT >= n)[:FREQUENT_TERMS]
+        self.row_of = np.full(len(self.terms), -1, np.int64)
+        self.row_of[frequent] = np.arange(len(frequent))
+        sizes = self.term_sizes[frequent]
+        posting = spread(self.term_starts[frequent], sizes)
+        self.rows = np.zeros((len(frequent), n), np.float32)
+        self.rows[np.repeat(np.arange(len(frequent)), sizes), self.docs[posting]] = self.impact[posting]
+        low, each = first[frequent], self.term_ends[frequent] - first[frequent]
+        entry = spread(low, each)
+        self.block_rows = np.zeros((len(frequent), self.blocks), np.float32)
+        self.block_rows[np.repeat(np.arange(len(frequent)), each), self.block_of[entry]] = self.maxima[entry]
+        order = np.argsort(self.docs, kind="stable")
+        self.own_terms = np.repeat(np.arange(len(self.terms)), self.term_sizes)[order]
+        self.own_impact = self.impact[order]
+        self.own_ends = np.cumsum(np.bincount(self.docs, minlength=n))
+
     def search(self, terms: np.ndarray, weights: np.ndarray, best: Best) -> None:
         """``terms`` in ascending order."""
-        at = np.searchsorted(self.terms, terms)
-        at_most = np.minimum(at, len(self.terms) - 1)
-        here = self.terms[at_most] == terms
-        at, weights = at_most[here], weights[here]
-        if not len(at):
-            return
-        low = np.where(at > 0, self.term_ends[at - 1], 0).astype(np.int64)
-        each = self.term_ends[at] - low
-        entry, weight = spread(low, each), np.repeat(weights, each)
-        block = self.block_of[entry]
-        # a bound is a sum in another order than the score's: leave room for rounding
-        bound = np.bincount(block, weight * self.maxima[entry], self.blocks) * (1 + 1e-9)
-        order = np.argsort(-bound, kind="stable")
-        order = order[: np.searchsorted(-bound[order], 0, "left")]
-        done, size = 0, FIRST_ROUND
-        while done < len(order):
-            own = order[done : done + size]
-            own = own[bound[own] >= best.least()]
-            if not len(own):
-                break
-            chosen = np.zeros(self.blocks, bool)
-            chosen[own] = True
-            hit = chosen[block]
-            sizes = (self.ends - self.starts)[entry[hit]]
-            posting = spread(self.starts[entry[hit]], sizes)
-            scores = np.bincount(self.docs[posting], np.repeat(weight[hit], sizes) * self.impact[posting], len(self.ids))
-            found = np.flatnonzero(scores)
-            best.add(scores[found], self.ids[found])
-            done, size = done + size, size * 4
+        self.search_all([(terms, weights)], [best])
+
+    def search_all(self, queries: list[tuple[np.ndarray, np.ndarray]], best: list[Best]) -> None:
+        """Takes over the best documents for each of ``queries``, whose terms are in ascending order."""
+        for at in range(0, len(queries), QUERIES_AT_ONCE):
+            self._search_some(queries[at : at + QUERIES_AT_ONCE], best[at : at + QUERIES_AT_ONCE])
+
+    def _search_some(self, queries: list[tuple[np.ndarray, np.ndarray]], best: list[Best]) -> None:
+        ends = np.cumsum([len(t) for t, _ in queries])
+        wanted, weights = (np.concatenate([q[i] for q in queries]) for i in (0, 1))
+        at = np.minimum(np.searchsorted(self.terms, wanted), len(self.terms) - 1)
+        here = self.terms[at] == wanted
+        of = np.repeat(np.arange(len(queries)), np.diff(ends, prepend=0))[here]
+        at, weights = at[here], weights[here]
+        row = self.row_of[at]
+        dense = row >= 0
+        matrix = np.zeros((len(queries), len(self.rows)), np.float32)
+        matrix[of[dense], row[dense]] = weights[dense]
+        cuts = np.searchsorted(of, np.arange(len(queries) + 1))
+        # sums of single precision, and in another order than the score's: leave room for rounding, which grows with the terms
+        slack = (np.diff(cuts) + 8) * 2.0**-23
+        bounds = matrix @ self.block_rows
+        rare = []
+        for q, (i, j) in enumerate(zip(cuts, cuts[1:])):
+            few = ~dense[i:j]
+            mine, weight = at[i:j][few], weights[i:j][few]
+            rare.append((mine, weight))
+            low = np.where(mine > 0, self.term_ends[mine - 1], 0).astype(np.int64)
+            each = self.term_ends[mine] - low
+            entry = spread(low, each)
+            bounds[q] += np.bincount(self.block_of[entry], np.repeat(weight, each) * self.maxima[entry], self.blocks)
+        bounds = bounds * (1 + slack[:, None])
+        least = np.array([b.least() for b in best])
+        left = np.flatnonzero((bounds.max(axis=1) >= least) & (np.diff(cuts) > 0))
+        near = matrix[left] @ self.rows
+        weight_of = np.zeros(len(self.terms))
+        for n, q in enumerate(left.tolist()):
+            mine, weight = rare[q]
+            sizes = self.term_sizes[mine]
+            posting = spread(self.term_starts[mine], sizes)
+            score = near[n] + np.bincount(self.docs[posting], np.repeat(weight, sizes) * self.impact[posting], len(self.ids))
+            floor = least[q]
+            if len(score) > best[q].k:
+                floor = max(floor, np.partition(score, -best[q].k)[-best[q].k] * (1 - 2 * slack[q]))
+            may = np.flatnonzero((score > 0) & (score * (1 + 2 * slack[q]) >= floor) & (np.repeat(bounds[q], BLOCK)[: len(score)] >= least[q]))
+            if not len(may):
+                continue
+            # exact scores of these: sums over a document's terms in ascending order
+            i, j = cuts[q], cuts[q + 1]
+            weight_of[at[i:j]] = weights[i:j]
+            sizes = self.own_ends[may] - np.where(may > 0, self.own_ends[may - 1], 0)
+            posting = spread(self.own_ends[may] - sizes, sizes)
+            exact = np.bincount(np.repeat(np.arange(len(may)), sizes), weight_of[self.own_terms[posting]] * self.own_impact[posting], len(may))
+            weight_of[at[i:j]] = 0
+            best[q].add(exact, self.ids[may])
 
 
 def search(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -244,9 +297,8 @@ def search(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_
             for batch in batches:
                 for at in range(batch.num_rows):
                     shard = Shard(batch.slice(at, 1).to_pylist()[0], mean)
-                    for (_, terms, weights), own in zip(shared.value, best):
-                        if len(shard.terms):
-                            shard.search(terms, weights, own)
+                    if len(shard.terms):
+                        shard.search_all([(terms, weights) for _, terms, weights in shared.value], best)
             keys = np.repeat(np.array([q for q, _, _ in shared.value], np.int64), [len(b.ids) for b in best])
             if len(keys):
                 ids = np.concatenate([b.ids for b in best])

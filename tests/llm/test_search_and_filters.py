@@ -95,6 +95,33 @@ def test_bounds_prune_nothing_that_counts():
     assert np.allclose(best.scores, [-s for s, _ in want]) and best.ids.tolist() == [i for _, i in want]
 
 
+def test_queries_searched_together_get_the_scores_of_each(monkeypatch):
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice("abcdefgh") * rng.randint(1, 4) for _ in range(rng.randint(0, 60))) for _ in range(400)] * 2
+    found = [search.terms_of(t) for t in texts]
+    ids = [None if i % 97 == 0 else i for i in range(800)]
+    shards = [search.Shard(search._shard(ids[i : i + 400], found[i : i + 400]), 30.0) for i in (0, 400)]
+    queries = [(np.unique(t), np.random.default_rng(i).random(len(np.unique(t))) + 0.1) for i, t in enumerate(found[:90]) if len(t)]
+    queries.append((np.array([7], np.uint64), np.ones(1)))  # a term of no document
+    best = [search.Best(10) for _ in queries]
+    products = []
+    plain = search.Shard._search_some
+    monkeypatch.setattr(search.Shard, "_search_some", lambda self, some, own: products.append(len(some)) or plain(self, some, own))
+    for shard in shards:
+        shard.search_all(queries, best)
+    assert products == [len(queries)] * 2
+    for (terms, weights), own in zip(queries, best):
+        scores = []
+        for doc, key in zip(found, ids):
+            held, score = Counter(doc.tolist()), 0.0
+            for t, w in zip(terms.tolist(), weights.tolist()):
+                score += w * (held[t] * 2.2 / (held[t] + 1.2 * (1 - 0.75 + 0.75 * len(doc) / 30.0)))
+            scores.append((-score, search.ABSENT if key is None else key))
+        want = sorted(x for x in scores if x[0] < 0)[:10]
+        # copies tie to the last bit, so they follow each other by id
+        assert own.ids.tolist() == [i for _, i in want] and np.allclose(own.scores, [-x for x, _ in want], rtol=1e-12)
+
+
 def test_search_of_odd_rows(odd, none):
     rows = search.search(odd, odd.filter("doc_id in (2, 4)"), k=5).collect()
     # document 9 holds the text twice; copies tie and are ordered by id, the null id last
