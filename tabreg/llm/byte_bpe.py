@@ -7,8 +7,9 @@ characters of a contraction left, inside a run that an apostrophe cannot leave),
 byte. Composition is a table look-up and associative, so prefixes are composed in blocks: all blocks side by side,
 their totals by the same scan, then one application. Boundaries follow from classes and states by array logic.
 
-**Merging.** Slices between boundaries go through a bounded cache of merged pieces; a miss is merged by
-rank with a heap, so a very long piece costs n log n.
+**Merging.** Slices between boundaries go through a bounded cache of merged pieces. The new pieces of a batch are merged side by
+side: as rows of an array, of which each round merges every row's best pair. A very long piece is merged
+by itself, by rank with a heap, so it costs n log n.
 
 The split is the usual one of byte-level vocabularies: contractions 's 't 're 've 'm 'll 'd, then
 runs of letters, numbers or others with one optional space before, then white space, of which the last
@@ -23,7 +24,10 @@ from __future__ import annotations
 import base64
 import heapq
 import unicodedata
+from bisect import bisect_left
+from collections.abc import Iterable
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +53,7 @@ NEW_NUMBERS = [
 CHARS_AT_ONCE = 1 << 20
 CACHED_PIECES = 1 << 17
 SHORT, NO_RANK = 48, 1 << 62
+ROW_SIZES, ROWS_AT_ONCE, NO_PAIR = (4, 6, 8, 10, 12, 16, 24, SHORT), 4096, (1 << 31) - 1
 
 
 def _function(*after: int) -> int:
@@ -198,6 +203,63 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[piece[i : stop[i]]] for i in range(n) if alive[i]]
 
 
+class Pairs:
+    """Pairs of tokens that merge, by their ids; ``complete`` where every single byte is a token, so that ids stand for all parts."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        rank_of = ranks.get
+        self.single = np.array([rank_of(bytes([b]), -1) for b in range(256)], np.int64)
+        self.complete = bool((self.single >= 0).all())
+        self.none = max(ranks.values(), default=-1) + 1  # the id of no token
+        found = {
+            a * (self.none + 1) + b: rank
+            for token, rank in ranks.items()
+            for i in range(1, len(token))
+            if (a := rank_of(token[:i])) is not None and (b := rank_of(token[i:])) is not None
+        }
+        keys = np.fromiter(found.keys(), np.int64, len(found))
+        order = np.argsort(keys)
+        self.keys = np.append(keys[order], np.iinfo(np.int64).max)
+        self.ranks = np.append(np.fromiter(found.values(), np.int64, len(found))[order], NO_PAIR).astype(np.int32)
+
+    def of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Rank of each pair, which is the id of the merged token, or ``NO_PAIR``."""
+        keys = a * np.int64(self.none + 1) + b
+        at = np.searchsorted(self.keys, keys)
+        return np.where(self.keys[at] == keys, self.ranks[at], NO_PAIR)
+
+
+def merge_rows(some: list[bytes], pairs: Pairs, size: int) -> list[bytes]:
+    """Ids of pieces of up to ``size`` bytes, little-endian: what ``merge`` gives for each, one merge of all of them a round."""
+    n, wide = len(some), size + 2  # a place before and one after each piece hold no token
+    lengths = np.fromiter(map(len, some), np.int64, n)
+    text = np.frombuffer(b"".join([x.ljust(size, b"\0") for x in some]), np.uint8).reshape(n, size)
+    alive = np.zeros((n, wide), bool)
+    alive[:, 1:-1] = np.arange(size) < lengths[:, None]
+    ids = np.full((n, wide), pairs.none, np.int64)
+    ids[:, 1:-1] = np.where(alive[:, 1:-1], pairs.single[text], pairs.none)
+    rank = np.full((n, wide), NO_PAIR, np.int32)
+    rank[:, 1:-1] = pairs.of(ids[:, 1:-1], ids[:, 2:])
+    after, before = (np.tile(np.arange(wide) + step, (n, 1)) for step in (1, -1))
+    flat_ids, flat_rank, flat_after, flat_before, flat_alive = (x.reshape(-1) for x in (ids, rank, after, before, alive))
+    rows = np.arange(n)
+    while len(rows):
+        at = rank[rows].argmin(axis=1)  # the leftmost of equals
+        best = rank[rows, at]
+        goes_on = best != NO_PAIR
+        rows, at, best = rows[goes_on], at[goes_on], best[goes_on].astype(np.int64)
+        base = rows * wide
+        here, right = base + at, base + flat_after[base + at]
+        following, prior = base + flat_after[right], base + flat_before[here]
+        flat_ids[here], flat_rank[right], flat_alive[right] = best, NO_PAIR, False
+        flat_after[here], flat_before[following] = following - base, at
+        flat_rank[here] = pairs.of(best, flat_ids[following])
+        flat_rank[prior] = pairs.of(flat_ids[prior], best)
+    out = ids[alive].astype("<i4").tobytes()
+    ends = (4 * np.cumsum(alive.sum(axis=1))).tolist()
+    return [out[a:b] for a, b in zip([0, *ends], ends)]
+
+
 class Codec(dict):
     """Merged pieces by text, as little-endian 32-bit ids. When full, pieces that are not asked for again are forgotten."""
 
@@ -208,6 +270,30 @@ class Codec(dict):
         for token, rank in ranks.items():
             self.vocabulary[rank] = token
         self.lengths = np.array([len(t) for t in self.vocabulary], np.int64)
+        self.pairs = Pairs(ranks)
+
+    def learn(self, wanted: Iterable[str]) -> None:
+        """Merges those of the wanted pieces that are new, together; long ones are left to be merged when they are asked for."""
+        missing = set(wanted).difference(self)
+        if not missing or not self.pairs.complete:
+            return
+        if len(self) + len(missing) > CACHED_PIECES:
+            self.old = dict(self)
+            self.clear()
+        by_size: list[list[tuple[str, bytes]]] = [[] for _ in ROW_SIZES]
+        for piece in missing:
+            if (ids := self.old.get(piece)) is not None:
+                self[piece] = ids
+                continue
+            plain = piece.encode("utf-8", "replace")
+            if (whole := self.ranks.get(plain)) is not None:
+                self[piece] = whole.to_bytes(4, "little")
+            elif len(plain) <= SHORT:
+                by_size[bisect_left(ROW_SIZES, len(plain))].append((piece, plain))
+        for size, own in zip(ROW_SIZES, by_size):
+            for at in range(0, len(own), ROWS_AT_ONCE):
+                some = own[at : at + ROWS_AT_ONCE]
+                self.update(zip([piece for piece, _ in some], merge_rows([plain for _, plain in some], self.pairs, size)))
 
     def __missing__(self, piece: str) -> bytes:
         ids = self.old.get(piece)
@@ -228,7 +314,9 @@ class Codec(dict):
             while stop < len(texts) and (stop == at or size + len(texts[stop]) <= CHARS_AT_ONCE):
                 size += len(texts[stop])
                 stop += 1
-            for own in pieces(texts[at:stop]):
+            split = pieces(texts[at:stop])
+            self.learn(chain.from_iterable(split))
+            for own in split:
                 out.append(np.frombuffer(b"".join(map(self.__getitem__, own)), "<i4"))
             at = stop
         return out

@@ -20,7 +20,7 @@ tables give empty results. Extra columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -209,7 +209,9 @@ def build_trees(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_c
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         own, texts = codec(ranks.value), texts_of(batch)
-        out = _rows(batch.column("id").to_pylist(), [DocumentTree.of(own, t, s) for t, s in zip(texts, pieces(texts))])
+        split = pieces(texts)
+        own.learn(chain.from_iterable(split))
+        out = _rows(batch.column("id").to_pylist(), [DocumentTree.of(own, t, s) for t, s in zip(texts, split)])
         return pa.RecordBatch.from_arrays([*out.columns, *(batch.column(c) for c in keep)], NAMES + list(keep))
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), *keep)

@@ -53,6 +53,19 @@ def test_ids_of_odd_texts(own, library):
         assert own.decode(ids) == text.encode()
 
 
+def test_new_pieces_merged_side_by_side_same_as_one_by_one(own):
+    rng = random.Random(6)
+    some = {"".join(rng.choice(kind) for _ in range(rng.randint(0, 50))) for kind in ("ab", "etaoins", "é中😀\0a", ODD) for _ in range(400)}
+    learned = byte_bpe.Codec(own.ranks)
+    learned.learn(some)
+    assert len(learned) > 1000 and all(len(p.encode()) > byte_bpe.SHORT for p in some.difference(learned))
+    for piece, ids in learned.items():
+        assert np.frombuffer(ids, "<i4").tolist() == byte_bpe.merge(piece.encode(), own.ranks), piece
+    few = byte_bpe.Codec({b"a": 0, b"b": 1, b"ab": 2})  # without all single bytes: one by one
+    few.learn(["abab"])
+    assert not few and few.encode(["abab"])[0].tolist() == [2, 2]
+
+
 def test_op8_same_as_library(spark, sf_dir, small, library):
     for r in QUERIES["op8_byte_bpe"](spark, sf_dir).collect():
         text = small[r["doc_id"]]
