@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -37,31 +38,22 @@ LENGTH = 35
 ROUNDS = 6  # fewer make names of common word pairs that say little, more leave few windows to a symbol
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
-CACHED_WORDS = 1 << 17
-
-
-class _Hashes(dict):
-    """Two independent 64-bit hashes of each word, as 16 bytes; forgets all when full."""
-
-    def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        found = xxhash.xxh3_128_digest(word)
-        if len(word) <= 64:
-            self[word] = found
-        return found
-
-
-_HASHES = _Hashes()
 
 
 def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first hash, second hash of the words of all texts, words per text)"""
+    """(first hash, second hash of the words of all texts, words per text); hashing a word costs less than finding it among known ones"""
     split = [t.encode("utf-8", "replace").split() for t in texts]
-    both = np.frombuffer(b"".join(_HASHES[w] for own in split for w in own), "<u8").reshape(-1, 2)
+    both = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, chain.from_iterable(split))), "<u8").reshape(-1, 2)
     return both[:, 0].copy(), both[:, 1].copy(), np.array([len(own) for own in split], np.int64)
 
 
+def _lists(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(at, count) of all entries of a column of lists, and how many each row has; a null list has none."""
+    flat = column.flatten()
+    at, count = (flat.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("at", "count"))
+    return at, count, column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
 def _mix(a: np.ndarray, b: np.ndarray, salt: int) -> np.ndarray:
     x = a * np.uint64(0xBF58476D1CE4E5B9) + (b << np.uint64(31) | b >> np.uint64(33)) * np.uint64(0x94D049BB133111EB) + np.uint64(salt)
     x ^= x >> np.uint64(29)
@@ -219,36 +211,49 @@ def _unpacked(batch: pa.RecordBatch) -> list[str]:
     return [unpack(b).decode("utf-8") for b in batch.column("packed").to_pylist()]
 
 
+def sharing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What ``_find`` gives, of rows in the order of (a, b)."""
+    last = held = first = None  # the last (a, b); its row and the first row of a: each None once it was given out
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        a, b, key, at, count = (batch.column(c).to_numpy() for c in ("a", "b", "key", "at", "count"))
+        row = lambda i: (key[i], at[i], count[i])  # noqa: E731, B023
+        same_a, same = np.empty(n, bool), np.empty(n, bool)
+        same_a[1:] = a[1:] == a[:-1]
+        same[1:] = same_a[1:] & (b[1:] == b[:-1])
+        same_a[0] = last is not None and a[0] == last[0]
+        same[0] = same_a[0] and b[0] == last[1]
+        again = same | np.append(same[1:], False)
+        other = same_a & ~same  # the first row of a further b
+        group = np.cumsum(~same_a)  # 0: goes on from the last batch
+        several = np.bincount(group[other], minlength=group[-1] + 1) > 0
+        opens = np.flatnonzero(~same_a)
+        other[opens] = several[1:]
+        carried = [(*held, 1)] if same[0] and held is not None else []
+        if several[0] and first is not None:
+            carried.append((*first, 2))
+        if several[-1]:
+            first = None
+        elif len(opens):
+            first = row(opens[-1])
+        last, held = (a[-1], b[-1]), None if again[-1] else row(n - 1)
+        ones, twos = np.flatnonzero(again), np.flatnonzero(other)
+        if len(carried) + len(ones) + len(twos):
+            kinds = np.repeat([1, 2], [len(ones), len(twos)])
+            chosen = np.concatenate((ones, twos))
+            columns = zip((key[chosen], at[chosen], count[chosen], kinds), (np.int64, np.int32, np.int32, np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate((np.array([c[k] for c in carried], kind), x.astype(kind)))) for k, (x, kind) in enumerate(columns)],
+                ["key", "at", "count", "kind"],
+            )
+
+
 def _find(rows: DataFrame) -> DataFrame:
     """(key, at, count, kind) of rows (a, b, key, at, count) that share: kind 1 where (a, b) occurs again, 2 for one row of each (a, b)
     where ``a`` occurs with several ``b``."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a = b = None
-        held = representative = None  # the first row of (a, b), the first of a: not yet given out
-        for batch in batches:
-            out: list[tuple] = []
-            columns = [batch.column(c).to_pylist() for c in ("a", "b", "key", "at", "count")]
-            for x, y, *row in zip(*columns):
-                if x != a:
-                    a, b, held, representative = x, y, row, row
-                elif y == b:
-                    if held is not None:
-                        out.append((*held, 1))
-                        held = None
-                    out.append((*row, 1))
-                else:
-                    if representative is not None:
-                        out.append((*representative, 2))
-                        representative = None
-                    out.append((*row, 2))
-                    b, held = y, row
-            if out:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(zip(*out), (pa.int64(), pa.int32(), pa.int32(), pa.int32()))], ["key", "at", "count", "kind"]
-                )
-
-    return rows.repartition("a").sortWithinPartitions("a", "b").mapInArrow(work, "key long, at int, count int, kind int")
+    return rows.repartition("a").sortWithinPartitions("a", "b").mapInArrow(sharing, "key long, at int, count int, kind int")
 
 
 def repeated_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -266,9 +271,9 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     def single(batch: pa.RecordBatch) -> pa.RecordBatch:
         one, two, sizes = word_hashes(_unpacked(batch))
         starts = np.cumsum(sizes) - sizes
-        rows = batch.column("open").to_pylist()
-        at = np.concatenate([np.arange(s["at"], s["at"] + s["count"]) for own in rows for s in own])
-        each = np.array([sum(s["count"] for s in own) for own in rows])
+        low, count, n_open = _lists(batch.column("open"))
+        at = np.arange(count.sum()) + np.repeat(low - (np.cumsum(count) - count), count)
+        each = np.bincount(np.repeat(np.arange(len(n_open)), n_open), count, len(n_open)).astype(np.int64)
         first = at + np.repeat(starts, each)
         columns = [
             RollingHash(two).of(first, first + length).view(np.int64), RollingHash(one).of(first, first + length).view(np.int64),
@@ -290,14 +295,15 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         kept, words, removed = [], [], []
-        for text, repeats in zip(_unpacked(batch), batch.column("repeats").to_pylist()):
+        low, count, n_repeats = _lists(batch.column("repeats"))
+        high = low + count - 1 + length
+        ends = np.cumsum(n_repeats).tolist()
+        for text, i, j in zip(_unpacked(batch), [0, *ends], ends):
             own = text.encode("utf-8", "replace").split()
-            change = np.zeros(len(own) + 1, np.int64)
-            for r in repeats or ():
-                change[r["at"]] += 1
-                change[r["at"] + r["count"] - 1 + length] -= 1
+            size = len(own) + 1
+            change = np.bincount(low[i:j], minlength=size) - np.bincount(high[i:j], minlength=size)
             stays = np.cumsum(change[:-1]) == 0
-            kept.append(b" ".join([w for w, s in zip(own, stays.tolist()) if s]))
+            kept.append(b" ".join(compress(own, stays.tolist())))
             words.append(len(own))
             removed.append(len(own) - int(stays.sum()))
         return pa.RecordBatch.from_arrays(

@@ -7,6 +7,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -173,3 +174,24 @@ def test_thousands_of_equal_rows_lose_all_windows(spark):
     rows = [(1, text)] * 3000 + [(None, text)] * 1500 + [(2, "before " + text), (3, "other words only")]
     found = substrings.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(6)).select("id", "n_words", "n_removed")
     assert Counter(map(tuple, found.collect())) == {(1, 60, 60): 3000, (None, 60, 60): 1500, (2, 61, 60): 1, (3, 3, 0): 1}
+
+
+def test_rows_that_share_are_found_across_batches():
+    rng = random.Random(9)
+    for size in (1, 2, 3, 7, 500):
+        for spread in (2, 6, 60):
+            keys = sorted((rng.randrange(spread), rng.randrange(3)) for _ in range(rng.randint(1, 90)))
+            rows = [(a, b, (1 << 62) + i, 2 * i, i % 5 + 1) for i, (a, b) in enumerate(keys)]
+            batches = []
+            for i in range(0, len(rows), size):
+                columns = zip(*rows[i : i + size])
+                batches.append(pa.RecordBatch.from_arrays(
+                    [pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32()))], ["a", "b", "key", "at", "count"]))
+            many, names = Counter(keys), {}
+            for a, b in keys:
+                names.setdefault(a, set()).add(b)
+            want = [(*r[2:], 1) for r in rows if many[r[:2]] > 1]
+            firsts = {r[:2]: r for r in reversed(rows)}
+            want += [(*r[2:], 2) for r in firsts.values() if len(names[r[0]]) > 1]
+            got = [tuple(r.values()) for out in substrings.sharing(iter(batches)) for r in out.to_pylist()]
+            assert sorted(got) == sorted(want)
