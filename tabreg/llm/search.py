@@ -1,7 +1,7 @@
 """Exact BM25 top-k over an inverted index in shards, pruned by block maxima.
 
 **Index.** Each task turns its documents into shards of up to ``SHARD_DOCS`` documents or ``SHARD_WORDS`` words: terms in order, postings of
-each, and within a term's postings blocks of ``BLOCK`` neighbouring documents. Documents of a shard are ordered by their most frequent
+each, and within a term's postings blocks of ``BLOCK`` neighbouring documents; a row of the index holds them compressed. Documents of a shard are ordered by their most frequent
 term, so that neighbours are alike and block maxima are tight. The index is stored once and read for every block of queries.
 
 **Statistics.** Numbers of documents, their mean length and document frequencies are of the whole corpus: frequencies are summed
@@ -29,6 +29,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import parts, per_batch, stage, texts_of
@@ -40,10 +41,10 @@ CACHED_WORDS = 1 << 17
 FREQUENT, FREQUENT_TERMS, QUERIES_AT_ONCE = 32, 4096, 512
 ABSENT = 1 << 62  # stands for a null id, after all others
 WORDS = re.compile(r"\w+")
-INDEX = (
-    "n_docs long, n_words long, ids binary, lengths binary, terms binary, term_ends binary, block_of binary, block_ends binary, "
-    "docs binary, counts binary"
-)
+INDEX = "n_docs long, n_words long, found binary, postings binary"
+#: The arrays of a shard, in the order in which they are packed.
+FOUND = (("terms", "<u8"), ("term_ends", "<i4"), ("block_ends", "<i4"))
+POSTINGS = (("ids", "<i8"), ("lengths", "<i4"), ("block_of", "<u2"), ("docs", "<u2"), ("counts", "<i4"))
 
 
 class _Terms(dict):
@@ -90,12 +91,29 @@ def _shard(ids: list, found: list[np.ndarray]) -> dict:
     new[1:] = (term[1:] != term[:-1]) | (block[1:] != block[:-1])
     first = np.flatnonzero(new)
     keys = np.array([ABSENT if i is None else i for i in ids], np.int64)[order]
-    return {
-        "n_docs": n, "n_words": int(lengths.sum()), "ids": keys.tobytes(), "lengths": lengths[order].astype("<i4").tobytes(),
-        "terms": terms.astype("<u8").tobytes(), "term_ends": np.searchsorted(term[first], np.arange(len(terms)), "right").astype("<i4").tobytes(),
-        "block_of": block[first].astype("<u2").tobytes(), "block_ends": np.append(first, len(term))[1:].astype("<i4").tobytes(),
-        "docs": doc.astype("<u2").tobytes(), "counts": counts.astype("<i4").tobytes(),
+    arrays = {
+        "ids": keys, "lengths": lengths[order], "terms": terms, "term_ends": np.searchsorted(term[first], np.arange(len(terms)), "right"),
+        "block_of": block[first], "block_ends": np.append(first, len(term))[1:], "docs": doc, "counts": counts,
     }
+    return {"n_docs": n, "n_words": int(lengths.sum()), "found": _packed(arrays, FOUND), "postings": _packed(arrays, POSTINGS)}
+
+
+def _packed(arrays: dict[str, np.ndarray], kinds: tuple) -> bytes:
+    """The arrays of ``kinds``, compressed, ends as sizes: a task holds all shards of a batch in this form and unpacks one at a time."""
+    plain = [(np.diff(arrays[name], prepend=0) if name.endswith("_ends") else arrays[name]).astype(kind).tobytes() for name, kind in kinds]
+    sizes = np.array([len(x) for x in plain], "<i8").tobytes()
+    return zstandard.ZstdCompressor(level=1).compress(b"".join([sizes, *plain]))
+
+
+def _unpacked(packed: bytes | pa.Buffer, kinds: tuple) -> dict[str, np.ndarray]:
+    plain = zstandard.ZstdDecompressor().decompress(packed)
+    head = 8 * len(kinds)
+    ends = head + np.cumsum([0, *np.frombuffer(plain, "<i8", len(kinds))])
+    out = {
+        name: np.frombuffer(plain, kind, (b - a) // np.dtype(kind).itemsize, a)
+        for (name, kind), a, b in zip(kinds, ends.tolist(), ends[1:].tolist())
+    }
+    return {name: np.cumsum(x) if name.endswith("_ends") else x for name, x in out.items()}
 
 
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -120,22 +138,19 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return stage(rows.mapInArrow(work, INDEX), "index")
 
 
-def _read(row: dict, kinds: tuple) -> list[np.ndarray]:
-    return [np.frombuffer(row[c], k) for c, k in kinds]
-
-
 def document_frequencies(index: DataFrame) -> DataFrame:
     """(term, df) over all shards."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                terms, term_ends, block_ends = _read(row, (("terms", "<i8"), ("term_ends", "<i4"), ("block_ends", "<i4")))
-                if len(terms):
-                    ends = block_ends[term_ends - 1].astype(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(terms), pa.array(np.diff(ends, prepend=0))], ["term", "df"])
-
-    counted = index.select("terms", "term_ends", "block_ends").mapInArrow(work, "term long, df long")
+            for packed in batch.column("found"):
+                found = _unpacked(packed.as_buffer(), FOUND)
+                if len(found["terms"]):
+                    ends = found["block_ends"][found["term_ends"] - 1]
+                    columns = [pa.array(found["terms"].view("<i8")), pa.array(np.diff(ends, prepend=0))]
+                    yield pa.RecordBatch.from_arrays(columns, ["term", "df"])
+
+    counted = index.select("found").mapInArrow(work, "term long, df long")
     return counted.groupBy("term").agg(F.sum("df").alias("df"))
 
 
@@ -181,11 +196,11 @@ class Best:
 
 class Shard:
     def __init__(self, row: dict, mean_length: float):
-        self.ids, lengths, terms, self.term_ends, self.block_of, ends, self.docs, counts = _read(row, (
-            ("ids", "<i8"), ("lengths", "<i4"), ("terms", "<u8"), ("term_ends", "<i4"), ("block_of", "<u2"), ("block_ends", "<i4"),
-            ("docs", "<u2"), ("counts", "<i4"),
-        ))
-        self.terms, self.ends = terms, ends.astype(np.int64)
+        arrays = _unpacked(row["found"], FOUND) | _unpacked(row["postings"], POSTINGS)
+        self.ids, lengths, terms, self.term_ends, self.block_of, ends, self.docs, counts = (
+            arrays[c] for c in ("ids", "lengths", "terms", "term_ends", "block_of", "block_ends", "docs", "counts")
+        )
+        self.terms, self.ends = terms, ends
         self.starts = np.append(0, self.ends[:-1]) if len(ends) else self.ends
         damp = K1 * (1 - B + B * lengths / mean_length)
         self.impact = counts * (K1 + 1) / (counts + damp[self.docs])
@@ -213,7 +228,7 @@ class Shard:
         self.block_rows = np.zeros((len(frequent), self.blocks), np.float32)
         self.block_rows[np.repeat(np.arange(len(frequent)), each), self.block_of[entry]] = self.maxima[entry]
         order = np.argsort(self.docs, kind="stable")
-        self.own_terms = np.repeat(np.arange(len(self.terms)), self.term_sizes)[order]
+        self.own_terms = np.repeat(np.arange(len(self.terms), dtype=np.int32), self.term_sizes)[order]
         self.own_impact = self.impact[order]
         self.own_ends = np.cumsum(np.bincount(self.docs, minlength=n))
 
@@ -295,10 +310,11 @@ def search(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_
         def work(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             best = [Best(k) for _ in shared.value]
             for batch in batches:
-                for at in range(batch.num_rows):
-                    shard = Shard(batch.slice(at, 1).to_pylist()[0], mean)
+                for found, postings in zip(batch.column("found"), batch.column("postings")):
+                    shard = Shard({"found": found.as_buffer(), "postings": postings.as_buffer()}, mean)
                     if len(shard.terms):
                         shard.search_all([(terms, weights) for _, terms, weights in shared.value], best)
+                    del shard  # before the next one is laid out
             keys = np.repeat(np.array([q for q, _, _ in shared.value], np.int64), [len(b.ids) for b in best])
             if len(keys):
                 ids = np.concatenate([b.ids for b in best])
@@ -306,7 +322,7 @@ def search(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_
                     pa.array(keys), pa.array(ids, mask=ids == ABSENT), pa.array(np.concatenate([b.scores for b in best]))
                 ], ["query", "id", "score"])
 
-        results.append(index.mapInArrow(work, schema))
+        results.append(index.select("found", "postings").mapInArrow(work, schema))
     if not results:
         return spark.createDataFrame([], "query long, rank int, id long, score double")
     order = Window.partitionBy("query").orderBy(F.desc("score"), F.asc_nulls_last("id"))

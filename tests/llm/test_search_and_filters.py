@@ -95,6 +95,21 @@ def test_bounds_prune_nothing_that_counts():
     assert np.allclose(best.scores, [-s for s, _ in want]) and best.ids.tolist() == [i for _, i in want]
 
 
+def test_index_rows_are_packed_and_unpack_to_the_same_postings():
+    rng = random.Random(5)
+    texts = [" ".join(f"w{int(rng.paretovariate(0.7)) % 5000}" for _ in range(200)) for _ in range(600)] + ["", "one"]
+    found = [search.terms_of(t) for t in texts]
+    row = search._shard(list(range(602)), found)
+    pairs = {(t, i): int((f == t).sum()) for i, f in enumerate(found) for t in np.unique(f)}
+    assert sum(len(v) for v in row.values() if isinstance(v, bytes)) < 8 * len(pairs) + 8 * len({t for t, _ in pairs})
+    got = search._unpacked(row["found"], search.FOUND) | search._unpacked(row["postings"], search.POSTINGS)
+    ends = got["block_ends"][got["term_ends"] - 1]
+    term = np.repeat(got["terms"], np.diff(ends, prepend=0))
+    assert dict(zip(zip(term.tolist(), got["ids"][got["docs"]].tolist()), got["counts"].tolist())) == pairs
+    empty = search._shard([1], [np.empty(0, np.uint64)])
+    assert not len(search._unpacked(empty["found"], search.FOUND)["terms"]) and search.Shard(empty, 1.0).ids.tolist() == [1]
+
+
 def test_queries_searched_together_get_the_scores_of_each(monkeypatch):
     rng = random.Random(3)
     texts = [" ".join(rng.choice("abcdefgh") * rng.randint(1, 4) for _ in range(rng.randint(0, 60))) for _ in range(400)] * 2
