@@ -30,6 +30,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +46,10 @@ CHECKPOINT = 64
 LOWEST = np.uint64(1 << 31)
 CACHED_WORDS = 1 << 17
 CACHED_PARTS = 1 << 18
+#: Steps before the model that leave words of lower-case ASCII letters as they are.
+PLAIN_NORMALIZERS = {"NFC", "NFD", "NFKC", "NFKD", "Lowercase"}
+WHITE_SPACE = {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}
+LETTER_RUNS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 MARKS = r".,;:!?()[]{}<>|*_-%$#&/\@+=~^" + '"'
 BLOCKS_SCHEMA = (
     "shard int, block int, start long, n_tokens long, doc_ids array<long>, doc_tokens array<long>, words binary, "
@@ -72,25 +77,40 @@ class Words(dict):
             raise ValueError("an added token holds white space: texts cannot be encoded word by word")
         #: Those that fit into letters with marks after them; words of another make are whole anyway.
         self.added = tuple(a for a in added if not (core := a.rstrip(MARKS)) or core.isalpha())
+        self.special = tuple(added)
         self.lowers = _lowers(content.get("normalizer"))
+        #: Whether words of ASCII letters meet the model as they are, but for their case: it is then asked for them directly.
+        self.direct = self.lowers and not self.added and _keeps_letters(content)
+        self.model = self.tokenizer.model
+        self.letters: dict[bytes, bytes] = {}
+        self.marks: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
         self.old: dict[bytes, bytes] = {}
         suffix = content["model"].get("end_of_word_suffix")
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.bytes_of = [i.to_bytes(np.dtype(kind).itemsize, "little") for i in range(max(vocabulary.values(), default=0) + 1)]
         self.closes = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
         if suffix:
             self.closes[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.encode("utf-8", "replace").split() for t in texts]
+        split = [self._plain(t).split() for t in texts]
         if len(self) >= CACHED_WORDS:
             self.old = dict(self)
             self.clear()
-        if len(self.parts) >= CACHED_PARTS:
-            self.parts.clear()
-        missing = {w for own in split for w in own}.difference(self)
-        self.update((w, self.old[w]) for w in missing.intersection(self.old))
-        taken = {w: self._taken_apart(w.decode("utf-8", "replace")) for w in missing.difference(self.old)}
+        for cache in (self.parts, self.letters, self.marks):
+            if len(cache) >= CACHED_PARTS:
+                cache.clear()
+        missing, old = [], self.old
+        for word in dict.fromkeys(chain.from_iterable(split)):  # in the texts' order, as they lie in memory
+            if word not in self:
+                if (ids := old.get(word)) is None:
+                    missing.append(word)
+                else:
+                    self[word] = ids
+        if self.direct:
+            missing = self._encode_letters(missing)
+        taken = {w: self._taken_apart(w.decode("utf-8", "replace")) for w in missing}
         new = {part for own in taken.values() for part in own}.difference(self.parts)
         letters = [part for part in new if part.isalpha() and not (self.added and self._holds_added(part))]
         for at in range(0, len(letters), 2048):
@@ -99,6 +119,45 @@ class Words(dict):
         self.update((w, b"".join([self.parts[part] for part in own])) for w, own in taken.items())
         return [b"".join(map(self.__getitem__, own)) for own in split]
 
+    def _plain(self, text: str) -> bytes:
+        """The text's bytes, in lower case where the tokenizer would put ASCII letters in lower case alone."""
+        plain = text.encode("utf-8", "replace")
+        if self.lowers and plain.isascii():
+            low = plain.lower()
+            if not any(a in text or a.lower().encode() in low for a in self.special):
+                return low
+        return plain
+
+    def _encode_letters(self, words: list[bytes]) -> list[bytes]:
+        """Takes in the words of letters, with marks after them or none; gives back the others."""
+        marks, letters, parts, ids_of, tokenize = MARKS.encode(), self.letters, self.parts, self.bytes_of, self.model.tokenize
+        wider, others = [], []
+        for word in words:
+            core = word.rstrip(marks)
+            if core.isalpha():  # of ASCII alone
+                low = core.lower()
+                if (ids := letters.get(low)) is None:
+                    letters[low] = ids = b"".join([ids_of[t.id] for t in tokenize(low.decode())])
+                self[word] = ids + self._after(word[len(core) :]) if len(core) < len(word) else ids
+            elif core.isascii() or "\u03a3" in (text := core.decode()) or not (text.isalpha() and (low := text.lower()).isalpha()):
+                others.append(word)
+            else:
+                wider.append((word, low, word[len(core) :]))
+        new = list({low for _, low, _ in wider}.difference(parts))
+        for at in range(0, len(new), 2048):
+            self._encode_words(new[at : at + 2048])
+        for word, low, tail in wider:
+            self[word] = parts[low] + self._after(tail) if tail else parts[low]
+        return others
+
+    def _after(self, marks: bytes) -> bytes:
+        """Ids of marks that end a word of letters."""
+        if (ids := self.marks.get(marks)) is None:
+            text = marks.decode()
+            self._encode_each([text])
+            self.marks[marks] = ids = self.parts[text]
+        return ids
+
     def _holds_added(self, word: str) -> bool:
         low = word.lower()
         return any(a in word or a in low for a in self.added)
@@ -135,6 +194,16 @@ def _lowers(normalizer: dict | None) -> bool:
     return kind == "Lowercase" or kind == "Sequence" and any(map(_lowers, normalizer["normalizers"]))
 
 
+def _keeps_letters(content: dict) -> bool:
+    """Whether a definition's steps before the model change nothing in a word of lower-case ASCII letters, nor cut it."""
+    normalizer = content.get("normalizer") or {}
+    steps = normalizer["normalizers"] if normalizer.get("type") == "Sequence" else [normalizer]
+    cut = {"type": "Split", "pattern": {"Regex": LETTER_RUNS}, "behavior": "Removed", "invert": True}
+    spell = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": False}
+    before = [{k: v for k, v in x.items() if k != "trim_offsets"} for x in (content.get("pre_tokenizer") or {}).get("pretokenizers", ())]
+    return before == [cut, spell] and all(x.get("type") in PLAIN_NORMALIZERS or x == WHITE_SPACE for x in steps)
+
+
 @lru_cache(maxsize=2)
 def _words(definition: str, kind: str) -> Words:
     return Words(definition, kind)
@@ -206,6 +275,8 @@ class Model:
         self.frequency = frequency.astype(np.uint64)
         self.before = np.concatenate(([0], np.cumsum(frequency)[:-1])).astype(np.uint64)
         self.slots = np.repeat(np.arange(len(frequency), dtype=np.uint32), frequency)
+        #: Of each slot: its token's frequency in the upper half, its place among the token's slots in the lower.
+        self.steps = self.frequency[self.slots] << np.uint64(32) | np.arange(len(self.slots), dtype=np.uint64) - self.before[self.slots]
 
 
 @lru_cache(maxsize=2)
@@ -223,16 +294,19 @@ def encode_block(tokens: np.ndarray, model: Model):
     state = np.full(LANES, LOWEST, np.uint64)
     words: list[np.ndarray] = [np.empty(0, np.uint32)] * steps
     states: list[bytes] = []
-    scale, top = np.uint64(SCALE), np.uint64(63 - SCALE)
-    low, half = np.uint64(0xFFFFFFFF), np.uint64(32)
+    all_slots, top, half = np.uint64(1 << SCALE), np.uint64(63 - SCALE), np.uint64(32)
+    at = tokens.astype(np.int64)
+    frequency, before = model.frequency[at], model.before[at]
+    limit, others = frequency << top, all_slots - frequency
     for step in range(steps - 1, -1, -1):
-        own = tokens[step * LANES : (step + 1) * LANES]
-        x, f = state[: len(own)], model.frequency[own]
-        full = x >= f << top
-        words[step] = (x[full] & low).astype(np.uint32)
-        x = np.where(full, x >> half, x)
-        whole = x // f
-        state[: len(own)] = (whole << scale) + (x - whole * f) + model.before[own]
+        own = slice(step * LANES, min(n, (step + 1) * LANES))
+        x = state[: own.stop - own.start]
+        full = np.flatnonzero(x >= limit[own])
+        leaving = x[full]
+        words[step] = leaving.astype(np.uint32)  # the lower half
+        x[full] = leaving >> half
+        # x // f * slots + x % f + before
+        x += x // frequency[own] * others[own] + before[own]
         if step % CHECKPOINT == 0:
             states.append(state.astype("<u8").tobytes())
     size = np.cumsum([0, *map(len, words)])
@@ -245,22 +319,23 @@ def encode_block(tokens: np.ndarray, model: Model):
 
 def decode_segment(segment: int, n: int, words: bytes, states: list[bytes], places: list[int], crcs: list[int], model: Model) -> np.ndarray:
     """Tokens of one segment of a block of ``n`` tokens; raises where the checksum differs."""
-    stream = np.frombuffer(words, "<u4").astype(np.uint64)
+    stream = np.frombuffer(words, "<u4")
     state = np.frombuffer(states[segment], "<u8").astype(np.uint64)
     at, first = places[segment], segment * CHECKPOINT * LANES
-    out = np.empty(min(n - first, CHECKPOINT * LANES), np.uint32)
-    mask, scale, half = np.uint64((1 << SCALE) - 1), np.uint64(SCALE), np.uint64(32)
+    out = np.empty(min(n - first, CHECKPOINT * LANES), np.int64)  # slots, then their tokens
+    mask, scale, half, lower = np.uint64((1 << SCALE) - 1), np.uint64(SCALE), np.uint64(32), np.uint64(0xFFFFFFFF)
     for done in range(0, len(out), LANES):
         lanes = min(LANES, len(out) - done)
         x = state[:lanes]
-        slot = x & mask
-        token = model.slots[slot]
-        out[done : done + lanes] = token
-        x = model.frequency[token] * (x >> scale) + slot - model.before[token]
+        slot = (x & mask).view(np.int64)
+        out[done : done + lanes] = slot
+        step = model.steps[slot]
+        x = (step >> half) * (x >> scale) + (step & lower)
         short = np.flatnonzero(x < LOWEST)
         x[short] = x[short] << half | stream[at : at + len(short)]
         at += len(short)
         state[:lanes] = x
+    out = model.slots[out]
     last = segment == len(states) - 1
     ended = (state == LOWEST).all() and at == len(stream) if last else state.astype("<u8").tobytes() == states[segment + 1]
     if not ended or zlib.crc32(out.astype("<u4").tobytes()) != crcs[segment]:

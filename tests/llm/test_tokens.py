@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import json
 import random
 import zlib
 from collections import Counter
@@ -107,6 +108,24 @@ def test_words_by_parts_same_as_whole_texts():
         assert np.frombuffer(ids, "<u4").tolist() == want[:-1].tolist(), text
 
 
+def test_words_of_letters_meet_the_model_directly():
+    rng = random.Random(8)
+    definition = open(WORDS, encoding="utf-8").read()
+    words = ["".join(rng.choice(kind) for _ in range(rng.randint(1, 9))) for kind in ("abcXYZ", "éÄñßoE", "aΣσb") for _ in range(300)]
+    texts = [" ".join(w + rng.choice(["", ".", ",", "!?", "..\"", "1"]) for w in rng.choices(words, k=30)) for _ in range(60)]
+    texts += ["A <|ENDOFTEXT|> B", "A <|endoftext|> B.", "Plain Words, ALL Ascii's", "H\u0331a H\u0331."]
+    own = token_files.Words(definition, "<u4")
+    calls, plain = [], own._encode_each
+    own._encode_each = lambda some: calls.extend(some) or plain(some)
+    for text, ids, want in zip(texts, own.encode(texts), library_ids(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == want[:-1].tolist(), text
+    assert own.direct and not any(w.isascii() and w.isalpha() for w in calls)
+    changed = json.loads(definition)
+    changed["normalizer"]["normalizers"].append({"type": "Replace", "pattern": {"String": "a"}, "content": "b"})
+    other = token_files.Words(json.dumps(changed), "<u4")
+    assert not other.direct and other.encode(["a b"]) == other.encode(["b b"])
+
+
 @pytest.mark.parametrize("n", [1, 3, 1023, 1024, 65_537, 200_000])
 def test_blocks_round_trip(n):
     rng = np.random.default_rng(n)
