@@ -27,25 +27,28 @@ from __future__ import annotations
 import json
 import os
 import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from .common import parts, per_batch, stage, texts_of
+from .common import parts, stage
 
 SCALE = 20
 LANES = 1024
 BLOCK_TOKENS = 1 << 18
 CHECKPOINT = 64
 LOWEST = np.uint64(1 << 31)
-CACHED_WORDS = 1 << 17
-CACHED_PARTS = 1 << 18
+CACHED_WORDS = 1 << 18
+#: Bytes of text whose words are looked up at once: the more, the fewer look-ups of the same word.
+TEXT_BYTES = 4 << 20
 #: Steps before the model that leave words of lower-case ASCII letters as they are.
 PLAIN_NORMALIZERS = {"NFC", "NFD", "NFKC", "NFKD", "Lowercase"}
 WHITE_SPACE = {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}
@@ -60,7 +63,7 @@ BLOCKS_SCHEMA = (
 # ---- tokens
 
 
-class Words(dict):
+class Words:
     """Ids of words between ASCII white space, little-endian. When full, words that are not asked for again are forgotten."""
 
     def __init__(self, definition: str, kind: str):
@@ -72,20 +75,16 @@ class Words(dict):
         self.kind = kind
         content = json.loads(definition)
         # strings that the library takes out of a text before anything else: words that hold one go to it whole
-        added = [t["content"] for t in content.get("added_tokens") or ()]
-        if any(re.search(r"\s", a) for a in added):
+        self.special = tuple(t["content"] for t in content.get("added_tokens") or ())
+        if any(re.search(r"\s", a) for a in self.special):
             raise ValueError("an added token holds white space: texts cannot be encoded word by word")
-        #: Those that fit into letters with marks after them; words of another make are whole anyway.
-        self.added = tuple(a for a in added if not (core := a.rstrip(MARKS)) or core.isalpha())
-        self.special = tuple(added)
-        self.lowers = _lowers(content.get("normalizer"))
-        #: Whether words of ASCII letters meet the model as they are, but for their case: it is then asked for them directly.
-        self.direct = self.lowers and not self.added and _keeps_letters(content)
+        fits = any(not (core := a.rstrip(MARKS)) or core.isalpha() for a in self.special)
+        #: Whether words of ASCII letters meet the model as they are, but for their case: it is then asked for them directly,
+        #: and for the marks after them apart. No added token may fit into such a word.
+        self.direct = _lowers(content.get("normalizer")) and not fits and _keeps_letters(content)
         self.model = self.tokenizer.model
-        self.letters: dict[bytes, bytes] = {}
-        self.marks: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
+        self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         suffix = content["model"].get("end_of_word_suffix")
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.bytes_of = [i.to_bytes(np.dtype(kind).itemsize, "little") for i in range(max(vocabulary.values(), default=0) + 1)]
@@ -94,88 +93,81 @@ class Words(dict):
             self.closes[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [self._plain(t).split() for t in texts]
-        if len(self) >= CACHED_WORDS:
-            self.old = dict(self)
-            self.clear()
-        for cache in (self.parts, self.letters, self.marks):
-            if len(cache) >= CACHED_PARTS:
-                cache.clear()
-        missing, old = [], self.old
-        for word in dict.fromkeys(chain.from_iterable(split)):  # in the texts' order, as they lie in memory
-            if word not in self:
-                if (ids := old.get(word)) is None:
-                    missing.append(word)
-                else:
-                    self[word] = ids
-        if self.direct:
-            missing = self._encode_letters(missing)
-        taken = {w: self._taken_apart(w.decode("utf-8", "replace")) for w in missing}
-        new = {part for own in taken.values() for part in own}.difference(self.parts)
-        letters = [part for part in new if part.isalpha() and not (self.added and self._holds_added(part))]
-        for at in range(0, len(letters), 2048):
-            self._encode_words(letters[at : at + 2048])
-        self._encode_each(list(new.difference(letters)))
-        self.update((w, b"".join([self.parts[part] for part in own])) for w, own in taken.items())
-        return [b"".join(map(self.__getitem__, own)) for own in split]
-
-    def _plain(self, text: str) -> bytes:
-        """The text's bytes, in lower case where the tokenizer would put ASCII letters in lower case alone."""
-        plain = text.encode("utf-8", "replace")
-        if self.lowers and plain.isascii():
-            low = plain.lower()
-            if not any(a in text or a.lower().encode() in low for a in self.special):
-                return low
-        return plain
-
-    def _encode_letters(self, words: list[bytes]) -> list[bytes]:
-        """Takes in the words of letters, with marks after them or none; gives back the others."""
-        marks, letters, parts, ids_of, tokenize = MARKS.encode(), self.letters, self.parts, self.bytes_of, self.model.tokenize
+        return self.encode_array(pa.array([t.encode("utf-8", "replace") for t in texts], pa.string())).to_pylist()
+
+    def encode_array(self, texts: pa.Array) -> pa.Array:
+        """Ids of each text, as large binary; no text may be null."""
+        if len(self.known) >= CACHED_WORDS:
+            self.old, self.known = self.known, {}
+        split = pc.ascii_split_whitespace(self._plain(texts))
+        coded = split.values.dictionary_encode()
+        ids = self._ids(coded.dictionary.cast(pa.large_string())).take(coded.indices)
+        places = np.frombuffer(ids.buffers()[1], np.int64)[split.offsets.to_numpy()]
+        return pa.Array.from_buffers(pa.large_binary(), len(texts), [None, pa.py_buffer(places), ids.buffers()[2]])
+
+    def _plain(self, texts: pa.Array) -> pa.Array:
+        """The texts, in lower case where the tokenizer would put ASCII letters in lower case alone."""
+        if not self.direct:
+            return texts
+        low = pc.ascii_lower(texts)
+        plain = pc.string_is_ascii(texts)
+        for a in self.special:
+            plain = pc.and_not(plain, pc.match_substring(low, a.lower()))
+        return pc.if_else(plain, low, texts)
+
+    def _ids(self, words: pa.Array) -> pa.Array:
+        """Ids of each word. Letters and the marks after them are looked up apart, other words whole."""
+        if not self.direct:
+            return self._look_up(words)
+        cores = pc.ascii_rtrim(words, MARKS)
+        plain = pc.ascii_is_alpha(cores)
+        cut = plain.to_numpy(zero_copy_only=False).copy()
+        wider = np.flatnonzero(~pc.string_is_ascii(cores).to_numpy(zero_copy_only=False))
+        cut[wider] = _whole_letters(cores.take(pa.array(wider)))
+        cores = pc.if_else(plain, pc.ascii_lower(cores), pc.if_else(pa.array(cut), cores, words))
+        # the marks: the last bytes of each word
+        size, marks = _sizes(words), _sizes(words) - _sizes(cores)
+        ends = np.concatenate(([0], np.cumsum(marks)))
+        at = np.arange(ends[-1]) + np.repeat(np.cumsum(size) - ends[1:], marks)
+        spelled = np.frombuffer(words.buffers()[2] or b"", np.uint8)[at]
+        tails = pa.Array.from_buffers(pa.large_string(), len(words), [None, pa.py_buffer(ends), pa.py_buffer(spelled)])
+        ids = [self._look_up(c.dictionary).take(c.indices) for c in (cores.dictionary_encode(), tails.dictionary_encode())]
+        return pc.binary_join_element_wise(*ids, pa.scalar(b"", pa.large_binary()))
+
+    def _look_up(self, words: pa.Array) -> pa.Array:
+        """Ids of different words, which the library is asked for where they are new."""
+        known, old, keys = self.known, self.old, words.to_numpy(zero_copy_only=False).tolist()
+        found = [*map(known.get, keys)]
+        if missing := [k for k, ids in zip(keys, found) if ids is None]:
+            known.update((k, old[k]) for k in missing if k in old)
+            self._learn([k for k in missing if k not in old])
+            found = [known[k] if ids is None else ids for k, ids in zip(keys, found)]
+        return pa.array(found, pa.large_binary())
+
+    def _learn(self, words: list[str]) -> None:
+        known, ids_of, tokenize = self.known, self.bytes_of, self.model.tokenize
         wider, others = [], []
         for word in words:
-            core = word.rstrip(marks)
-            if core.isalpha():  # of ASCII alone
-                low = core.lower()
-                if (ids := letters.get(low)) is None:
-                    letters[low] = ids = b"".join([ids_of[t.id] for t in tokenize(low.decode())])
-                self[word] = ids + self._after(word[len(core) :]) if len(core) < len(word) else ids
-            elif core.isascii() or "\u03a3" in (text := core.decode()) or not (text.isalpha() and (low := text.lower()).isalpha()):
+            if not self.direct:
                 others.append(word)
+            elif word.isascii():
+                if word.isalpha():
+                    known[word] = b"".join([ids_of[t.id] for t in tokenize(word)])
+                else:
+                    others.append(word)
+            elif "\u03a3" not in word and word.isalpha() and (low := word.lower()).isalpha():
+                wider.append((word, low))
             else:
-                wider.append((word, low, word[len(core) :]))
-        new = list({low for _, low, _ in wider}.difference(parts))
+                others.append(word)
+        new = list({low for _, low in wider}.difference(known))
         for at in range(0, len(new), 2048):
             self._encode_words(new[at : at + 2048])
-        for word, low, tail in wider:
-            self[word] = parts[low] + self._after(tail) if tail else parts[low]
-        return others
-
-    def _after(self, marks: bytes) -> bytes:
-        """Ids of marks that end a word of letters."""
-        if (ids := self.marks.get(marks)) is None:
-            text = marks.decode()
-            self._encode_each([text])
-            self.marks[marks] = ids = self.parts[text]
-        return ids
-
-    def _holds_added(self, word: str) -> bool:
-        low = word.lower()
-        return any(a in word or a in low for a in self.added)
-
-    def _taken_apart(self, word: str) -> tuple[str, ...]:
-        """Letters in lower case and the marks after them, which are encoded apart; other words stay whole.
-
-        The capital sigma stays too: in lower case it depends on its place. So do all words of a tokenizer that tells cases apart.
-        """
-        core = word.rstrip(MARKS)
-        low = core.lower()
-        if self.lowers and core.isalpha() and low.isalpha() and "\u03a3" not in core and not (self.added and self._holds_added(word)):
-            return (low, word[len(core) :]) if len(core) < len(word) else (low,)
-        return (word,)
+        known.update((word, known[low]) for word, low in wider)
+        self._encode_each(others)
 
     def _encode_each(self, some: list[str]) -> None:
         found = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
-        self.parts.update(zip(some, [np.array(e.ids, self.kind).tobytes() for e in found]))
+        self.known.update(zip(some, [np.array(e.ids, self.kind).tobytes() for e in found]))
 
     def _encode_words(self, some: list[str]) -> None:
         """Many words in one call, told apart by the tokens that end words, where the vocabulary marks these."""
@@ -185,7 +177,23 @@ class Words(dict):
             self._encode_each(some)
             return
         for word, a, b in zip(some, [0, *ends[:-1].tolist()], ends.tolist()):
-            self.parts[word] = ids[a:b].tobytes()
+            self.known[word] = ids[a:b].tobytes()
+
+
+def _sizes(strings: pa.Array) -> np.ndarray:
+    return pc.binary_length(strings).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _whole_letters(words: pa.Array) -> np.ndarray:
+    """Whether words are letters alone, and stay so when they are composed (some are taken apart then) and put in lower case.
+
+    The capital sigma is left out too: in lower case it depends on its place.
+    """
+    letters = pc.utf8_is_alpha(words)
+    for unsteady in "\u0130\u03a3":
+        letters = pc.and_not(letters, pc.match_substring(words, unsteady))
+    steady = map(unicodedata.is_normalized, repeat("NFC"), words.to_numpy(zero_copy_only=False).tolist())
+    return letters.to_numpy(zero_copy_only=False) & np.fromiter(steady, bool, len(words))
 
 
 def _lowers(normalizer: dict | None) -> bool:
@@ -226,14 +234,17 @@ def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "d
     with open(tokenizer_path, encoding="utf-8") as file:
         definition = docs.sparkSession.sparkContext.broadcast(file.read())
     kind = id_kind(tokenizer_path, end_id)
-    end = np.array([end_id], kind).tobytes()
+    end = pa.scalar(np.array([end_id], kind).tobytes(), pa.large_binary())
 
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids = [own + end for own in _words(definition.value, kind).encode(texts_of(batch))]
-        return pa.RecordBatch.from_arrays([batch.column("id"), pa.array(ids, pa.binary())], ["id", "ids"])
-
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(per_batch(work), "id long, ids binary")
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = _words(definition.value, kind)
+        for batch in (part for whole in batches for part in parts(whole, TEXT_BYTES)):
+            ids = words.encode_array(pc.fill_null(batch.column("text"), ""))
+            ids = pc.binary_join_element_wise(ids, end, pa.scalar(b"", pa.large_binary())).cast(pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("id"), ids], ["id", "ids"])
+
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    return rows.mapInArrow(work, "id long, ids binary")
 
 
 # ---- model

@@ -126,6 +126,24 @@ def test_words_of_letters_meet_the_model_directly():
     assert not other.direct and other.encode(["a b"]) == other.encode(["b b"])
 
 
+def test_letters_that_composing_takes_apart_keep_their_marks():
+    texts = ["\u0958.", "a\u0958, \ufb4a!? \u212b. \u1100\u1161.", "\u0915\u093c.", "İ. ΑΣ.", "", " ", "\t\x0b\x1c\x85 . \u3000,"]
+    own = token_files.Words(open(WORDS, encoding="utf-8").read(), "<u4").encode(texts)
+    for text, ids, want in zip(texts, own, library_ids(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == want[:-1].tolist(), ascii(text)
+
+
+def test_words_asked_for_again_are_learned_once(monkeypatch):
+    monkeypatch.setattr(token_files, "CACHED_WORDS", 4)
+    own = token_files.Words(open(WORDS, encoding="utf-8").read(), "<u2")
+    learned, learn = [], own._learn
+    own._learn = lambda some: learned.extend(some) or learn(some)
+    for n in range(6):
+        own.encode([f"Often été, often. ÉTÉ often' a{n}", f"often!? OFTEN <|endoftext|> été {n}"])
+    assert {w: learned.count(w) for w in ("often", "été", "often'", "<|endoftext|>")} == {"often": 1, "été": 1, "often'": 1, "<|endoftext|>": 1}
+    assert len(own.known) + len(own.old) < 30 and own.encode(["a0"]) == own.encode(["A0"])
+
+
 @pytest.mark.parametrize("n", [1, 3, 1023, 1024, 65_537, 200_000])
 def test_blocks_round_trip(n):
     rng = np.random.default_rng(n)
