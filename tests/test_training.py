@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import threading
+import time
+
 import pytest
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
@@ -8,7 +11,7 @@ from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression
 from pyspark.sql import functions as F
 
 from tabreg.functions.hashing import BUCKETS, poisson_cutoffs
-from tabreg.operators import ensemble
+from tabreg.operators import ensemble, overlap
 from tabreg.operators.clean import OutlierFilter
 from tabreg.operators.ensemble import BaggingRegressionModel, BaggingRegressor
 from tabreg.operators.features import category_indexer, feature_assembler
@@ -294,3 +297,66 @@ def test_served_job_on_the_transactions_schema(spark, tmp_path):
     assert checked.count() == requests.count()
     settings = load_report(spark, path, "settings").first()
     assert settings.numEstimators == 3 and len(settings.features) == 11
+
+
+class Watch:
+    """Sizes of the calls that run at the same time."""
+
+    def __init__(self):
+        self.now, self.seen, self.lock = [], [], threading.Lock()
+
+    def __call__(self, size):
+        with self.lock:
+            self.now.append(size)
+            self.seen.append(sorted(self.now))
+        time.sleep(0.1)
+        with self.lock:
+            self.now.remove(size)
+        return size
+
+
+def test_calls_overlap_as_far_as_memory_goes(spark, monkeypatch):
+    assert 0 < overlap.storage_memory(spark) < 1 << 40
+    monkeypatch.setattr(overlap, "storage_memory", lambda spark: 100)
+    sizes, watch = [20, 30, 30, 80, 0, 10, 50], Watch()
+    assert overlap.overlapped(spark, watch, sizes, 8, sizes) == sizes
+    # half of the memory is theirs; a call that needs more runs without other large ones
+    assert all(sum(min(s, 50) for s in together) <= 50 for together in watch.seen)
+    assert max(map(len, watch.seen)) > 1
+    free = Watch()
+    assert overlap.overlapped(spark, free, sizes, 8) == sizes
+    assert max(map(len, free.seen)) == len(sizes)
+
+
+def test_fits_wait_for_memory_and_give_the_same(spark, rows, monkeypatch):
+    watch = Watch()
+
+    class Watched(DecisionTreeRegressor):
+        def _fit(self, dataset):
+            watch(1)
+            return super()._fit(dataset)
+
+    models = {"one": Watched(maxDepth=3, maxBins=64, seed=1), "two": Watched(maxDepth=4, maxBins=64, seed=1)}
+
+    def result():
+        watch.seen.clear()
+        found = cross_validate(rows, models, KEY, 3, parallelism=6).fold_metrics().orderBy("model", "fold").collect()
+        scored = stack_predictions(fit_models(rows, models, 2), rows, KEY)
+        return max(map(len, watch.seen)), found, regression_metrics(scored, ["model"]).orderBy("model").collect()
+
+    together, *plenty = result()
+    assert together > 1
+    monkeypatch.setattr(overlap, "storage_memory", lambda spark: 1)
+    together, *scarce = result()
+    assert together == 1
+    for a, b in zip(plenty, scarce, strict=True):
+        assert [r["n_rows"] for r in a] == [r["n_rows"] for r in b]
+        assert [r["rmse"] for r in a] == pytest.approx([r["rmse"] for r in b])
+
+
+def test_kept_rows_grow_with_the_trees(rows):
+    sizes = {n: training._kept_bytes(m, rows) for n, m in baseline_models(keyCol=KEY).items()}
+    assert sizes["Decision Tree"] < sizes["Bagging"] < sizes["Random Forest"]
+    weighted = BaggingRegressor(engine="weighted", keyCol=KEY)
+    assert training._kept_bytes(weighted, rows) == 4 * training._kept_bytes(weighted, rows, one_fit_of_many=True)
+    assert training._kept_bytes(lambda: DecisionTreeRegressor(), rows) == sizes["Decision Tree"]
